@@ -47,7 +47,9 @@ def ts_to_epoch(value: Column | str, unit: str) -> Column:
 
 def ntz_to_epoch(value: Column | str, unit: str = "MILLISECONDS") -> Column:
     """Timestamp without zone, read as UTC, to an epoch number; the session zone plays no part."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01'"), _col(value))
+    # The difference of two zoneless timestamps is exact; timestampdiff would cast both to the session zone.
+    since = _col(value) - F.expr("timestamp_ntz'1970-01-01'")
+    micros = (since.cast("interval second").cast("decimal(18,6)") * F.lit(1_000_000)).cast("long")
     if unit == "NANOSECONDS":
         return micros * F.lit(1_000)
     return _floor_div(micros, UNIT_NANOS[unit] // UNIT_NANOS["MICROSECONDS"])

@@ -22,9 +22,22 @@ def retention_start(spec: TableSpec, as_of: Moment) -> int:
     return spec.epoch(as_of) - spec.period(spec.retention)
 
 
+def _since(df: DataFrame, spec: TableSpec, start: int) -> DataFrame:
+    """Rows from ``start`` on: a comparison that reaches the scan, and on a stored table its folders."""
+    kept = df.where(F.col(spec.time_column) >= F.lit(start))
+    if BUCKET in df.columns:
+        kept = kept.where(F.col(BUCKET) > F.lit(start - spec.period(spec.bucket_period)))
+    return kept
+
+
+def _before(df: DataFrame, spec: TableSpec, end: int) -> DataFrame:
+    kept = df.where(F.col(spec.time_column) < F.lit(end))
+    return kept.where(F.col(BUCKET) < F.lit(end)) if BUCKET in df.columns else kept
+
+
 def apply_retention(df: DataFrame, spec: TableSpec, as_of: Moment) -> DataFrame:
-    """Rows not older than the retention; a plain comparison, so it reaches the scan."""
-    return df.where(F.col(spec.time_column) >= F.lit(retention_start(spec, as_of)))
+    """Rows not older than the retention."""
+    return _since(df, spec, retention_start(spec, as_of))
 
 
 def tier_of(time: Column, spec: TableSpec, tiers: Iterable[Tier], as_of: Moment, default: str | None) -> Column:
@@ -51,7 +64,7 @@ def complete_until(spec: TableSpec, as_of: Moment) -> int:
 
 def complete_rows(df: DataFrame, spec: TableSpec, as_of: Moment) -> DataFrame:
     """Rows of complete buckets, with ``bucket_start``."""
-    done = df.where(F.col(spec.time_column) < F.lit(complete_until(spec, as_of)))
+    done = _before(df, spec, complete_until(spec, as_of))
     return done.withColumn(BUCKET, bucket_floor(spec.time_column, spec.period(spec.bucket_period)))
 
 
@@ -60,5 +73,5 @@ def hybrid_rows(offline: DataFrame, realtime: DataFrame, spec: TableSpec, bounda
 
     Times must not be null; a row without one is in neither half.
     """
-    time, edge = F.col(spec.time_column), F.lit(spec.epoch(boundary))
-    return offline.where(time < edge).unionByName(realtime.where(time >= edge))
+    edge = spec.epoch(boundary)
+    return _before(offline, spec, edge).unionByName(_since(realtime, spec, edge))

@@ -36,7 +36,7 @@ def java_hash(text: str, modulus: int) -> str:
 
 
 PLACED_ROWS = f"""
-SELECT *, start_time_millis // 21600000 * 21600000 AS bucket_start,
+SELECT *, start_time_millis // 86400000 * 86400000 AS bucket_start,
        {java_hash('tenant_id', 4)} AS part_tenant_id
 FROM ({TABLE_ROWS})
 """
@@ -180,6 +180,9 @@ ORACLES: dict[str, str] = {
     "layout_pruned_read": f"""
         SELECT tenant_id, span_id, span_kind, time_taken_millis FROM ({TABLE_ROWS}) WHERE tenant_id = 'tenant-3'""",
     "retention": f"SELECT * FROM ({TIMED}) WHERE start_time_millis >= {AS_OF} - {3 * DAY}",
+    "retention_stored": f"""
+        SELECT tenant_id, span_id, start_time_millis FROM ({TABLE_ROWS})
+        WHERE start_time_millis >= {AS_OF} - {3 * DAY}""",
     "age_tier": f"""
         SELECT CASE WHEN {AS_OF} - start_time_millis >= {20 * DAY} THEN 'cold'
                     WHEN {AS_OF} - start_time_millis >= {5 * DAY} THEN 'warm' ELSE 'hot' END AS tier, count(*) AS n

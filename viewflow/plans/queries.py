@@ -216,15 +216,12 @@ def field_partitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition by field values where the topic is listed: one partition per value, none elsewhere."""
     fields = ["event_type", "user_id"]
     events = table(spark, sf_dir, "events").select(*fields)
-    listed = partition_by_fields(events, fields, 8, "spans", "logs, spans")
-    others = partition_by_fields(events, fields, 8, "traces", "logs, spans", name="other")
-    return (
-        listed.groupBy(*fields)
-        .agg(
-            F.count_distinct("partition").alias("partitions"),
-            F.min(F.col("partition").between(0, 7)).alias("in_range"),
-        )
-        .join(others.groupBy(*fields).agg(F.count("other").alias("elsewhere")), fields)
+    placed = partition_by_fields(events, fields, 8, "spans", "logs, spans")
+    placed = partition_by_fields(placed, fields, 8, "traces", "logs, spans", name="other")
+    return placed.groupBy(*fields).agg(
+        F.count_distinct("partition").alias("partitions"),
+        F.min(F.col("partition").between(0, 7)).alias("in_range"),
+        F.count("other").alias("elsewhere"),
     )
 
 
@@ -274,8 +271,8 @@ def truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.withColumn("words", F.array_join("words", " "))
 
 
-def _span_spec(spark: SparkSession) -> TableSpec:
-    return span_view_spec(spark).realtime()
+def _span_spec(spark: SparkSession, bucket: str = "6h") -> TableSpec:
+    return span_view_spec(spark, bucket=bucket).realtime()
 
 
 @query
@@ -509,7 +506,7 @@ def partition_id_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def layout_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written partitioned, sorted, with bloom filters and plain columns, then read back."""
-    spec = _span_spec(spark)
+    spec = _span_spec(spark, "1d")
     path = f"{work_dir(spark)}/layout"
     write_layout(prepare(span_rows(table(spark, sf_dir, "events")), spec), spec, path)
     stored = spark.read.parquet(path)
@@ -519,7 +516,7 @@ def layout_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def layout_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of one tenant, from its partition's folders only."""
-    spec = _span_spec(spark)
+    spec = _span_spec(spark, "1d")
     path = f"{work_dir(spark)}/layout"
     write_layout(prepare(span_rows(table(spark, sf_dir, "events")), spec), spec, path)
     found = part_filter(spark.read.parquet(path), spec, "tenant_id", "tenant-3")
@@ -540,6 +537,16 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_retention(_timed(spark, sf_dir), _span_spec(spark), AS_OF)
 
 
+@query
+def retention_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored rows: old buckets' folders are not read."""
+    spec = _span_spec(spark, "1d")
+    path = f"{work_dir(spark)}/layout"
+    write_layout(prepare(span_rows(table(spark, sf_dir, "events")), spec), spec, path)
+    kept = apply_retention(spark.read.parquet(path), spec, AS_OF)
+    return kept.select("tenant_id", "span_id", "start_time_millis")
+
+
 @query
 def age_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per age tier."""
@@ -659,7 +666,7 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf_dir: str, aggregate: bool = False):
     """A table pair filled by two streams over topics with half the events each; the second comes late."""
     folder = work_dir(spark)
-    view = span_view_spec(spark, f"spans_{uuid.uuid4().hex}", aggregate)
+    view = span_view_spec(spark, f"spans_{uuid.uuid4().hex}", aggregate, "1d")
     pair = create_tables(spark, view, f"{folder}/tables")
     events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS, "props")
     # The topic's values have the view's schema; an odd and an even half.

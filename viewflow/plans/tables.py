@@ -85,7 +85,7 @@ def span_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def span_table_config(name: str = "spans", aggregate: bool = False) -> dict:
+def span_table_config(name: str = "spans", aggregate: bool = False, bucket: str = "6h") -> dict:
     """Settings of the span view and its two tables."""
     dimensions = ["tenant_id", "span_kind", "start_time_millis"]
     return {
@@ -96,7 +96,7 @@ def span_table_config(name: str = "spans", aggregate: bool = False) -> dict:
             "timeColumn": "start_time_millis",
             "timeUnit": "MILLISECONDS",
             "dimensionColumns": dimensions if aggregate else [*dimensions, "span_id"],
-            "dateTimeColumns": ["bucket_start_time_millis"] if aggregate else ["end_time_millis", "bucket_start_time_millis"],
+            "dateTimeColumns": ["bucket_start_time_millis"] + ([] if aggregate else ["end_time_millis"]),
             "metricColumns": ["time_taken_millis"],
             "columnsMaxLength": {"span_kind": 4},
             "sortedColumn": "tenant_id",
@@ -110,7 +110,7 @@ def span_table_config(name: str = "spans", aggregate: bool = False) -> dict:
         "realtime": {
             "streamConfigs": {"streamType": "kafka", "stream.kafka.topic.name": "span-view-events"},
             "taskConfigs": {
-                "RealtimeToOfflineSegmentsTask": {"bucketTimePeriod": "6h", "bufferTimePeriod": "12h"}
+                "RealtimeToOfflineSegmentsTask": {"bucketTimePeriod": bucket, "bufferTimePeriod": "12h"}
             },
             "transformConfigs": [
                 {
@@ -138,13 +138,15 @@ def span_table_config(name: str = "spans", aggregate: bool = False) -> dict:
         "offline": {
             "retentionTimeValue": 90,
             "taskConfigs": {
-                "RealtimeToOfflineSegmentsTask": {"bucketTimePeriod": "6h", "bufferTimePeriod": "12h"}
+                "RealtimeToOfflineSegmentsTask": {"bucketTimePeriod": bucket, "bufferTimePeriod": "12h"}
             },
         },
     }
 
 
-def span_view_spec(spark: SparkSession, name: str = "spans", aggregate: bool = False) -> ViewSpec:
+def span_view_spec(
+    spark: SparkSession, name: str = "spans", aggregate: bool = False, bucket: str = "6h"
+) -> ViewSpec:
     # The spec's expressions use our SQL functions.
     register_sql_functions(spark)
-    return ViewSpec.parse(span_table_config(name, aggregate))
+    return ViewSpec.parse(span_table_config(name, aggregate, bucket))

@@ -83,7 +83,8 @@ def run_views(
     stream = sources.merged(topics)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        shared = len(jobs) > 1
+        # Placing rows by partition takes a sample first: a second read, like that of a second view.
+        shared = len(jobs) > 1 or jobs[0].view.partition_expr is not None
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -126,7 +127,12 @@ def ingest_realtime(
     def step(batch: DataFrame, batch_id: int) -> None:
         if spec.aggregate_metrics:
             batch = ingest_rollup(batch, spec)
-        append_batch(batch, pair, first + batch_id, files)
+        # The layout samples the rows before it places them; the topic is read once all the same.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            append_batch(batch, pair, first + batch_id, files)
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)

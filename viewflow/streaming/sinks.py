@@ -6,10 +6,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from viewflow.functions.partitioning import spread_salt
+from viewflow.operators.layout import arrange
 from viewflow.sources.codecs import encode_value
 
 BATCH = "batch_id"
@@ -19,14 +18,13 @@ BATCH = "batch_id"
 class FileTarget:
     """A folder of records, one subfolder per batch: a batch written again replaces itself.
 
-    With a view partitioner, records lie under ``partition=<n>``, in ``files`` files each, so that a
-    partition with most of the rows is not written by one task.
+    With a view partitioner, records lie under ``partition=<n>``; a partition with most of the rows
+    is written by as many tasks as its share asks for.
     """
 
     path: str
     fmt: str = "parquet"
     codec: str = "struct"
-    files: int = 8
 
     @property
     def name(self) -> str:
@@ -36,7 +34,7 @@ class FileTarget:
         out = encode_value(out, self.codec)
         partitioned = "partition" in out.columns
         if partitioned:
-            out = out.repartition("partition", F.pmod(spread_salt(out), F.lit(self.files)))
+            out = arrange(out, ["partition"], [])
         writer = out.write.format(self.fmt).mode("overwrite")
         if partitioned:
             writer = writer.partitionBy("partition")
