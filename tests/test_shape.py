@@ -1,0 +1,164 @@
+import pytest
+from pyspark.sql import types as T
+
+from tests.fixtures import ROW, config
+from viewflow import SpecError, ViewSpec, fill_defaults, prepare, shape, split_map, table_schema, truncate
+from viewflow.functions import register_sql_functions
+from viewflow.operators.shape import DATE_TIME, DIMENSION, METRIC, TIME, columns_by_role, map_value_default
+from viewflow.spec import TableSpec, column
+
+
+def spec(**table):
+    return ViewSpec.parse(config(**table)).offline()
+
+
+def plain_spec(**changes):
+    """The sample spec without anything that needs the tenant."""
+    out = spec()
+    out.sorted_column, out.partitions, out.star_trees = None, {}, []
+    for name, value in changes.items():
+        setattr(out, name, value)
+    return out
+
+
+def one_row(spark, **values):
+    names = ROW.names
+    row = tuple(values.get(n) for n in names)
+    return spark.createDataFrame([row], T.StructType([T.StructField(f.name, f.dataType) for f in ROW.fields]))
+
+
+def test_roles_of_the_sample(spark):
+    schema = table_schema(plain_spec())
+    dimensions = ["name", "id_sha", "friends", "properties__KEYS", "properties__VALUES", "scores__KEYS", "scores__VALUES"]
+    # Maps are there even if unlisted; the time column, though listed as a dimension, is only a time.
+    assert columns_by_role(schema, DIMENSION) == dimensions
+    assert columns_by_role(schema, METRIC) == ["time_taken_millis"]
+    assert columns_by_role(schema, TIME) == ["creation_time_millis"]
+    # A listed column the schema does not have is ignored.
+    assert columns_by_role(schema, DATE_TIME) == ["start_time_millis", "end_time_millis"]
+    assert "tenant_id" not in schema.names
+    types = {f.name: f.dataType for f in schema.fields}
+    assert types["name"] == T.StringType() and types["id_sha"] == T.BinaryType()
+    assert types["friends"] == types["properties__KEYS"] == types["properties__VALUES"] == T.ArrayType(T.StringType())
+    assert types["scores__VALUES"] == T.ArrayType(T.DoubleType())
+
+
+def test_defaults_lengths_and_formats():
+    meta = {f.name: f.metadata for f in table_schema(plain_spec()).fields}
+    assert meta["properties__KEYS"]["default"] == meta["properties__VALUES"]["default"] == ""
+    assert meta["scores__KEYS"]["default"] == "" and meta["scores__VALUES"]["default"] == 0.0
+    assert meta["name"]["default"] == meta["friends"]["default"] == "null"
+    assert meta["creation_time_millis"]["default"] == -1 and meta["start_time_millis"]["default"] == 0
+    assert "default" not in meta["id_sha"] and meta["id_sha"]["max_length"] == 64
+    assert meta["creation_time_millis"]["format"] == "1:MILLISECONDS:EPOCH"
+    assert meta["creation_time_millis"]["granularity"] == "1:MILLISECONDS"
+
+
+def test_the_primary_time_has_the_configured_unit():
+    meta = {f.name: f.metadata for f in table_schema(plain_spec(time_unit="SECONDS")).fields}
+    assert meta["creation_time_millis"]["format"] == "1:SECONDS:EPOCH"
+    assert meta["start_time_millis"]["format"] == "1:MILLISECONDS:EPOCH"
+
+
+def test_columns_the_layout_needs_are_kept(caplog):
+    schema = table_schema(spec())
+    assert columns_by_role(schema, DIMENSION)[0] == "tenant_id"
+    assert "tenant_id" in caplog.text
+
+
+def test_derived_columns_with_a_role_are_kept(spark):
+    register_sql_functions(spark)
+    realtime = ViewSpec.parse(config()).realtime()
+    out = prepare(one_row(spark, name="n", start_time_millis=7_200_123), realtime)
+    assert "bucket_start_time_millis" in columns_by_role(out.schema, DATE_TIME)
+    assert out.first().bucket_start_time_millis == 7_200_000
+    assert out.schema["bucket_start_time_millis"].metadata["format"] == "1:MILLISECONDS:EPOCH"
+
+
+@pytest.mark.parametrize("role", ["time_column", "date_times"])
+def test_times_must_be_bigint(role):
+    schema = T.StructType([column("t", T.IntegerType()), column("u", T.LongType())])
+    changes = {"time_column": "t"} if role == "time_column" else {"time_column": "u", "date_times": ["t"]}
+    table = TableSpec("x", schema, [], [], time_unit="MILLISECONDS", retention="1d", **changes)
+    with pytest.raises(SpecError, match="bigint"):
+        table_schema(table)
+
+
+@pytest.mark.parametrize(
+    "value_type, default",
+    [
+        (T.StringType(), ""),
+        (T.IntegerType(), 0),
+        (T.LongType(), 0),
+        (T.FloatType(), 0.0),
+        (T.DoubleType(), 0.0),
+    ],
+)
+def test_map_value_defaults(spark, value_type, default):
+    assert map_value_default(T.MapType(T.StringType(), value_type)) == default
+    schema = T.StructType([column("t", T.LongType()), column("m", T.MapType(T.StringType(), value_type))])
+    table = TableSpec("x", schema, [], [], "t", "MILLISECONDS", "1d")
+    out = shape(spark.createDataFrame([(1, None)], schema), table)
+    assert out.schema["m__VALUES"].dataType == T.ArrayType(value_type)
+    assert tuple(out.first()) == (1, [""], [default])
+
+
+@pytest.mark.parametrize(
+    "map_type", [T.MapType(T.StringType(), T.BooleanType()), T.MapType(T.IntegerType(), T.StringType())]
+)
+def test_other_maps_raise(map_type):
+    schema = T.StructType([column("t", T.LongType()), column("m", map_type)])
+    with pytest.raises(SpecError, match="map"):
+        table_schema(TableSpec("x", schema, [], [], "t", "MILLISECONDS", "1d"))
+
+
+def test_split_map_is_ordered_by_key(spark):
+    df = spark.createDataFrame(
+        [({"b": 2, "a": 1, "c": None},), ({},), (None,)], "m map<string,int>"
+    )
+    assert [tuple(r) for r in split_map(df, "m").collect()] == [
+        (["a", "b", "c"], [1, 2, None]),
+        ([], []),
+        (None, None),
+    ]
+
+
+def test_nulls_and_empties(spark):
+    out = shape(one_row(spark), plain_spec()).first().asDict()
+    assert out["name"] == "null" and out["friends"] == ["null"] and out["id_sha"] is None
+    assert out["properties__KEYS"] == [""] and out["scores__VALUES"] == [0.0]
+    assert out["creation_time_millis"] == -1 and out["start_time_millis"] == 0 and out["time_taken_millis"] == 0
+
+    empty = one_row(spark, friends=[], properties={}, scores={})
+    kept = shape(empty, plain_spec()).first()
+    assert kept.friends == [] and kept.properties__KEYS == [] and kept.scores__VALUES == []
+    filled = shape(empty, plain_spec(empty_as_null=True)).first()
+    assert filled.friends == ["null"] and filled.properties__KEYS == [""] and filled.scores__VALUES == [0.0]
+
+
+def test_values_are_not_touched(spark):
+    out = shape(one_row(spark, name="", friends=[None, "a"], scores={"x": 1.5}), plain_spec()).first()
+    assert out.name == "" and out.friends == [None, "a"] and out.scores__VALUES == [1.5]
+
+
+def test_other_string_default(spark):
+    assert shape(one_row(spark), plain_spec(string_default="-")).first().name == "-"
+
+
+def test_truncate(spark):
+    df = spark.createDataFrame(
+        [("äbcdef", bytearray(b"123456"), ["abcdef", None, "a"], 123456)],
+        "s string, b binary, l array<string>, n int",
+    )
+    out = truncate(df, {"s": 3, "b": 2, "l": 2, "n": 1, "absent": 1}).first()
+    assert (out.s, bytes(out.b), out.l, out.n) == ("äbc", b"12", ["ab", None, "a"], 123456)
+
+
+def test_length_of_a_split_column(spark):
+    out = shape(one_row(spark, properties={"abcdef": "x"}), plain_spec(max_lengths={"properties__KEYS": 2}))
+    assert out.first().properties__KEYS == ["ab"]
+
+
+def test_fill_defaults_leaves_columns_without_one(spark):
+    schema = T.StructType([column("a", T.LongType(), 5), column("b", T.LongType())])
+    assert tuple(fill_defaults(spark.createDataFrame([(None, None)], schema), schema).first()) == (5, None)

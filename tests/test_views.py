@@ -1,0 +1,174 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tests.conftest import rows
+from tests.fixtures import SPAN, SPAN_RECORD
+from viewflow import (
+    Context,
+    SpecError,
+    View,
+    apply_view,
+    conform,
+    enrich,
+    explode_view,
+    measure_lookup,
+    merge_streams,
+    projection_view,
+    row_view,
+    view_rows,
+)
+from viewflow.operators.enrich import Lookup
+from viewflow.operators.views import KEY
+from viewflow.spec import column
+
+COPY = projection_view("copy", SPAN, {f.name: f.name for f in SPAN.fields})
+OUT = T.StructType([column("n", T.LongType())])
+
+
+def records(spark, *pairs):
+    return spark.createDataFrame(list(pairs), SPAN_RECORD)
+
+
+def test_projection_keeps_every_row_and_key(spark):
+    span = ("span-id", 10, 1010, "span-kind")
+    out = view_rows(records(spark, (None, span), ("t1", span)), COPY)
+    assert rows(out) == rows(spark.createDataFrame([(None, *span), ("t1", *span)], out.schema))
+    assert out.columns == ["key", "span_id", "start_time_millis", "end_time_millis", "span_kind"]
+
+
+def test_merge_keeps_duplicates(spark):
+    one = records(spark, (None, ("a", 0, 1, "x")))
+    two = records(spark, (None, ("a", 0, 1, "x")), ("k", ("b", 0, 1, "x")))
+    merged = merge_streams([one, two])
+    assert rows(view_rows(merged, COPY).select("key", "span_id")) == [("k", "b"), (None, "a"), (None, "a")]
+    with pytest.raises(SpecError):
+        merge_streams([])
+
+
+@pytest.mark.parametrize("kind", ["explode", "row"])
+def test_none_one_and_three_rows_out(spark, kind):
+    data = [("a", (0,)), ("b", (1,)), (None, (3,)), ("d", (None,))]
+    df = spark.createDataFrame(data, "key string, value struct<n: bigint>")
+    if kind == "explode":
+        sequence = "CASE WHEN n > 0 THEN transform(sequence(1L, n), i -> struct(i AS n)) WHEN n = 0 THEN array() END"
+        view = explode_view("v", OUT, sequence)
+    else:
+
+        def expand(record):
+            return None if record["n"] is None else [{"n": i + 1} for i in range(record["n"])]
+
+        view = row_view("v", OUT, expand, ["n"], max_batch=2)
+    assert rows(view_rows(df, view)) == [("b", 1), (None, 1), (None, 2), (None, 3)]
+
+
+def test_row_function_may_be_a_generator(spark):
+    def numbers(record):
+        for i in range(record["n"]):
+            yield {"n": i}
+
+    df = spark.createDataFrame([("k", (25_000,))], "key string, value struct<n: bigint>")
+    out = view_rows(df, row_view("v", OUT, numbers, ["n"]))
+    assert out.agg(F.count("*"), F.sum("n"), F.min("key")).first()[:] == (25_000, 25_000 * 24_999 // 2, "k")
+
+
+def test_where_drops_rows(spark):
+    view = projection_view("v", OUT, {"n": "start_time_millis"}, where="span_kind = 'x'")
+    df = records(spark, ("a", ("s", 1, 2, "x")), ("b", ("s", 1, 2, "y")), ("c", ("s", 1, 2, None)))
+    assert rows(view_rows(df, view)) == [("a", 1)]
+
+
+def test_stamp_is_fresh_and_shared(spark):
+    out = apply_view(records(spark, ("a", ("s", 1, 2, "x")), ("b", ("s", 1, 2, "x"))), COPY)
+    assert out.columns == ["key", "value", "emit_time"]
+    stamps = {r.emit_time for r in out.collect()}
+    assert len(stamps) == 1 and stamps.pop().year > 2000
+
+
+def test_partition_expression(spark):
+    view = projection_view("v", OUT, {"n": "start_time_millis"}, partition_expr="pmod(n, 3)")
+    out = apply_view(records(spark, ("a", ("s", 7, 2, "x"))), view)
+    assert out.schema["partition"].dataType == T.IntegerType() and out.first().partition == 1
+
+
+def test_a_view_must_pass_the_key_on(spark):
+    view = View("v", OUT, lambda df, ctx: df.select(F.col("start_time_millis").alias("n")))
+    with pytest.raises(SpecError, match="key"):
+        apply_view(records(spark, ("a", ("s", 7, 2, "x"))), view)
+
+
+def test_conform(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "b int, a string, extra double")
+    schema = T.StructType([column("a", T.StringType()), column("b", T.LongType()), column("c", T.StringType())])
+    assert rows(conform(df, schema, strict=False)) == [("x", 1, None)]
+    with pytest.raises(SpecError, match="c"):
+        conform(df, schema)
+    with pytest.raises(Exception, match="(?i)cast|type"):
+        conform(df, T.StructType([column("a", T.LongType())])).collect()
+    needed = T.StructType([column("z", T.StringType(), nullable=False)])
+    with pytest.raises(SpecError, match="z"):
+        conform(df, needed, strict=False)
+
+
+def test_null_in_a_not_null_column_fails_when_met(spark):
+    df = records(spark, ("a", (None, 1, 2, "x")))
+    with pytest.raises(Exception, match="span_id"):
+        view_rows(df, COPY).collect()
+
+
+def skewed(spark):
+    return spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50).alias("k"),
+        F.lit("copy").alias("v"),
+    )
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_enrich_keeps_all_rows(spark, small):
+    df = skewed(spark)
+    reference = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("name-"), "id").alias("name"))
+    lookup = measure_lookup(reference, ["k"], max_rows=1_000 if small else 0)
+    assert lookup.small is small
+    out = enrich(df, lookup, hot_rows=100, hot_keys=5)
+    assert out.count() == 3000
+    expected = df.join(reference, "k", "left")
+    assert rows(out.select("k", "v", "name")) == rows(expected.select("k", "v", "name"))
+
+
+def test_hot_key_takes_several_partitions(spark):
+    df = skewed(spark).repartition(40)
+    reference = spark.range(40).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+    bounds = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    kept = {name: spark.conf.get(name) for name in bounds}
+    try:
+        for name, value in bounds.items():
+            spark.conf.set(name, value)
+        out = enrich(df, Lookup(reference, ("k",), False), hot_rows=50)
+        placed = out.select(F.spark_partition_id().alias("place"), "k").collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    for key in (7, None):
+        assert len({r.place for r in placed if r.k == key}) == 4
+
+
+def test_lookup_keys_must_be_unique(spark):
+    with pytest.raises(SpecError, match="unique"):
+        measure_lookup(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])
+
+
+def test_lookup_size_counts_bytes(spark):
+    wide = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("v"))
+    assert measure_lookup(wide, ["k"]).small
+    assert not measure_lookup(wide, ["k"], max_bytes=5_000).small
+
+
+def test_context_in_a_view(spark):
+    reference = spark.createDataFrame([("x", 5)], "span_kind string, n long")
+    view = View("v", OUT, lambda df, ctx: enrich(df, ctx.lookup("kinds")).where(F.lit(ctx.config["on"])))
+    context = Context({"on": True}, {"kinds": measure_lookup(reference, ["span_kind"])})
+    df = records(spark, ("a", ("s", 1, 2, "x")), (None, ("s", 1, 2, "y")))
+    assert rows(view_rows(df, view, context)) == [("a", 5), (None, None)]
+    with pytest.raises(SpecError):
+        Context().lookup("kinds")
+    assert KEY == "__key"

@@ -46,6 +46,8 @@ def ingest_rollup(df: DataFrame, spec: TableSpec, watermark: str | None = None)
 
     ``df`` is shaped, or has the roles' columns. On a stream, ``watermark`` says how late rows may
     come; a group is final, and in append mode emitted, once the watermark has passed its time.
+    Spark drops rows behind the watermark, which starts at 1970: a stream that must keep every row
+    rolls up each batch instead (``aggregate_metrics``), and sums again when read.
     """
     schema = table_schema(spec, df.schema) if not _has_roles(df) else df.schema
     metrics = columns_by_role(schema, METRIC)

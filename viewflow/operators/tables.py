@@ -77,13 +77,11 @@ def _ensure_table(
             f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in partitions.fields)}){place}"
         )
         return
-    present = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    present = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
     for f in [*columns.fields, *partitions.fields]:
-        if f.name in present and present[f.name] != f.dataType:
-            raise SpecError(
-                f"table {name}: column {f.name} is {present[f.name].simpleString()}, "
-                f"the view has {f.dataType.simpleString()}"
-            )
+        wanted = f.dataType.simpleString()
+        if present.get(f.name, wanted) != wanted:
+            raise SpecError(f"table {name}: column {f.name} is {present[f.name]}, the view has {wanted}")
     gone = [f.name for f in partitions.fields if f.name not in present]
     if gone:
         raise SpecError(f"table {name}: partition columns cannot be added: {gone}")
