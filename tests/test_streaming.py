@@ -18,6 +18,7 @@ from viewflow import (
     decode_value,
     encode_value,
     enrich,
+    jobs_from_settings,
     keyed,
     measure_lookup,
     projection_view,
@@ -74,6 +75,27 @@ def test_views_see_their_own_topics_only(spark, folder):
     assert rows(kinds.read(spark).select("key", "value.kind")) == [("k1", "y"), (None, "x")]
 
 
+def test_jobs_from_settings(spark, folder):
+    topics = [topic(spark, folder, "t1", ("k1", span("a", "x"))), topic(spark, folder, "t2", ("k2", span("c", "z")))]
+    settings = {
+        "view.generators": ["raw", "spans"],
+        "raw": {"input.topics": ["t1"], "output.topic": "kinds"},
+        "spans": {"input.topics": ["t1", "t2"], "output.topic": "spans"},
+    }
+
+    def target(name):
+        return FileTarget(f"{folder}/{name}")
+
+    run(spark, folder, jobs_from_settings(settings, {"raw": KINDS, "spans": COPY}, target), topics)
+    assert rows(target("kinds").read(spark).select("key", "value.kind")) == [("k1", "x")]
+    assert target("spans").read(spark).count() == 2
+    with pytest.raises(SpecError, match="spans"):
+        jobs_from_settings(settings, {"raw": KINDS}, target)
+    del settings["raw"]["output.topic"]
+    with pytest.raises(SpecError, match="output.topic"):
+        jobs_from_settings(settings, {"raw": KINDS, "spans": COPY}, target)
+
+
 def test_restart_adds_only_new_records(spark, folder):
     topics = [topic(spark, folder, "t1", ("k", span("a")))]
     target = FileTarget(f"{folder}/out")

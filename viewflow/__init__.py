@@ -37,6 +37,14 @@ from viewflow.operators.views import (
 )
 from viewflow.sources import SourceSet, Topic, decode_value, encode_value, ingest_source, keyed, publish, topic_source
 from viewflow.spec import SpecError, StarTree, TableSpec, Tier, ViewSpec, column
-from viewflow.streaming import FileTarget, KafkaTarget, ViewJob, ingest_realtime, run_views, write_view
+from viewflow.streaming import (
+    FileTarget,
+    KafkaTarget,
+    ViewJob,
+    ingest_realtime,
+    jobs_from_settings,
+    run_views,
+    write_view,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

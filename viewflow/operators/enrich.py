@@ -45,8 +45,8 @@ def measure_lookup(
         raise SpecError(f"lookup rows are not unique by {', '.join(keys)}")
     if (found["rows"] or 0) > max_rows:
         return Lookup(df, keys, False)
-    # As JSON a row is at least about as long as in memory.
-    text = F.octet_length(F.to_json(F.struct("*")))
+    # The row's text, plus what the fields take in memory whatever they hold.
+    text = F.octet_length(F.to_json(F.struct("*"))) + F.lit(16 * len(df.columns))
     size = df.agg(F.sum(text).alias("bytes")).first()["bytes"] or 0
     return Lookup(df, keys, size <= max_bytes)
 

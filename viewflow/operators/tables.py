@@ -6,6 +6,7 @@ import json
 import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -234,9 +235,13 @@ def _drop_partitions(spark: SparkSession, table: str, expired: Column) -> None:
         "bucket", F.regexp_extract("partition", rf"(?:^|/){BUCKET}=(-?\d+)", 1).try_cast("long")
     )
     # Partition names are catalog metadata: their number is that of folders, not of rows.
-    for row in listed.where(expired).toLocalIterator():
-        fields = ", ".join(f"`{k}`='{v}'" for k, v in (p.split("=", 1) for p in row["partition"].split("/")))
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({fields})")
+    names = (row["partition"] for row in listed.where(expired).toLocalIterator())
+    while some := list(islice(names, 100)):
+        parts = []
+        for name in some:
+            fields = ", ".join(f"`{k}`='{v}'" for k, v in (part.split("=", 1) for part in name.split("/")))
+            parts.append(f"PARTITION ({fields})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(parts)}")
 
 
 def drop_expired(spark: SparkSession, pair: TablePair, as_of: Moment) -> None:

@@ -1,6 +1,6 @@
 """Streaming jobs and their sinks."""
 
-from viewflow.streaming.jobs import ViewJob, ingest_realtime, run_views, work_dir
+from viewflow.streaming.jobs import ViewJob, ingest_realtime, jobs_from_settings, run_views, work_dir
 from viewflow.streaming.sinks import FileTarget, KafkaTarget, write_view
 
 __all__ = [
@@ -8,6 +8,7 @@ __all__ = [
     "KafkaTarget",
     "ViewJob",
     "ingest_realtime",
+    "jobs_from_settings",
     "run_views",
     "work_dir",
     "write_view",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from viewflow.operators.tables import TablePair, append_batch, first_batch
 from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import decode_value
 from viewflow.sources.topics import SourceSet, check_topics, ingest_codec, ingest_source, ingest_trigger
-from viewflow.spec import SpecError
+from viewflow.spec import SpecError, flatten
 from viewflow.streaming.sinks import Target
 
 # One pass over everything there is, then stop.
@@ -66,17 +67,59 @@ def job_output(records: DataFrame, job: ViewJob, context: Context | None = None)
     return apply_view(decoded, job.view, context)
 
 
+def _write_all(
+    batch: DataFrame, jobs: Sequence[ViewJob], context: Context | None, batch_id: int, parallel: int
+) -> None:
+    def write(job: ViewJob) -> None:
+        job.target.write(job_output(batch, job, context), batch_id)
+
+    if len(jobs) == 1 or parallel == 1:
+        for job in jobs:
+            write(job)
+        return
+    # The threads carry the query's job group, so that stopping the query stops their jobs.
+    with ThreadPoolExecutor(min(parallel, len(jobs))) as pool:
+        started = [pool.submit(inheritable_thread_target(batch.sparkSession)(write), job) for job in jobs]
+    for one in started:
+        one.result()
+
+
+def jobs_from_settings(
+    settings: Mapping,
+    views: Mapping[str, View],
+    target: Callable[[str], Target],
+    input_schema: T.StructType | str | None = None,
+    codec: str = "struct",
+) -> list[ViewJob]:
+    """Jobs from a list ``view.generators`` and, under each name, ``input.topics`` and ``output.topic``.
+
+    ``target`` makes a target of an output topic's name.
+    """
+    jobs = []
+    for name in flatten(settings).get("view.generators", []):
+        if name not in views or name not in settings:
+            raise SpecError(f"view {name!r} has no settings or no View object")
+        own = flatten(settings[name])
+        missing = [key for key in ("input.topics", "output.topic") if key not in own]
+        if missing:
+            raise SpecError(f"view {name!r}: missing {', '.join(missing)}")
+        jobs.append(ViewJob(views[name], own["input.topics"], target(own["output.topic"]), input_schema, codec))
+    return check_jobs(jobs)
+
+
 def run_views(
     jobs: Iterable[ViewJob],
     sources: SourceSet,
     checkpoint: str,
     context: Context | None = None,
     trigger: Mapping | None = None,
+    parallel: int = 4,
 ) -> StreamingQuery:
     """Start one query that reads each topic once and feeds every view.
 
-    All topics have the same raw schema. A view sees only the topics it lists. A view that fails
-    stops the query; the batch is then run again for all views, and targets replace what they have.
+    All topics have the same raw schema. A view sees only the topics it lists; up to ``parallel``
+    views of a batch are written at a time. A view that fails stops the query; the batch is then run
+    again for all views, and targets replace what they have.
     """
     jobs = check_jobs(jobs)
     topics = list(dict.fromkeys(name for job in jobs for name in job.inputs))
@@ -88,8 +131,7 @@ def run_views(
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for job in jobs:
-                job.target.write(job_output(batch, job, context), batch_id)
+            _write_all(batch, jobs, context, batch_id, parallel)
         finally:
             if shared:
                 batch.unpersist()
