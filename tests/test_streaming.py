@@ -146,13 +146,14 @@ def test_a_job_is_checked(spark, folder):
         topic_source(spark, Topic("t"))
 
 
-def test_lookup_and_partitioner_in_a_stream(spark, folder):
+@pytest.mark.parametrize("max_rows", [0, 10])
+def test_lookup_and_partitioner_in_a_stream(spark, folder, max_rows):
     topics = [topic(spark, folder, "t1", *[(str(i), span(str(i), "x" if i % 2 else "y")) for i in range(50)])]
     schema = T.StructType([column("span_id", T.StringType()), column("n", T.LongType())])
     view = View("v", schema, lambda df, ctx: enrich(df, ctx.lookup("kinds")), "cast(span_id as int) % 3")
-    context = Context(
-        lookups={"kinds": measure_lookup(spark.createDataFrame([("x", 1)], "span_kind string, n long"), ["span_kind"])}
-    )
+    kinds = spark.createDataFrame([("x", 1)], "span_kind string, n long")
+    context = Context(lookups={"kinds": measure_lookup(kinds, ["span_kind"], max_rows)})
+    assert context.lookup("kinds").small is (max_rows > 0)
     target = FileTarget(f"{folder}/out")
     run(spark, folder, [ViewJob(view, ["t1"], target)], topics, context)
     out = target.read(spark).select("value.*", "partition")

@@ -65,11 +65,15 @@ class Context:
 
 
 def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
-    """Left join to a lookup: every row stays, once, with nulls where the key is unknown."""
+    """Left join to a lookup: every row stays, once, with nulls where the key is unknown.
+
+    A lookup too large to broadcast is joined with hot keys spread. That takes a count of the rows
+    first, which a stream has only batch by batch: ``run_views`` hands views such batches, while an
+    unbounded DataFrame is joined as it is.
+    """
     if lookup.small:
         return df.join(F.broadcast(lookup.df), list(lookup.keys), "left")
     if df.isStreaming:
-        # The rows of a stream cannot be counted ahead; inside foreachBatch they can.
         return df.join(lookup.df, list(lookup.keys), "left")
     return _salted_join(df, lookup, hot_rows, hot_keys)
 

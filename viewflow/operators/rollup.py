@@ -93,6 +93,12 @@ def star_rollup(df: DataFrame, tree: StarTree) -> DataFrame:
     return cube.select(*tree.dims, *[starred(d) for d in tree.dims], *stored)
 
 
+def write_rollup(df: DataFrame, tree: StarTree, path: str) -> None:
+    """Store the cube with one folder per grouping set, so that a query reads only its own."""
+    flags = [starred(d) for d in tree.dims]
+    star_rollup(df, tree).write.mode("overwrite").partitionBy(*flags).parquet(path)
+
+
 def query_rollup(
     cube: DataFrame,
     tree: StarTree,
@@ -101,8 +107,8 @@ def query_rollup(
 ) -> DataFrame:
     """Answer ``GROUP BY group_by`` from the cube; ``where`` gives allowed values per dimension.
 
-    Reads the one grouping set that holds the asked dimensions. SUM, COUNT, MIN, MAX and AVG are
-    exact. Written with ``partitionBy`` on the flags, a cube is read for that set alone.
+    Reads the one grouping set that holds the asked dimensions; of a stored cube, its folder alone.
+    SUM, COUNT, MIN, MAX and AVG are exact.
     """
     where = {d: v if isinstance(v, (list, tuple, set)) else [v] for d, v in (where or {}).items()}
     unknown = (set(group_by) | set(where)) - set(tree.dims)

@@ -112,6 +112,10 @@ ORACLES: dict[str, str] = {
     "split_props_map": """
         SELECT event_id, array_to_string(json_keys(props), ',') AS keys,
                json_extract_string(props, '$.k') AS values FROM events""",
+    "split_built_map": """
+        SELECT doc_id, 'a,lang,source' AS keys,
+               'z,' || lang || ',' || CASE WHEN lang <> 'en' THEN source ELSE '-' END AS values
+        FROM documents""",
     "null_defaults": """
         SELECT event_id, CASE WHEN event_type = 'click' THEN 'null' ELSE event_type END AS kind,
                CASE WHEN user_id % 7 = 0 THEN -1 ELSE user_id % 7 END AS shard,
@@ -156,6 +160,11 @@ ORACLES: dict[str, str] = {
                GROUPING(l_linenumber)::INT AS l_linenumber__starred,
                count(*) AS COUNT__l_orderkey, sum(cents)::BIGINT AS SUM__cents, max(cents) AS MAX__cents
         FROM {LINE_INPUT} GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+    "star_rollup_of_table": f"""
+        SELECT tenant_id, span_kind, GROUPING(tenant_id)::INT AS tenant_id__starred,
+               GROUPING(span_kind)::INT AS span_kind__starred,
+               count(*) AS COUNT__span_id, sum(time_taken_millis)::BIGINT AS SUM__time_taken_millis
+        FROM ({TABLE_ROWS}) GROUP BY CUBE (tenant_id, span_kind)""",
     "query_rollup_one_dim": f"""
         SELECT event_type, count(*) AS COUNT__event_id, sum(total)::BIGINT AS SUM__total
         FROM {CUBE_INPUT} GROUP BY 1""",
@@ -187,12 +196,17 @@ ORACLES: dict[str, str] = {
         SELECT CASE WHEN {AS_OF} - start_time_millis >= {20 * DAY} THEN 'cold'
                     WHEN {AS_OF} - start_time_millis >= {5 * DAY} THEN 'warm' ELSE 'hot' END AS tier, count(*) AS n
         FROM ({TIMED}) GROUP BY 1""",
+    "age_tier_stored": f"""
+        SELECT *, 'warm' AS tier FROM ({TIMED})
+        WHERE {AS_OF} - start_time_millis >= {5 * DAY} AND {AS_OF} - start_time_millis < {20 * DAY}""",
     "roll_over_rows": f"""
         SELECT *, start_time_millis // 21600000 * 21600000 AS bucket_start FROM ({TIMED})
         WHERE start_time_millis < {BOUNDARY}""",
     "hybrid_boundary": f"""
         SELECT *, CASE WHEN start_time_millis < {BOUNDARY} THEN 'offline' ELSE 'realtime' END AS origin
         FROM ({TIMED})""",
+    "batch_topics": """
+        SELECT 'topic-' || (user_id % 2) AS topic, CAST(user_id AS VARCHAR) AS key, event_id FROM events""",
     "stream_span_view": SPANS,
     "stream_multi_view": """
         SELECT 'spans' AS view, CAST(user_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id FROM events

@@ -24,7 +24,7 @@ from viewflow.operators.ingest import ingest_filter, ingest_rollup, ingest_trans
 from viewflow.operators.layout import part_filter, write_layout
 from viewflow.operators.lifecycle import apply_retention, assign_tier, complete_rows, complete_until, hybrid_rows
 from viewflow.operators.merge import merge_streams
-from viewflow.operators.rollup import query_rollup, star_rollup
+from viewflow.operators.rollup import query_rollup, star_rollup, write_rollup
 from viewflow.operators.shape import fill_defaults, shape, split_map, table_schema, truncate
 from viewflow.operators.tables import create_tables, drop_expired, read_hybrid, roll_over
 from viewflow.operators.views import View, apply_view, conform, explode_view, projection_view, row_view, view_rows
@@ -42,9 +42,9 @@ from viewflow.plans.tables import (
     with_millis,
 )
 from viewflow.sources.codecs import decode_value, encode_value
-from viewflow.sources.topics import SourceSet, ingest_source, keyed, publish
+from viewflow.sources.topics import SourceSet, Topic, ingest_source, keyed, publish
 from viewflow.spec import StarTree, TableSpec, column
-from viewflow.streaming.jobs import AVAILABLE_NOW, ViewJob, ingest_realtime, run_views, work_dir
+from viewflow.streaming.jobs import AVAILABLE_NOW, ViewJob, ingest_realtime, jobs_from_settings, run_views, work_dir
 from viewflow.streaming.sinks import FileTarget, write_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,6 +240,19 @@ def split_props_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def split_built_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map of several keys, given out of order, some values null: split in key order."""
+    source = F.when(F.col("lang") != "en", F.col("source"))
+    built = F.create_map(F.lit("source"), source, F.lit("lang"), F.col("lang"), F.lit("a"), F.lit("z")).alias("m")
+    split = split_map(table(spark, sf_dir, "documents").select("doc_id", built), "m")
+    return split.select(
+        "doc_id",
+        F.array_join("m__KEYS", ",").alias("keys"),
+        F.array_join("m__VALUES", ",", "-").alias("values"),
+    )
+
+
 @query
 def null_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nulls replaced by defaults, in a string, a number and an array."""
@@ -447,6 +460,14 @@ def star_rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_rollup(_line_input(spark, sf_dir), LINE_TREE)
 
 
+@query
+def star_rollup_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pre-aggregation a table's own settings ask for, over its shaped rows."""
+    spec = _span_spec(spark)
+    rows = prepare(span_rows(table(spark, sf_dir, "events")), spec)
+    return star_rollup(rows, spec.star_trees[0])
+
+
 @query
 def query_rollup_one_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GROUP BY one dimension, from the cube."""
@@ -472,9 +493,7 @@ def query_rollup_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def query_rollup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cube written by its flags and read back for one grouping set."""
     path = f"{work_dir(spark)}/cube"
-    flags = [f"{d}__starred" for d in LINE_TREE.dims]
-    cube = star_rollup(_line_input(spark, sf_dir), LINE_TREE)
-    cube.write.partitionBy(*flags).parquet(path)
+    write_rollup(_line_input(spark, sf_dir), LINE_TREE, path)
     return query_rollup(spark.read.parquet(path), LINE_TREE, ["l_returnflag", "l_linestatus"])
 
 
@@ -554,6 +573,15 @@ def age_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiered.groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def age_tier_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept in one folder per tier; one tier read."""
+    path = f"{work_dir(spark)}/tiers"
+    tiered = assign_tier(_timed(spark, sf_dir), _span_spec(spark), AS_OF, default="hot")
+    tiered.write.partitionBy("tier").parquet(path)
+    return spark.read.parquet(path).where("tier = 'warm'").select("event_id", "start_time_millis", "tier")
+
+
 @query
 def roll_over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of complete six-hour buckets, twelve hours back."""
@@ -596,6 +624,16 @@ def _two_topics(spark: SparkSession, sf_dir: str, folder: str, codec: str = "str
     return SourceSet(spark, topics)
 
 
+@query
+def batch_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two topics read as one batch, each record with its topic."""
+    folder = work_dir(spark)
+    _two_topics(spark, sf_dir, folder)
+    topics = [Topic(name, path=f"{folder}/{name}") for name in ("topic-0", "topic-1")]
+    merged = SourceSet(spark, topics, stream=False).merged(["topic-0", "topic-1"])
+    return merged.select("topic", "key", "value.event_id")
+
+
 RAW_SCHEMA = T.StructType([column("event_id", T.LongType()), column("event_type", T.StringType())])
 RAW_VIEW = projection_view("raw-view", RAW_SCHEMA, {"event_id": "event_id", "event_type": "event_type"})
 
@@ -604,14 +642,17 @@ RAW_VIEW = projection_view("raw-view", RAW_SCHEMA, {"event_id": "event_id", "eve
 def stream_multi_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two views in one query over shared topics; the second sees one topic only."""
     folder = work_dir(spark)
-    spans, raw = FileTarget(f"{folder}/spans"), FileTarget(f"{folder}/raw")
+    settings = {
+        "view.generators": ["span-view", "raw-view"],
+        "span-view": {"input.topics": ["topic-0", "topic-1"], "output.topic": "spans"},
+        "raw-view": {"input.topics": ["topic-0"], "output.topic": "raw"},
+    }
+    views = {view.name: view for view in (SPAN_VIEW, RAW_VIEW)}
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, millis BIGINT"
-    jobs = [
-        ViewJob(SPAN_VIEW, ["topic-0", "topic-1"], spans, schema, "json"),
-        ViewJob(RAW_VIEW, ["topic-0"], raw, schema, "json"),
-    ]
+    jobs = jobs_from_settings(settings, views, lambda name: FileTarget(f"{folder}/{name}"), schema, "json")
     sources = _two_topics(spark, sf_dir, folder, "json")
     run_views(jobs, sources, f"{folder}/checkpoint", trigger=AVAILABLE_NOW).awaitTermination()
+    spans, raw = (job.target for job in jobs)
     first = spans.read(spark).select(F.lit("spans").alias("view"), "key", F.col("value.span_id").alias("id"))
     second = raw.read(spark).select(
         F.lit("raw").alias("view"), "key", F.col("value.event_id").cast("string").alias("id")

@@ -124,10 +124,15 @@ def run_views(
     jobs = check_jobs(jobs)
     topics = list(dict.fromkeys(name for job in jobs for name in job.inputs))
     stream = sources.merged(topics)
+    # Whatever reads a batch more than once: several views, the sample taken to place rows by
+    # partition, the count of hot keys before a salted join.
+    shared = (
+        len(jobs) > 1
+        or jobs[0].view.partition_expr is not None
+        or any(not lookup.small for lookup in (context.lookups.values() if context else ()))
+    )
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        # Placing rows by partition takes a sample first: a second read, like that of a second view.
-        shared = len(jobs) > 1 or jobs[0].view.partition_expr is not None
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
