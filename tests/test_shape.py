@@ -141,6 +141,19 @@ def test_values_are_not_touched(spark):
     assert out.name == "" and out.friends == [None, "a"] and out.scores__VALUES == [1.5]
 
 
+def test_defaults_of_the_schema_come_first(spark):
+    schema = T.StructType(
+        [
+            column("t", T.LongType()),
+            column("s", T.StringType(), "own"),
+            column("l", T.ArrayType(T.StringType()), ["a", "b"]),
+            column("n", T.ArrayType(T.LongType())),
+        ]
+    )
+    table = TableSpec("x", schema, ["s", "l", "n"], [], "t", "MILLISECONDS", "1d")
+    assert tuple(shape(spark.createDataFrame([(1, None, None, None)], schema), table).first()) == (1, "own", ["a", "b"], None)
+
+
 def test_other_string_default(spark):
     assert shape(one_row(spark), plain_spec(string_default="-")).first().name == "-"
 

@@ -104,21 +104,22 @@ def split_map(df: DataFrame, *names: str) -> DataFrame:
     entries: dict[str, Column] = {}
     for name in names:
         # Keys are unique within a map, so sorting the entries sorts by key.
-        pairs = F.array_sort(F.map_entries(F.col(f"`{name}`")))
+        pairs = F.sort_array(F.map_entries(F.col(f"`{name}`")))
         entries[name + KEYS_SUFFIX] = pairs.getField("key")
         entries[name + VALUES_SUFFIX] = pairs.getField("value")
     return df.withColumns(entries).drop(*names) if names else df
 
 
 def with_default(value: Column, data_type: T.DataType, default: Any, empty_as_null: bool = False) -> Column:
-    """``value`` with nulls replaced; an array gets one element, the default."""
+    """``value`` with nulls replaced; an array gets one element, the default, unless that is a list."""
     if default is None:
         return value
     if isinstance(data_type, T.ArrayType):
-        one = F.array(F.lit(default).cast(data_type.elementType))
+        items = default if isinstance(default, list) else [default]
+        stand_in = F.array(*[F.lit(item).cast(data_type.elementType) for item in items])
         if empty_as_null:
-            return F.when(F.size(value) > 0, value).otherwise(one)
-        return F.coalesce(value, one)
+            return F.when(F.size(value) > 0, value).otherwise(stand_in)
+        return F.coalesce(value, stand_in)
     return F.coalesce(value, F.lit(default).cast(data_type))
 
 

@@ -117,8 +117,9 @@ def create_all(spark: SparkSession, views: Iterable[ViewSpec], location: str | N
 def _replace(rows: DataFrame, table: str, spec: TableSpec, own: str, number: int, files: int | None) -> None:
     """Write shaped rows in the table's layout as one batch or run, in place of what it had written."""
     spark = rows.sparkSession
-    rows = add_partitions(rows, spec)
     parts = partition_columns(spec)
+    if not set(parts) <= set(rows.columns):
+        rows = add_partitions(rows, spec)
     rows = arrange(rows, parts, order_columns(spec), files)
     known = set(rows.columns)
     # A column the table had before this spec is filled with nulls.
@@ -162,7 +163,10 @@ def first_batch(spark: SparkSession, pair: TablePair, checkpoint: str) -> int:
 
 
 def append_batch(rows: DataFrame, pair: TablePair, batch_id: int, files: int | None = None) -> None:
-    """Write one batch of shaped rows to the realtime table; written again, it replaces itself."""
+    """Write one batch of shaped rows to the realtime table; written again, it replaces itself.
+
+    Partition columns are added unless the rows have them.
+    """
     _replace(rows, pair.realtime, pair.realtime_spec, BATCH, batch_id, files)
     # Counted only now: a roll-over at the same time must not take a batch half written for whole.
     last = max(batch_id, last_batch(rows.sparkSession, pair))

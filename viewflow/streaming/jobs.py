@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from viewflow.operators.enrich import Context
 from viewflow.operators.ingest import ingest_rollup, prepare
+from viewflow.operators.layout import add_partitions
 from viewflow.operators.tables import TablePair, append_batch, first_batch
 from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import decode_value
@@ -174,8 +175,9 @@ def ingest_realtime(
     def step(batch: DataFrame, batch_id: int) -> None:
         if spec.aggregate_metrics:
             batch = ingest_rollup(batch, spec)
-        # The layout samples the rows before it places them; the topic is read once all the same.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        # The layout samples the rows before it places them; the topic is read, and the partition
+        # numbers are computed, once all the same.
+        batch = add_partitions(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             append_batch(batch, pair, first + batch_id, files)
         finally:
