@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +159,19 @@ def test_late_rows_are_moved_and_read_once(spark, pair):
     assert times(read_hybrid(spark, pair)) == everything
 
 
+def test_any_order_of_batches_and_roll_overs_keeps_every_row(spark, pair):
+    draw, written = random.Random(3), []
+    for step in range(8):
+        some = [draw.randrange(4 * DAY) for _ in range(6)]
+        written += some
+        append_batch(shaped(spark, pair, *some), pair, step)
+        if draw.random() < 0.7:
+            roll_over(spark, pair, draw.randrange(5 * DAY))
+        if draw.random() < 0.3:
+            drop_expired(spark, pair, 6 * DAY)
+        assert times(read_hybrid(spark, pair)) == sorted(written)
+
+
 def test_a_broken_run_is_repeated(spark, pair, monkeypatch):
     import viewflow.operators.tables as tables
 

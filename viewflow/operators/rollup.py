@@ -66,31 +66,40 @@ def starred(dim: str) -> str:
     return f"{dim}__starred"
 
 
-def grouping_sets(tree: StarTree) -> list[list[str]]:
-    free = [d for d in tree.dims if d not in tree.no_star]
-    chosen = [set(c) for n in range(len(free), -1, -1) for c in combinations(free, n)]
-    return [[d for d in tree.dims if d in c or d in tree.no_star] for c in chosen]
+def _subsets(dims: Sequence[str]) -> list[tuple[str, ...]]:
+    return [c for n in range(len(dims), -1, -1) for c in combinations(dims, n)]
 
 
 def _aggregates(columns: Mapping[str, Column]) -> list[Column]:
     return [aggregate.alias(name) for name, aggregate in columns.items()]
 
 
-def star_rollup(df: DataFrame, tree: StarTree) -> DataFrame:
+def star_rollup(df: DataFrame, tree: StarTree, dims_per_step: int = 4) -> DataFrame:
     """Aggregate over every subset of the dimensions that keeps the unstarred ones.
 
     The rows are first aggregated by all dimensions, so the copies that the grouping sets make are
-    of groups, not of rows, and no value of a dimension is heavy any more after that.
+    of groups, not of rows, and no value of a dimension is heavy any more after that. Many
+    dimensions are starred a few at a time, each step from what the step before has aggregated:
+    a group is copied 2^dims_per_step times, not 2^dims.
     """
     stored: dict[str, Column] = {}
     merged: dict[str, Column] = {}
     for pair in tree.pairs:
         stored.update(_stored(pair))
         merged.update(_merged(pair))
-    finest = df.groupBy(*tree.dims).agg(*_aggregates(stored))
-    flags = [F.grouping(d).cast("int").alias(starred(d)) for d in tree.dims]
-    cube = finest.groupingSets(grouping_sets(tree), *tree.dims).agg(*_aggregates(merged), *flags)
-    return cube.select(*tree.dims, *[starred(d) for d in tree.dims], *stored)
+    dims = list(tree.dims)
+    free = [d for d in dims if d not in tree.no_star]
+    cube = df.groupBy(*dims).agg(*_aggregates(stored))
+    done: list[str] = []
+    for start in range(0, len(free), dims_per_step):
+        step = free[start : start + dims_per_step]
+        always = [d for d in dims if d not in step] + done
+        sets = [[*always, *some] for some in _subsets(step)]
+        flags = [F.grouping(d).cast("int").alias(starred(d)) for d in step]
+        cube = cube.groupingSets(sets, *dims, *done).agg(*_aggregates(merged), *flags)
+        done += [starred(d) for d in step]
+    flags = [F.col(starred(d)) if d in free else F.lit(0).alias(starred(d)) for d in dims]
+    return cube.select(*dims, *flags, *stored)
 
 
 def write_rollup(df: DataFrame, tree: StarTree, path: str) -> None:
