@@ -222,6 +222,18 @@ def test_keyed(spark):
     assert out.schema["key"].dataType == T.StringType() and rows(out.select("key", "value.*")) == [("1", "a")]
 
 
+def test_batches_of_file_topics_are_bounded(spark, folder, monkeypatch):
+    import viewflow.sources.topics as topics
+
+    df = spark.createDataFrame([(str(i), span(str(i))) for i in range(40)], SPAN_RECORD)
+    made = publish(df.repartition(4), f"{folder}/t1")
+    target = FileTarget(f"{folder}/out")
+    monkeypatch.setattr(topics, "FILE_BATCH_BYTES", 1)
+    run(spark, folder, [ViewJob(COPY, ["t1"], target)], [made])
+    assert target.read(spark).count() == 40
+    assert spark.read.parquet(f"{folder}/out").select("batch_id").distinct().count() == 4
+
+
 def test_stream_path():
     assert stream_path("/a/b.parquet") == "/a/b.parque[t]" and stream_path("/a/*") == "/a/*"
 

@@ -160,6 +160,18 @@ ORACLES: dict[str, str] = {
                GROUPING(l_linenumber)::INT AS l_linenumber__starred,
                count(*) AS COUNT__l_orderkey, sum(cents)::BIGINT AS SUM__cents, max(cents) AS MAX__cents
         FROM {LINE_INPUT} GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+    "star_rollup_wide": """
+        SELECT l_returnflag, l_linestatus, l_linenumber, discount, tax,
+               GROUPING(l_returnflag)::INT AS l_returnflag__starred,
+               GROUPING(l_linestatus)::INT AS l_linestatus__starred,
+               GROUPING(l_linenumber)::INT AS l_linenumber__starred,
+               GROUPING(discount)::INT AS discount__starred, 0::INT AS tax__starred,
+               count(*) AS COUNT__l_orderkey, sum(cents)::BIGINT AS SUM__cents
+        FROM (SELECT l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+                     CAST(round(l_discount * 100) AS BIGINT) AS discount,
+                     CAST(round(l_tax * 100) AS BIGINT) AS tax,
+                     CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+        GROUP BY tax, CUBE (l_returnflag, l_linestatus, l_linenumber, discount)""",
     "star_rollup_of_table": f"""
         SELECT tenant_id, span_kind, GROUPING(tenant_id)::INT AS tenant_id__starred,
                GROUPING(span_kind)::INT AS span_kind__starred,

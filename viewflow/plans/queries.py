@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -426,6 +426,11 @@ LINE_TREE = StarTree(
 )
 
 
+WIDE_TREE = StarTree(
+    ("l_returnflag", "l_linestatus", "l_linenumber", "discount", "tax"), ("COUNT__l_orderkey", "SUM__cents"), ("tax",)
+)
+
+
 def _cube_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -435,10 +440,10 @@ def _cube_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_input(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents")
     number = F.col("l_linenumber").cast("long").alias("l_linenumber")
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", number, cents)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", number, cents, *more)
 
 
 @query
@@ -460,6 +465,14 @@ def star_rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_rollup(_line_input(spark, sf_dir), LINE_TREE)
 
 
+@query
+def star_rollup_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five dimensions, one of them never starred, the others starred in two steps."""
+    percents = {c: F.round(F.col(f"l_{c}") * 100).cast("long").alias(c) for c in ("discount", "tax")}
+    lines = _line_input(spark, sf_dir, *percents.values())
+    return star_rollup(lines, WIDE_TREE, dims_per_step=2)
+
+
 @query
 def star_rollup_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pre-aggregation a table's own settings ask for, over its shaped rows."""

@@ -13,6 +13,10 @@ from viewflow.operators.merge import merge_streams
 from viewflow.spec import SpecError, TableSpec
 
 
+# A micro-batch of a file topic takes about this many bytes unless its options say otherwise.
+FILE_BATCH_BYTES = 1 << 40
+
+
 @dataclass(frozen=True)
 class Topic:
     """Where a topic lives. ``schema`` is that of the raw (key, value) files; Kafka needs none.
@@ -34,7 +38,10 @@ def stream_path(path: str) -> str:
 
 def topic_source(spark: SparkSession, topic: Topic, stream: bool = True) -> DataFrame:
     """Open a topic as ``key STRING, value, topic STRING``, streaming or as one batch."""
-    reader = (spark.readStream if stream else spark.read).format(topic.fmt).options(**topic.options)
+    options = dict(topic.options)
+    if stream and topic.fmt != "kafka" and not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & set(options):
+        options["maxBytesPerTrigger"] = str(FILE_BATCH_BYTES)
+    reader = (spark.readStream if stream else spark.read).format(topic.fmt).options(**options)
     if topic.fmt == "kafka":
         raw = reader.option("subscribe", topic.name).load()
     else:
