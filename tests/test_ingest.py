@@ -47,6 +47,18 @@ def test_rollup_sums_equal_groups(spark):
     ]
 
 
+def test_rollup_of_rows_read_back(spark):
+    schema = T.StructType([*SCHEMA.fields, column("m", T.MapType(T.StringType(), T.LongType()))])
+    spec = TableSpec("x", schema, ["kind", "day"], ["n"], "t", "SECONDS", "1d")
+    data = [("a", ["x"], 1, 5, {"k": 1}), ("a", ["y"], 1, 7, {"k": 1}), ("a", ["x"], 1, 1, {"k": 2})]
+    shaped = shape(spark.createDataFrame(data, schema).withColumn("day", F.lit("d")), spec)
+    # Without the metadata that shaping leaves, as a table gives them.
+    plain = spark.createDataFrame(shaped.collect(), T.StructType.fromDDL(shaped.schema.toDDL()))
+    for df in (shaped, plain):
+        out = ingest_rollup(df, spec).select("kind", "day", "t", "m__KEYS", "m__VALUES", "n")
+        assert rows(out) == [("a", "d", 1, ["k"], [1], 12), ("a", "d", 1, ["k"], [2], 1)]
+
+
 def test_rollup_aggregates_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", ["x"], 1, 5)], SCHEMA)
     plan = ingest_rollup(df, SPEC)._jdf.queryExecution().executedPlan().toString()
@@ -57,9 +69,8 @@ def test_rollup_needs_a_metric_and_a_watermark(spark):
     none = TableSpec("x", SCHEMA, ["kind"], [], "t", "SECONDS", "1d")
     with pytest.raises(SpecError, match="metric"):
         ingest_rollup(spark.createDataFrame([], SCHEMA), none)
-    stream = spark.readStream.format("rate").load().select(
-        F.lit("a").alias("kind"), F.array().cast("array<string>").alias("tags"), F.col("value").alias("t"), F.lit(1).cast("long").alias("n")
-    )
+    rate = spark.readStream.format("rate").load()
+    stream = rate.selectExpr("'a' AS kind", "array('x') AS tags", "value AS t", "1L AS n")
     with pytest.raises(SpecError, match="watermark"):
         ingest_rollup(stream, SPEC)
 

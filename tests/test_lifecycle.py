@@ -48,7 +48,8 @@ def test_tiers(spark):
 
 
 @pytest.mark.parametrize(
-    "as_of, until", [(18 * HOUR, 6 * HOUR), (18 * HOUR - 1, 0), (23 * HOUR, 6 * HOUR), (24 * HOUR, 12 * HOUR), (0, -12 * HOUR)]
+    "as_of, until",
+    [(18 * HOUR, 6 * HOUR), (18 * HOUR - 1, 0), (23 * HOUR, 6 * HOUR), (24 * HOUR, 12 * HOUR), (0, -12 * HOUR)],
 )
 def test_complete_buckets(as_of, until):
     assert complete_until(spec(), as_of) == until

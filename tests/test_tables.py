@@ -18,10 +18,12 @@ from viewflow import (
     roll_over,
 )
 from viewflow.functions import register_sql_functions
-from viewflow.operators.tables import append_batch, first_batch, last_batch, roll_state
+from viewflow.operators.tables import append_batch, first_batch, last_batch
 from viewflow.spec import column
 
 DAY = 24 * HOUR
+# The row schema without defaults and constraints.
+PLAIN = T.StructType([T.StructField(f.name, f.dataType) for f in ROW.fields])
 
 
 def view(name, schema=None, **table):
@@ -38,7 +40,7 @@ def pair(spark, unique, folder):
 
 def shaped(spark, pair, *times, tenant="t1", name="n"):
     data = [(tenant, name, t, t, t, None, ["f"], {"k": "v"}, 7, None) for t in times]
-    return prepare(spark.createDataFrame(data, T.StructType([T.StructField(f.name, f.dataType) for f in ROW.fields])), pair.realtime_spec)
+    return prepare(spark.createDataFrame(data, PLAIN), pair.realtime_spec)
 
 
 def times(df):
@@ -233,9 +235,7 @@ def test_rolled_files_are_sorted_and_no_row_changes(spark, pair):
 
 
 def raw(spark, *pairs):
-    schema = T.StructType(
-        [T.StructField("key", T.StringType()), T.StructField("value", T.StructType([T.StructField(f.name, f.dataType) for f in ROW.fields]))]
-    )
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", PLAIN)])
     data = [("k", (t, n, at, at, at, None, None, None, 7, {"x": 1.0})) for t, n, at in pairs]
     return spark.createDataFrame(data, schema)
 
@@ -279,4 +279,5 @@ def test_ingest_may_roll_up_each_batch(spark, unique, folder):
     pair = create_tables(spark, view(unique, aggregateMetrics=True), f"{folder}/tables")
     raw(spark, ("t1", "n", 1), ("t1", "n", 1), ("t1", "m", 1)).coalesce(1).write.parquet(f"{folder}/topic")
     ingest(spark, pair, folder)
-    assert rows(spark.table(pair.realtime).select("name", "time_taken_millis")) == [("m", 7), ("n", 14)]
+    out = spark.table(pair.realtime).select("name", "time_taken_millis", "scores__KEYS", "tenant_id")
+    assert rows(out) == [("m", 7, ["x"], "t1"), ("n", 14, ["x"], "t1")]

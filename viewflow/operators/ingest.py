@@ -44,14 +44,12 @@ def prepare(df: DataFrame, spec: TableSpec) -> DataFrame:
 def ingest_rollup(df: DataFrame, spec: TableSpec, watermark: str | None = None) -> DataFrame:
     """Sum the metrics over equal dimensions and times.
 
-    ``df`` is shaped, or has the roles' columns. On a stream, ``watermark`` says how late rows may
+    ``df`` holds shaped rows, fresh or read back from a table. On a stream, ``watermark`` says how late rows may
     come; a group is final, and in append mode emitted, once the watermark has passed its time.
     Spark drops rows behind the watermark, which starts at 1970: a stream that must keep every row
     rolls up each batch instead (``aggregate_metrics``), and sums again when read.
     """
-    schema = table_schema(spec, df.schema) if not _has_roles(df) else df.schema
-    metrics = columns_by_role(schema, METRIC)
-    groups = columns_by_role(schema, DIMENSION, DATE_TIME, TIME)
+    groups, metrics = _group_and_metric_columns(df, spec)
     sums = [F.sum(f"`{m}`").alias(m) for m in metrics]
     if not sums:
         raise SpecError(f"table {spec.table_name} has no metric to roll up")
@@ -64,5 +62,12 @@ def ingest_rollup(df: DataFrame, spec: TableSpec, watermark: str | None = None)
     return rolled.select(*groups, *metrics)
 
 
-def _has_roles(df: DataFrame) -> bool:
-    return any(f.metadata.get("role") for f in df.schema.fields)
+def _group_and_metric_columns(df: DataFrame, spec: TableSpec) -> tuple[list[str], list[str]]:
+    if any(f.metadata.get("role") for f in df.schema.fields):
+        schema = df.schema
+        return columns_by_role(schema, DIMENSION, DATE_TIME, TIME), columns_by_role(schema, METRIC)
+    # Rows read back carry no roles; those of the view's columns and the lists of the spec tell them.
+    schema = table_schema(spec)
+    listed = {*columns_by_role(schema, DIMENSION, DATE_TIME, TIME), *spec.dimensions, *spec.date_times}
+    metrics = {*columns_by_role(schema, METRIC), *spec.metrics} - listed
+    return [c for c in df.columns if c in listed], [c for c in df.columns if c in metrics]

@@ -212,7 +212,8 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
     batch = last_batch(spark, pair)
     if batch < 0:
         return state
-    boundary = max(complete_until(pair.realtime_spec, as_of), state.boundary if state.boundary is not None else -(1 << 62))
+    earlier = state.boundary if state.boundary is not None else -(1 << 62)
+    boundary = max(complete_until(pair.realtime_spec, as_of), earlier)
     if (boundary, batch) == (state.boundary, state.batch):
         return state
     rows = spark.table(pair.realtime)

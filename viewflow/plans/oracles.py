@@ -142,7 +142,8 @@ ORACLES: dict[str, str] = {
     "strcmp_view": """
         SELECT event_id,
                CASE WHEN event_type = 'error' THEN 0 WHEN event_type < 'error' THEN -1 ELSE 1 END::INT AS "order",
-               CASE WHEN event_type = 'purchase' THEN 0 WHEN event_type < 'purchase' THEN 1 ELSE -1 END::INT AS "reverse"
+               CASE WHEN event_type = 'purchase' THEN 0 WHEN event_type < 'purchase' THEN 1 ELSE -1 END::INT
+               AS "reverse"
         FROM events""",
     "derived_columns": """
         SELECT l_orderkey, l_linenumber, cents, cents * (100 - CAST(round(l_discount * 100) AS BIGINT)) AS cents_net,
