@@ -53,7 +53,8 @@ def test_rollup_of_rows_read_back(spark):
     data = [("a", ["x"], 1, 5, {"k": 1}), ("a", ["y"], 1, 7, {"k": 1}), ("a", ["x"], 1, 1, {"k": 2})]
     shaped = shape(spark.createDataFrame(data, schema).withColumn("day", F.lit("d")), spec)
     # Without the metadata that shaping leaves, as a table gives them.
-    plain = spark.createDataFrame(shaped.collect(), T.StructType.fromDDL(shaped.schema.toDDL()))
+    bare = T.StructType([T.StructField(f.name, f.dataType) for f in shaped.schema.fields])
+    plain = spark.createDataFrame(shaped.collect(), bare)
     for df in (shaped, plain):
         out = ingest_rollup(df, spec).select("kind", "day", "t", "m__KEYS", "m__VALUES", "n")
         assert rows(out) == [("a", "d", 1, ["k"], [1], 12), ("a", "d", 1, ["k"], [2], 1)]
