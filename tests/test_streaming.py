@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,6 +123,19 @@ def test_a_failing_view_stops_the_query_and_the_batch_is_run_again(spark, folder
     assert good.read(spark).count() == 1 and bad.read(spark).count() == 1
 
 
+@pytest.mark.parametrize("codec", ["struct", "json"])
+@pytest.mark.parametrize("placed", [None, "start_time_millis % 3"])
+def test_output_of_a_view_is_a_topic_for_the_next(spark, folder, codec, placed):
+    made = topic(spark, folder, "t1", ("k", span("a", "x")), (None, span("b", "y")))
+    middle, last = FileTarget(f"{folder}/middle", codec=codec), FileTarget(f"{folder}/last")
+    first = replace(COPY, partition_expr=placed)
+    run(spark, f"{folder}/1", [ViewJob(first, ["t1"], middle)], [made])
+    second = middle.as_topic("spans", T.StringType() if codec == "json" else SPAN, placed is not None)
+    for _ in range(2):
+        run(spark, f"{folder}/2", [ViewJob(KINDS, ["spans"], last, SPAN, codec)], [second])
+    assert rows(last.read(spark).select("key", "value.kind")) == [("k", "x"), (None, "y")]
+
+
 def test_each_topic_is_opened_once(spark, folder):
     sources = SourceSet(spark, [topic(spark, folder, "t1", ("k", span("a")))], stream=False)
     assert sources.get("t1") is sources.get("t1")

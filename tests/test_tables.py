@@ -1,3 +1,4 @@
+import glob
 import random
 
 import pytest
@@ -33,9 +34,9 @@ def view(name, schema=None, **table):
 
 
 @pytest.fixture
-def pair(spark, unique, folder):
+def pair(spark, unique):
     register_sql_functions(spark)
-    return create_tables(spark, view(unique), f"{folder}/tables")
+    return create_tables(spark, view(unique))
 
 
 def shaped(spark, pair, *times, tenant="t1", name="n"):
@@ -60,13 +61,13 @@ def test_two_tables_one_schema(spark, pair, unique):
 def test_create_again_and_widen(spark, unique, folder):
     register_sql_functions(spark)
     first = view(unique)
-    pair = create_tables(spark, first, folder)
+    pair = create_tables(spark, first)
     append_batch(shaped(spark, pair, 5), pair, 0)
-    assert create_tables(spark, first, folder) == pair
+    assert create_tables(spark, first) == pair
 
     wider = T.StructType([*ROW.fields, column("city", T.StringType())])
     dimensions = [*config()["table"]["dimensionColumns"], "city"]
-    wide = create_tables(spark, view(unique, wider, dimensionColumns=dimensions), folder)
+    wide = create_tables(spark, view(unique, wider, dimensionColumns=dimensions))
     assert "city" in spark.table(wide.offline).columns
     append_batch(shaped(spark, pair, 5, name="later").withColumn("city", F.lit("x")), wide, 1)
     # A writer that does not know the new column still works.
@@ -84,14 +85,33 @@ def test_changed_type_raises(spark, pair, unique, folder):
     settings["view.output.schema"] = T.StructType(fields)
     del settings["realtime"]["filterConfig"]
     with pytest.raises(SpecError, match="name"):
-        create_tables(spark, ViewSpec.parse(settings), folder)
+        create_tables(spark, ViewSpec.parse(settings))
+
+
+def test_a_database_at_a_place(spark, unique, folder):
+    register_sql_functions(spark)
+    pair = create_tables(spark, view("rows"), unique, f"{folder}/there")
+    assert (pair.realtime, pair.offline) == (f"{unique}.rows_realtime", f"{unique}.rows_offline")
+    assert create_tables(spark, view("rows"), unique) == pair
+    append_batch(shaped(spark, pair, 0, DAY), pair, 0)
+    roll_over(spark, pair, 10 * DAY)
+    assert times(read_hybrid(spark, pair)) == [0, DAY]
+
+    def stored(name):
+        return glob.glob(f"{folder}/there/{name}/**/*.parquet", recursive=True)
+
+    assert len(stored("rows_realtime")) == len(stored("rows_offline")) == 2
+    drop_expired(spark, pair, 10 * DAY)
+    # Expired files are gone, not only forgotten.
+    assert stored("rows_realtime") == [] and len(stored("rows_offline")) == 2
+    assert times(read_hybrid(spark, pair)) == [0, DAY]
 
 
 def test_several_views_stop_at_the_first_error(spark, unique, folder):
     register_sql_functions(spark)
     bad = view(f"{unique}_b", timeColumn="name")
     with pytest.raises(SpecError):
-        create_all(spark, [view(f"{unique}_a"), bad, view(f"{unique}_c")], folder)
+        create_all(spark, [view(f"{unique}_a"), bad, view(f"{unique}_c")])
     made = [spark.catalog.tableExists(f"{unique}_{n}_realtime") for n in "abc"]
     assert made == [True, False, False]
 
@@ -101,7 +121,7 @@ def test_names_of_partition_columns_are_taken(spark, unique, folder):
     dimensions = [*config()["table"]["dimensionColumns"], "batch_id"]
     register_sql_functions(spark)
     with pytest.raises(SpecError, match="batch_id"):
-        create_tables(spark, view(unique, fields, dimensionColumns=dimensions), folder)
+        create_tables(spark, view(unique, fields, dimensionColumns=dimensions))
 
 
 def test_a_batch_written_again_replaces_itself(spark, pair):
@@ -264,7 +284,7 @@ def test_ingest_job_restarts_where_it_was(spark, pair, folder):
 
 def test_ingest_goes_on_after_the_table_was_widened(spark, unique, folder):
     register_sql_functions(spark)
-    pair = create_tables(spark, view(unique), f"{folder}/tables")
+    pair = create_tables(spark, view(unique))
     raw(spark, ("t1", "n", 1)).write.parquet(f"{folder}/topic")
     ingest(spark, pair, folder)
     wider = T.StructType([*ROW.fields, column("city", T.StringType())])
@@ -276,7 +296,7 @@ def test_ingest_goes_on_after_the_table_was_widened(spark, unique, folder):
 
 def test_ingest_may_roll_up_each_batch(spark, unique, folder):
     register_sql_functions(spark)
-    pair = create_tables(spark, view(unique, aggregateMetrics=True), f"{folder}/tables")
+    pair = create_tables(spark, view(unique, aggregateMetrics=True))
     raw(spark, ("t1", "n", 1), ("t1", "n", 1), ("t1", "m", 1)).coalesce(1).write.parquet(f"{folder}/topic")
     ingest(spark, pair, folder)
     out = spark.table(pair.realtime).select("name", "time_taken_millis", "scores__KEYS", "tenant_id")

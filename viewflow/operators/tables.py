@@ -39,9 +39,11 @@ class TablePair:
     offline_spec: TableSpec
 
 
-def table_pair(view: ViewSpec) -> TablePair:
+def table_pair(view: ViewSpec, database: str | None = None) -> TablePair:
     realtime, offline = view.realtime(), view.offline()
-    return TablePair(f"{realtime.table_name}_realtime", f"{offline.table_name}_offline", realtime, offline)
+    place = f"{database}." if database else ""
+    names = f"{place}{realtime.table_name}_realtime", f"{place}{offline.table_name}_offline"
+    return TablePair(*names, realtime, offline)
 
 
 def row_schema(spark: SparkSession, spec: TableSpec) -> T.StructType:
@@ -64,18 +66,16 @@ def _ensure_table(
     columns: T.StructType,
     partitions: T.StructType,
     spec: TableSpec,
-    location: str | None,
 ) -> None:
     """Create the table, or add to an existing one the columns it lacks."""
     if not spark.catalog.tableExists(name):
         # An overwrite replaces all of a batch or run, whatever the session's own setting is.
         options = {"partitionOverwriteMode": "static", **parquet_options(spec, columns)}
         settings = ", ".join(f"'{key}' = '{value}'" for key, value in options.items())
-        place = f" LOCATION '{location}/{name}'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({_typed(columns)}, {_typed(partitions)}) "
             f"USING parquet OPTIONS ({settings}) "
-            f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in partitions.fields)}){place}"
+            f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in partitions.fields)})"
         )
         return
     present = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
@@ -91,9 +91,18 @@ def _ensure_table(
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_typed(T.StructType(new))})")
 
 
-def create_tables(spark: SparkSession, view: ViewSpec, location: str | None = None) -> TablePair:
-    """Check the schema, then create or widen the realtime and the offline table. Safe to repeat."""
-    pair = table_pair(view)
+def create_tables(
+    spark: SparkSession, view: ViewSpec, database: str | None = None, location: str | None = None
+) -> TablePair:
+    """Check the schema, then create or widen the realtime and the offline table. Safe to repeat.
+
+    The tables are the catalog's own, so that dropping a partition deletes its files. A ``database``
+    that does not exist is created, at ``location`` if given.
+    """
+    pair = table_pair(view, database)
+    if database:
+        place = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, spec, own in (
         (pair.realtime, pair.realtime_spec, BATCH),
         (pair.offline, pair.offline_spec, RUN),
@@ -105,13 +114,13 @@ def create_tables(spark: SparkSession, view: ViewSpec, location: str | None = No
         clash = {f.name for f in parts} & set(columns.names)
         if clash:
             raise SpecError(f"table {name}: columns used for partitioning: {sorted(clash)}")
-        _ensure_table(spark, name, columns, T.StructType(parts), spec, location)
+        _ensure_table(spark, name, columns, T.StructType(parts), spec)
     return pair
 
 
-def create_all(spark: SparkSession, views: Iterable[ViewSpec], location: str | None = None) -> list[TablePair]:
+def create_all(spark: SparkSession, views: Iterable[ViewSpec], database: str | None = None) -> list[TablePair]:
     """Tables of several views, in order; the first error stops, earlier tables stay."""
-    return [create_tables(spark, view, location) for view in views]
+    return [create_tables(spark, view, database) for view in views]
 
 
 def _replace(rows: DataFrame, table: str, spec: TableSpec, own: str, number: int, files: int | None) -> None:

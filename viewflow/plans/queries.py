@@ -720,8 +720,9 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingested(spark: SparkSession, sf_dir: str, aggregate: bool = False):
     """A table pair filled by two streams over topics with half the events each; the second comes late."""
     folder = work_dir(spark)
-    view = span_view_spec(spark, f"spans_{uuid.uuid4().hex}", aggregate, "1d")
-    pair = create_tables(spark, view, f"{folder}/tables")
+    view = span_view_spec(spark, "spans", aggregate, "1d")
+    # A database of its own, beside the other scratch data.
+    pair = create_tables(spark, view, f"viewflow_{uuid.uuid4().hex}", f"{folder}/tables")
     events = table(spark, sf_dir, "events").select(*EVENT_COLUMNS, "props")
     # The topic's values have the view's schema; an odd and an even half.
     values = keyed(span_rows(events), "tenant_id").withColumn("odd", F.expr("cast(value.span_id as bigint) % 2"))

@@ -32,7 +32,7 @@ class Topic:
 
 
 def stream_path(path: str) -> str:
-    """A glob matching only ``path``: file streams take a single file in this form, and a folder too."""
+    """A glob matching only ``path``: in this form a file stream takes a single file, not just a folder."""
     return path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]"
 
 
@@ -49,7 +49,7 @@ def topic_source(spark: SparkSession, topic: Topic, stream: bool = True) -> Data
             raise SpecError(f"topic {topic.name!r}: a file topic needs a path, and a schema to be streamed")
         if topic.schema is not None:
             reader = reader.schema(topic.schema)
-        raw = reader.load(stream_path(topic.path) if stream else topic.path)
+        raw = reader.load(topic.path)
     return raw.select(F.col("key").cast("string").alias("key"), "value", F.lit(topic.name).alias("topic"))
 
 

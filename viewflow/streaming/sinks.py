@@ -6,10 +6,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from viewflow.operators.layout import arrange
 from viewflow.sources.codecs import encode_value
+from viewflow.sources.topics import Topic
 
 BATCH = "batch_id"
 
@@ -43,6 +45,18 @@ class FileTarget:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path).drop(BATCH)
 
+    def as_topic(self, name: str, value: T.DataType, partitioned: bool = False) -> Topic:
+        """The written records as a topic for further views.
+
+        ``value`` is the type they were encoded to, ``partitioned`` whether the view has a partitioner.
+        """
+        schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", value)])
+        # A streamed folder's schema names its partition columns too.
+        schema.add(BATCH, T.LongType())
+        if partitioned:
+            schema.add("partition", T.IntegerType())
+        return Topic(name, self.fmt, self.path, schema)
+
 
 @dataclass(frozen=True)
 class KafkaTarget:
