@@ -20,6 +20,7 @@ from viewflow import (
     decode_value,
     encode_value,
     enrich,
+    ingest_realtime,
     jobs_from_settings,
     keyed,
     measure_lookup,
@@ -29,6 +30,7 @@ from viewflow import (
     topic_source,
     write_view,
 )
+from viewflow.operators.tables import table_pair
 from viewflow.sources.codecs import VALUE_CODEC_ENV, avro_schema
 from viewflow.sources.topics import ingest_codec, ingest_source, ingest_topic, ingest_trigger, stream_path
 from viewflow.spec import column
@@ -290,6 +292,14 @@ def test_without_connectors_kafka_and_avro_say_so(spark):
         target.write(spark.createDataFrame([("k", (1,))], "key string, value struct<n: int>"), 0)
 
 
+def test_kafka_needs_encoded_values_and_a_decoder(spark):
+    df = spark.createDataFrame([("k", (1,))], "key string, value struct<n: int>")
+    with pytest.raises(SpecError, match="encoded"):
+        KafkaTarget("t", "localhost:9092", "struct").write(df, 0)
+    with pytest.raises(SpecError, match="decoder"):
+        ingest_realtime(spark, table_pair(ViewSpec.parse(config())), "/nowhere")
+
+
 def test_work_folders_are_new_and_shared(spark):
     first, second = work_dir(spark), work_dir(spark)
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -130,7 +130,7 @@ def test_enrich_keeps_all_rows(spark, small):
     lookup = measure_lookup(reference, ["k"], max_rows=1_000 if small else 0)
     assert lookup.small is small
     out = enrich(df, lookup, hot_rows=100, hot_keys=5)
-    assert out.count() == 3000
+    assert out.count() == 3000 and out.columns == ["k", "v", "name"]
     expected = df.join(reference, "k", "left")
     assert rows(out.select("k", "v", "name")) == rows(expected.select("k", "v", "name"))
 
@@ -152,6 +152,17 @@ def test_hot_key_takes_several_partitions(spark):
         assert len({r.place for r in placed if r.k == key}) == 4
 
 
+def test_keys_of_two_columns_and_ties_in_the_hot_list(spark):
+    # All keys are equally hot, more of them than the list takes.
+    df = spark.range(2000).selectExpr("id % 10 AS a", "timestamp_seconds(id % 2) AS b", "id")
+    reference = spark.range(20).selectExpr("id % 10 AS a", "timestamp_seconds(id % 2) AS b", "id * 7 AS c")
+    reference = reference.dropDuplicates(["a", "b"])
+    out = enrich(df, measure_lookup(reference, ["a", "b"], max_rows=0), hot_rows=10, hot_keys=3)
+    expected = df.join(reference, ["a", "b"], "left").select("a", "b", "id", "c")
+    assert out.columns == ["a", "b", "id", "c"] and rows(out) == rows(expected)
+    assert out.where("c IS NULL").isEmpty()
+
+
 def test_lookup_keys_must_be_unique(spark):
     with pytest.raises(SpecError, match="unique"):
         measure_lookup(spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string"), ["k"])

@@ -71,40 +71,53 @@ def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_keys: in
     first, which a stream has only batch by batch: ``run_views`` hands views such batches, while an
     unbounded DataFrame is joined as it is.
     """
+    keys = list(lookup.keys)
+    columns = [*df.columns, *[c for c in lookup.df.columns if c not in keys]]
     if lookup.small:
-        return df.join(F.broadcast(lookup.df), list(lookup.keys), "left")
-    if df.isStreaming:
-        return df.join(lookup.df, list(lookup.keys), "left")
-    return _salted_join(df, lookup, hot_rows, hot_keys)
+        joined = df.join(F.broadcast(lookup.df), keys, "left")
+    elif df.isStreaming:
+        joined = df.join(lookup.df, keys, "left")
+    else:
+        joined = _salted_join(df, lookup, hot_rows, hot_keys)
+    return joined.select(*columns)
 
 
-def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_keys: int) -> DataFrame:
-    """Shuffle join in which a key with many rows takes as many partitions as its rows need.
+def _hot_salts(df: DataFrame, keys: list[str], hot_rows: int, hot_keys: int) -> DataFrame:
+    """The keys with more than ``hot_rows`` rows, with the number of salts each gets.
 
-    The lookup's row of such a key is repeated once per salt. Rows with a null key match nothing;
-    they are spread out instead of meeting in one partition.
+    Both sides of the join must see the very same list, so it is taken once; it has at most
+    ``hot_keys`` rows.
     """
-    keys, out = list(lookup.keys), [*df.columns, *[c for c in lookup.df.columns if c not in lookup.keys]]
-    no_null = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
     hot = (
-        df.where(no_null)
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") > hot_rows)
         .orderBy(F.desc("__rows"))
         .limit(hot_keys)
         .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("long").alias("__salts"))
     )
+    return df.sparkSession.createDataFrame(hot.toArrow(), hot.schema)
+
+
+def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_keys: int) -> DataFrame:
+    """Shuffle join in which a key with many rows takes as many partitions as its rows need.
+
+    The lookup's row of such a key is repeated once per salt. Rows with a null key match nothing;
+    they are spread out instead of meeting in one partition.
+    """
+    keys = list(lookup.keys)
+    no_null = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
+    hot = F.broadcast(_hot_salts(df.where(no_null), keys, hot_rows, hot_keys))
     salts = F.coalesce(F.col("__salts"), F.lit(1).cast("long"))
     left = (
         df.withColumn("__spread", spread_salt(df))
-        .join(F.broadcast(hot), keys, "left")
+        .join(hot, keys, "left")
         .withColumn("__salt", F.when(F.expr(no_null), F.pmod("__spread", salts)).otherwise(F.col("__spread")))
         .drop("__spread", "__salts")
     )
     right = (
-        lookup.df.join(F.broadcast(hot), keys, "left")
+        lookup.df.join(hot, keys, "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
         .drop("__salts")
     )
-    return left.join(right, [*keys, "__salt"], "left").select(*out)
+    return left.join(right, [*keys, "__salt"], "left")

@@ -167,7 +167,10 @@ def ingest_realtime(
     spec = pair.realtime_spec
     codec = "struct"
     if records is None:
-        records, codec = ingest_source(spark, spec), ingest_codec(spec)
+        codec = ingest_codec(spec)
+        if codec == "struct":
+            raise SpecError(f"table {spec.table_name}: the stream settings name no decoder")
+        records = ingest_source(spark, spec)
     schema = spec.stream.get("stream.kafka.decoder.prop.schema", spec.schema)
     rows = prepare(decode_value(records, schema, codec).select("value.*"), spec)
     first = first_batch(spark, pair, checkpoint)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from viewflow.operators.layout import arrange
 from viewflow.sources.codecs import encode_value
 from viewflow.sources.topics import Topic
+from viewflow.spec import SpecError
 
 BATCH = "batch_id"
 
@@ -73,6 +74,8 @@ class KafkaTarget:
 
     def write(self, out: DataFrame, batch_id: int) -> None:
         out = encode_value(out, self.codec)
+        if isinstance(out.schema["value"].dataType, T.StructType):
+            raise SpecError("a Kafka value must be encoded: json or avro")
         columns = [c for c in ("key", "value", "partition") if c in out.columns]
         out.select(*columns).write.format("kafka").option("kafka.bootstrap.servers", self.servers).option(
             "topic", self.topic
