@@ -30,14 +30,14 @@ HEADLINE = [
     "shape_table",
     "derived_columns",
     "ingest_filter_keep",
-    "ingest_rollup_events",
+    "ingest_rollup",
     "star_rollup_lineitem",
     "query_rollup_stored",
     "partition_id_hashcode",
     "layout_round_trip",
     "retention",
     "age_tier",
-    "hybrid_boundary",
+    "hybrid_read",
     "stream_span_view",
     "stream_multi_view",
     "stream_rollup",

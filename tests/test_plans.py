@@ -13,8 +13,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the gener
 NARROW = """
 span_view merge_topics flat_map_view flat_map_zero_to_two row_function_view row_drop_view schema_conform decode_json
 encode_json output_partitioner split_props_map split_built_map null_defaults truncate_text role_projection shape_table
-epoch_columns ingest_filter_drop ingest_filter_keep strcmp_view derived_columns partition_id_text retention
-roll_over_rows hybrid_boundary
+epoch_columns ingest_filter ingest_filter_keep strcmp_view derived_columns partition_id_text retention
+roll_over hybrid_read
 """.split()
 
 SCANNED = {
@@ -28,7 +28,7 @@ SCANNED = {
     "age_tier": "ts",
     "partition_id_modulo": "o_custkey",
     "star_rollup_lineitem": "l_linenumber l_extendedprice l_returnflag l_linestatus",
-    "ingest_rollup_events": "ts user_id event_type value",
+    "ingest_rollup": "ts user_id event_type value",
 }
 
 
@@ -51,7 +51,7 @@ def test_columns_read(spark, name):
     assert sorted(re.sub(r"#\d+L?", "", scans[0]).split(",")) == sorted(SCANNED[name].split())
 
 
-@pytest.mark.parametrize("name", ["time_bucket_counts", "ingest_rollup_events", "age_tier", "partition_id_hashcode"])
+@pytest.mark.parametrize("name", ["time_bucket_counts", "ingest_rollup", "age_tier", "partition_id_hashcode"])
 def test_one_shuffle_after_a_partial_aggregate(spark, name):
     text = plan(spark, name)
     assert text.count("Exchange hashpartitioning") == 1 and "Exchange" not in text[text.index("partial_") :]

@@ -161,9 +161,9 @@ def first_batch(spark: SparkSession, pair: TablePair, checkpoint: str) -> int:
     """Number the table gives to batch 0 of a stream.
 
     A restarted stream keeps its numbers; one with a new checkpoint, which counts from 0 again,
-    goes on after the batches the table has.
+    goes on after the batches the table has. One stream at a time writes a table.
     """
-    name = f"viewflow.first.{zlib.crc32(checkpoint.encode()):08x}"
+    name = f"viewflow.first.{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
     known = _properties(spark, pair.realtime)
     if name not in known:
         known[name] = str(last_batch(spark, pair) + 1)

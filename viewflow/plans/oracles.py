@@ -121,6 +121,9 @@ ORACLES: dict[str, str] = {
                CASE WHEN user_id % 7 = 0 THEN -1 ELSE user_id % 7 END AS shard,
                CASE WHEN event_type = 'click' THEN 'none' ELSE event_type || ',' || event_type END AS tags
         FROM events""",
+    "null_defaults_truncate": """
+        SELECT event_id, substring(CASE WHEN event_type = 'click' THEN 'null' ELSE event_type END, 1, 3) AS kind
+        FROM events""",
     "truncate_text": """
         SELECT doc_id, substring(text, 1, 12) AS head,
                array_to_string(list_transform(string_split(text, ' '), lambda w: substring(w, 1, 3)), ' ') AS words
@@ -134,7 +137,7 @@ ORACLES: dict[str, str] = {
                'tenant-' || (user_id % 10) AS tenant_id, {MILLIS} AS start_time_millis FROM events""",
     "shape_table": TABLE_ROWS,
     "epoch_columns": f"SELECT o_orderkey, {EPOCHS}, true AS nanoseconds_same FROM orders",
-    "ingest_filter_drop": """
+    "ingest_filter": """
         SELECT event_id, nullif(event_type, 'click') AS kind, user_id FROM events
         WHERE NOT (event_type = 'error' OR (event_type = 'click' AND user_id < 10))""",
     "ingest_filter_keep": """
@@ -150,8 +153,8 @@ ORACLES: dict[str, str] = {
                cents // 100000 * 100000 AS price_band
         FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)""",
     "time_bucket_counts": f"SELECT {MILLIS} // 3600000 * 3600000 AS hour, count(*) AS n FROM events GROUP BY 1",
-    "ingest_rollup_events": ROLLUP,
-    "star_rollup_events": EVENT_CUBE.format(source=CUBE_INPUT, groups="CUBE (shard, event_type)"),
+    "ingest_rollup": ROLLUP,
+    "star_rollup": EVENT_CUBE.format(source=CUBE_INPUT, groups="CUBE (shard, event_type)"),
     "star_rollup_no_star": EVENT_CUBE.format(
         source=CUBE_INPUT, groups="GROUPING SETS ((shard, event_type), (shard))"
     ),
@@ -178,7 +181,7 @@ ORACLES: dict[str, str] = {
                GROUPING(span_kind)::INT AS span_kind__starred,
                count(*) AS COUNT__span_id, sum(time_taken_millis)::BIGINT AS SUM__time_taken_millis
         FROM ({TABLE_ROWS}) GROUP BY CUBE (tenant_id, span_kind)""",
-    "query_rollup_one_dim": f"""
+    "query_rollup": f"""
         SELECT event_type, count(*) AS COUNT__event_id, sum(total)::BIGINT AS SUM__total
         FROM {CUBE_INPUT} GROUP BY 1""",
     "query_rollup_where": f"""
@@ -212,10 +215,10 @@ ORACLES: dict[str, str] = {
     "age_tier_stored": f"""
         SELECT *, 'warm' AS tier FROM ({TIMED})
         WHERE {AS_OF} - start_time_millis >= {5 * DAY} AND {AS_OF} - start_time_millis < {20 * DAY}""",
-    "roll_over_rows": f"""
+    "roll_over": f"""
         SELECT *, start_time_millis // 21600000 * 21600000 AS bucket_start FROM ({TIMED})
         WHERE start_time_millis < {BOUNDARY}""",
-    "hybrid_boundary": f"""
+    "hybrid_read": f"""
         SELECT *, CASE WHEN start_time_millis < {BOUNDARY} THEN 'offline' ELSE 'realtime' END AS origin
         FROM ({TIMED})""",
     "batch_topics": """

@@ -52,7 +52,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a closing underscore tells it from an operator's."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -274,6 +275,15 @@ def null_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled.withColumn("tags", F.array_join("tags", ","))
 
 
+@query
+def null_defaults_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defaults first, then lengths: a default is cut too."""
+    kind = F.nullif("event_type", F.lit("click")).alias("kind")
+    schema = T.StructType([column("kind", T.StringType(), "null")])
+    filled = fill_defaults(table(spark, sf_dir, "events").select("event_id", kind), schema)
+    return truncate(filled, {"kind": 3})
+
+
 @query
 def truncate_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings and the elements of string arrays cut to a length per column."""
@@ -333,7 +343,7 @@ def epoch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def ingest_filter_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingest_filter_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows for which the condition is true go; where it is null they stay."""
     events = table(spark, sf_dir, "events").select(
         "event_id", F.nullif("event_type", F.lit("click")).alias("kind"), "user_id"
@@ -407,7 +417,7 @@ def _rollup_input(events: DataFrame) -> DataFrame:
 
 
 @query
-def ingest_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ingest_rollup_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics summed over equal dimensions and times."""
     events = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
     return ingest_rollup(shape(_rollup_input(events), _rollup_spec()), _rollup_spec())
@@ -447,7 +457,7 @@ def _line_input(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
 
 
 @query
-def star_rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def star_rollup_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All subsets of the dimensions."""
     return star_rollup(_cube_input(spark, sf_dir), EVENT_TREE)
 
@@ -482,7 +492,7 @@ def star_rollup_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def query_rollup_one_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+def query_rollup_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GROUP BY one dimension, from the cube."""
     return query_rollup(star_rollup(_cube_input(spark, sf_dir), EVENT_TREE), EVENT_TREE, ["event_type"])
 
@@ -596,13 +606,13 @@ def age_tier_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def roll_over_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def roll_over_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of complete six-hour buckets, twelve hours back."""
     return complete_rows(_timed(spark, sf_dir), _span_spec(spark), AS_OF)
 
 
 @query
-def hybrid_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hybrid_read_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offline rows before the boundary, realtime rows after, though both tables overlap."""
     spec = _span_spec(spark)
     rows = _timed(spark, sf_dir)
