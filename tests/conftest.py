@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[4]")
+        # A task may fail once: lost work is tested too.
+        SparkSession.builder.master("local[4,2]")
         .appName("viewflow-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")

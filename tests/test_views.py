@@ -12,6 +12,7 @@ from viewflow import (
     conform,
     enrich,
     explode_view,
+    keyed,
     measure_lookup,
     merge_streams,
     projection_view,
@@ -152,6 +153,35 @@ def test_hot_key_takes_several_partitions(spark):
         assert len({r.place for r in placed if r.k == key}) == 4
 
 
+def test_a_task_run_again_changes_nothing(spark):
+    """Tasks before and after the salted shuffle fail at their first attempt."""
+
+    def flaky(record):
+        from pyspark import TaskContext
+
+        if record["n"] % 500 == 499 and TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("lost")
+        return [{"n": record["n"]}, {"n": record["n"] % 3}]
+
+    data = spark.range(0, 2000, 1, 4).selectExpr("cast(id as string) AS key", "named_struct('n', id) AS value")
+    once = view_rows(data, row_view("v", OUT, flaky, ["n"]))
+    assert once.count() == 4000
+    reference = spark.range(500).selectExpr("id AS n", "id * 2 AS twice")
+    lookup = measure_lookup(reference, ["n"], max_rows=0)
+    schema = T.StructType([column("n", T.LongType()), column("twice", T.LongType())])
+    rest = View("w", schema, lambda df, ctx: enrich(df, lookup, hot_rows=50))
+    out = view_rows(once.selectExpr("key", "named_struct('n', n) AS value"), rest)
+    again = keyed(out, "key", ["n", "twice"])
+    final = view_rows(again, row_view("x", OUT, flaky, ["n"]))
+    found = rows(final.groupBy("n").count())
+    expected = {}
+    for n in range(2000):
+        for m in (n, n % 3):
+            for k in (m, m % 3):
+                expected[k] = expected.get(k, 0) + 1
+    assert found == sorted(expected.items(), key=repr)
+
+
 def test_keys_of_two_columns_and_ties_in_the_hot_list(spark):
     # All keys are equally hot, more of them than the list takes.
     df = spark.range(2000).selectExpr("id % 10 AS a", "timestamp_seconds(id % 2) AS b", "id")

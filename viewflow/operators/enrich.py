@@ -39,8 +39,8 @@ def measure_lookup(
 ) -> Lookup:
     """Check the keys for duplicates and the size against the broadcast bounds; once per job."""
     keys = tuple(keys)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    found = per_key.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    found = per_key.agg(F.max("__rows").alias("most"), F.sum("__rows").alias("rows")).first()
     if (found["most"] or 0) > 1:
         raise SpecError(f"lookup rows are not unique by {', '.join(keys)}")
     if (found["rows"] or 0) > max_rows:

@@ -83,8 +83,8 @@ def row_view(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(out_schema)
-        rows: list[dict] = []
         for batch in batches:
+            rows: list[dict] = []
             for record in batch.to_pylist():
                 key = record.pop(KEY)
                 for out in function(record) or ():
@@ -92,8 +92,8 @@ def row_view(
                     if len(rows) >= max_batch:
                         yield pa.RecordBatch.from_pylist(rows, schema=arrow)
                         rows = []
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
     def transform(df: DataFrame, _: Context) -> DataFrame:
         return df.select(KEY, *inputs).mapInArrow(run, out_schema)
