@@ -107,6 +107,18 @@ def test_a_database_at_a_place(spark, unique, folder):
     assert times(read_hybrid(spark, pair)) == [0, DAY]
 
 
+@pytest.mark.parametrize("what", ["bucket", "partitions"])
+def test_a_changed_layout_raises(spark, pair, unique, what):
+    settings = config(unique)
+    settings["view.output.schema"] = ROW
+    if what == "bucket":
+        settings["realtime"]["taskConfigs"]["RealtimeToOfflineSegmentsTask"]["bucketTimePeriod"] = "1d"
+    else:
+        settings["realtime"]["segmentPartitionConfig"]["columnPartitionMap"]["tenant_id"]["numPartitions"] = 8
+    with pytest.raises(SpecError, match="stored by"):
+        create_tables(spark, ViewSpec.parse(settings))
+
+
 def test_several_views_stop_at_the_first_error(spark, unique, folder):
     register_sql_functions(spark)
     bad = view(f"{unique}_b", timeColumn="name")

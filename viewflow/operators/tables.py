@@ -26,7 +26,7 @@ from viewflow.operators.lifecycle import Moment, complete_until, retention_start
 from viewflow.spec import SpecError, TableSpec, ViewSpec
 
 BATCH, RUN = "batch_id", "run_id"
-_STATE, _LAST_BATCH = "viewflow.rollover", "viewflow.batch"
+_STATE, _LAST_BATCH, _LAYOUT = "viewflow.rollover", "viewflow.batch", "viewflow.layout"
 
 
 @dataclass(frozen=True)
@@ -60,6 +60,11 @@ def _typed(columns: T.StructType) -> str:
     return ", ".join(parts)
 
 
+def _layout(spec: TableSpec) -> str:
+    """What decides a row's folder and may not change once there are rows."""
+    return json.dumps({"bucket": spec.period(spec.bucket_period), "partitions": spec.partitions}, sort_keys=True)
+
+
 def _ensure_table(
     spark: SparkSession,
     name: str,
@@ -72,12 +77,17 @@ def _ensure_table(
         # An overwrite replaces all of a batch or run, whatever the session's own setting is.
         options = {"partitionOverwriteMode": "static", **parquet_options(spec, columns)}
         settings = ", ".join(f"'{key}' = '{value}'" for key, value in options.items())
+        layout = f"TBLPROPERTIES ('{_LAYOUT}' = '{_layout(spec)}')"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({_typed(columns)}, {_typed(partitions)}) "
             f"USING parquet OPTIONS ({settings}) "
-            f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in partitions.fields)})"
+            f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in partitions.fields)}) {layout}"
         )
         return
+    written = _properties(spark, name).get(_LAYOUT)
+    if written != _layout(spec):
+        # Rows already stored lie in folders by the old numbers.
+        raise SpecError(f"table {name}: stored by {written}, the spec has {_layout(spec)}")
     present = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
     for f in [*columns.fields, *partitions.fields]:
         wanted = f.dataType.simpleString()
