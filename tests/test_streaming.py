@@ -93,6 +93,10 @@ def test_jobs_from_settings(spark, folder):
     run(spark, folder, jobs_from_settings(settings, {"raw": KINDS, "spans": COPY}, target), topics)
     assert rows(target("kinds").read(spark).select("key", "value.kind")) == [("k1", "x")]
     assert target("spans").read(spark).count() == 2
+    alone = jobs_from_settings({"input": {"topics": ["t2"]}, "output.topic": "one"}, {"any": COPY}, target)
+    assert [(job.inputs, job.target) for job in alone] == [(["t2"], target("one"))]
+    with pytest.raises(SpecError, match="list"):
+        jobs_from_settings({}, {"a": COPY, "b": KINDS}, target)
     with pytest.raises(SpecError, match="spans"):
         jobs_from_settings(settings, {"raw": KINDS}, target)
     del settings["raw"]["output.topic"]

@@ -92,15 +92,22 @@ def jobs_from_settings(
     input_schema: T.StructType | str | None = None,
     codec: str = "struct",
 ) -> list[ViewJob]:
-    """Jobs from a list ``view.generators`` and, under each name, ``input.topics`` and ``output.topic``.
+    """Jobs from settings: a list ``view.generators`` and, under each name, ``input.topics`` and
+    ``output.topic``; or, without the list, these two for the one view given.
 
     ``target`` makes a target of an output topic's name.
     """
+    if "view.generators" in flatten(settings):
+        sections = {name: settings.get(name) for name in flatten(settings)["view.generators"]}
+    elif len(views) == 1:
+        sections = {name: settings for name in views}
+    else:
+        raise SpecError("settings for several views need the list view.generators")
     jobs = []
-    for name in flatten(settings).get("view.generators", []):
-        if name not in views or name not in settings:
+    for name, section in sections.items():
+        if name not in views or section is None:
             raise SpecError(f"view {name!r} has no settings or no View object")
-        own = flatten(settings[name])
+        own = flatten(section)
         missing = [key for key in ("input.topics", "output.topic") if key not in own]
         if missing:
             raise SpecError(f"view {name!r}: missing {', '.join(missing)}")
