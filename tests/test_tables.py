@@ -18,7 +18,6 @@ from viewflow import (
     read_hybrid,
     roll_over,
 )
-from viewflow.functions import register_sql_functions
 from viewflow.operators.tables import append_batch, first_batch, last_batch
 from viewflow.spec import column
 
@@ -35,7 +34,6 @@ def view(name, schema=None, **table):
 
 @pytest.fixture
 def pair(spark, unique):
-    register_sql_functions(spark)
     return create_tables(spark, view(unique))
 
 
@@ -59,7 +57,6 @@ def test_two_tables_one_schema(spark, pair, unique):
 
 
 def test_create_again_and_widen(spark, unique, folder):
-    register_sql_functions(spark)
     first = view(unique)
     pair = create_tables(spark, first)
     append_batch(shaped(spark, pair, 5), pair, 0)
@@ -89,7 +86,6 @@ def test_changed_type_raises(spark, pair, unique, folder):
 
 
 def test_a_database_at_a_place(spark, unique, folder):
-    register_sql_functions(spark)
     pair = create_tables(spark, view("rows"), unique, f"{folder}/there")
     assert (pair.realtime, pair.offline) == (f"{unique}.rows_realtime", f"{unique}.rows_offline")
     assert create_tables(spark, view("rows"), unique) == pair
@@ -120,7 +116,6 @@ def test_a_changed_layout_raises(spark, pair, unique, what):
 
 
 def test_several_views_stop_at_the_first_error(spark, unique, folder):
-    register_sql_functions(spark)
     bad = view(f"{unique}_b", timeColumn="name")
     with pytest.raises(SpecError):
         create_all(spark, [view(f"{unique}_a"), bad, view(f"{unique}_c")])
@@ -131,7 +126,6 @@ def test_several_views_stop_at_the_first_error(spark, unique, folder):
 def test_names_of_partition_columns_are_taken(spark, unique, folder):
     fields = T.StructType([*ROW.fields, column("batch_id", T.StringType())])
     dimensions = [*config()["table"]["dimensionColumns"], "batch_id"]
-    register_sql_functions(spark)
     with pytest.raises(SpecError, match="batch_id"):
         create_tables(spark, view(unique, fields, dimensionColumns=dimensions))
 
@@ -295,7 +289,6 @@ def test_ingest_job_restarts_where_it_was(spark, pair, folder):
 
 
 def test_ingest_goes_on_after_the_table_was_widened(spark, unique, folder):
-    register_sql_functions(spark)
     pair = create_tables(spark, view(unique))
     raw(spark, ("t1", "n", 1)).write.parquet(f"{folder}/topic")
     ingest(spark, pair, folder)
@@ -307,7 +300,6 @@ def test_ingest_goes_on_after_the_table_was_widened(spark, unique, folder):
 
 
 def test_ingest_may_roll_up_each_batch(spark, unique, folder):
-    register_sql_functions(spark)
     pair = create_tables(spark, view(unique, aggregateMetrics=True))
     raw(spark, ("t1", "n", 1), ("t1", "n", 1), ("t1", "m", 1)).coalesce(1).write.parquet(f"{folder}/topic")
     ingest(spark, pair, folder)

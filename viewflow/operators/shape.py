@@ -70,10 +70,10 @@ def table_schema(spec: TableSpec, input_schema: T.StructType | None = None) -> T
         fields.append(T.StructField(name, data_type, True, meta))
 
     needed = _needed_columns(spec)
-    known = {f.name: f for f in spec.schema.fields}
+    defaults = {f.name: field_default(f) for f in spec.schema.fields}
     # Derived columns come after the view's own and take part in the roles.
-    for field in [known.get(f.name, f) for f in (input_schema or spec.schema).fields]:
-        name, data_type, default = field.name, field.dataType, field_default(field)
+    for field in (input_schema or spec.schema).fields:
+        name, data_type, default = field.name, field.dataType, defaults.get(field.name)
         if isinstance(data_type, T.MapType):
             value_default = map_value_default(data_type)
             add(name + KEYS_SUFFIX, T.ArrayType(T.StringType()), DIMENSION, "")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewflow.functions.text import register_sql_functions
 from viewflow.operators.ingest import prepare
 from viewflow.operators.layout import (
     BUCKET,
@@ -107,8 +108,10 @@ def create_tables(
     """Check the schema, then create or widen the realtime and the offline table. Safe to repeat.
 
     The tables are the catalog's own, so that dropping a partition deletes its files. A ``database``
-    that does not exist is created, at ``location`` if given.
+    that does not exist is created, at ``location`` if given. Bloom filters and dictionaries are as
+    the spec had them when the table was created.
     """
+    register_sql_functions(spark)
     pair = table_pair(view, database)
     if database:
         place = f" LOCATION '{location}'" if location else ""

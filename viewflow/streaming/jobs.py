@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from viewflow.functions.text import register_sql_functions
 from viewflow.operators.enrich import Context
 from viewflow.operators.ingest import ingest_rollup, prepare
 from viewflow.operators.layout import add_partitions
@@ -171,6 +172,7 @@ def ingest_realtime(
     shaping happen before the batch is handed over, so the scan reads the needed columns only. With
     ``aggregate_metrics`` each batch is rolled up; sums over the table are the same as without.
     """
+    register_sql_functions(spark)
     spec = pair.realtime_spec
     codec = "struct"
     if records is None:
