@@ -190,6 +190,16 @@ def test_json_topics(spark, folder):
     assert rows(back.select("key", "value.*")) == [("k", *span("a")), (None, *span("b"))]
 
 
+def test_views_may_decode_differently(spark, folder):
+    records = encode_value(spark.createDataFrame([("k", span("a", "x"))], SPAN_RECORD), "json")
+    topics = [publish(records, f"{folder}/t1")]
+    narrow, wide = FileTarget(f"{folder}/narrow"), FileTarget(f"{folder}/wide")
+    jobs = [ViewJob(KINDS, ["t1"], narrow, "span_kind STRING", "json"), ViewJob(COPY, ["t1"], wide, SPAN, "json")]
+    run(spark, folder, jobs, topics)
+    assert rows(narrow.read(spark).select("key", "value.*")) == [("k", "x")]
+    assert rows(wide.read(spark).select("key", "value.*")) == [("k", *span("a", "x"))]
+
+
 def test_a_value_that_cannot_be_decoded_fails_or_is_null(spark):
     df = spark.createDataFrame([("k", "{not json")], "key string, value string")
     with pytest.raises(Exception, match="(?i)malformed|parse"):

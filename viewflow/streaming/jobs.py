@@ -62,26 +62,26 @@ def check_jobs(jobs: Iterable[ViewJob]) -> list[ViewJob]:
     return jobs
 
 
-def job_output(records: DataFrame, job: ViewJob, context: Context | None = None) -> DataFrame:
+def job_output(
+    records: DataFrame, job: ViewJob, context: Context | None = None, decoded: bool = False
+) -> DataFrame:
     """One view's output from the tagged records of all topics."""
     mine = records.where(F.col("topic").isin(list(job.inputs)))
-    decoded = decode_value(mine, job.input_schema, job.codec)
-    return apply_view(decoded, job.view, context)
+    if not decoded:
+        mine = decode_value(mine, job.input_schema, job.codec)
+    return apply_view(mine, job.view, context)
 
 
 def _write_all(
-    batch: DataFrame, jobs: Sequence[ViewJob], context: Context | None, batch_id: int, parallel: int
+    jobs: Sequence[ViewJob], write: Callable[[ViewJob], None], spark: SparkSession, parallel: int
 ) -> None:
-    def write(job: ViewJob) -> None:
-        job.target.write(job_output(batch, job, context), batch_id)
-
     if len(jobs) == 1 or parallel == 1:
         for job in jobs:
             write(job)
         return
     # The threads carry the query's job group, so that stopping the query stops their jobs.
     with ThreadPoolExecutor(min(parallel, len(jobs))) as pool:
-        started = [pool.submit(inheritable_thread_target(batch.sparkSession)(write), job) for job in jobs]
+        started = [pool.submit(inheritable_thread_target(spark)(write), job) for job in jobs]
     for one in started:
         one.result()
 
@@ -133,6 +133,10 @@ def run_views(
     jobs = check_jobs(jobs)
     topics = list(dict.fromkeys(name for job in jobs for name in job.inputs))
     stream = sources.merged(topics)
+    # Views that decode alike share the decoded values.
+    alike = all((job.input_schema, job.codec) == (jobs[0].input_schema, jobs[0].codec) for job in jobs)
+    if alike:
+        stream = decode_value(stream, jobs[0].input_schema, jobs[0].codec)
     # Whatever reads a batch more than once: several views, the sample taken to place rows by
     # partition, the count of hot keys before a salted join.
     shared = (
@@ -144,8 +148,12 @@ def run_views(
     def step(batch: DataFrame, batch_id: int) -> None:
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def write(job: ViewJob) -> None:
+            job.target.write(job_output(batch, job, context, decoded=alike), batch_id)
+
         try:
-            _write_all(batch, jobs, context, batch_id, parallel)
+            _write_all(jobs, write, batch.sparkSession, parallel)
         finally:
             if shared:
                 batch.unpersist()
