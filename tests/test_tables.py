@@ -18,6 +18,7 @@ from viewflow import (
     read_hybrid,
     roll_over,
 )
+from viewflow.functions import register_sql_functions
 from viewflow.operators.tables import append_batch, first_batch, last_batch
 from viewflow.spec import column
 
@@ -148,6 +149,18 @@ def test_overwrites_stay_within_the_batch_in_any_session_mode(spark, pair):
     assert times(spark.table(pair.realtime)) == [1]
 
 
+def test_a_batch_replaced_in_another_session_is_seen(spark, pair):
+    append_batch(shaped(spark, pair, 1, 2), pair, 0)
+    assert times(read_hybrid(spark, pair)) == [1, 2]
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    register_sql_functions(other)
+    append_batch(shaped(other, pair, 3, 4), pair, 0)
+    assert times(read_hybrid(spark, pair)) == [3, 4]
+    roll_over(spark, pair, DAY)
+    assert times(read_hybrid(spark, pair)) == [3, 4]
+
+
 def test_batch_numbers_go_on_after_a_new_checkpoint(spark, pair):
     assert first_batch(spark, pair, "/a") == 0
     append_batch(shaped(spark, pair, 1), pair, 0)

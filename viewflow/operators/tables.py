@@ -218,6 +218,12 @@ def _moved(pair: TablePair, boundary: int | None, batch: int) -> Column:
     return F.coalesce(ended & (F.col(BATCH) <= F.lit(batch)), F.lit(False))
 
 
+def _refreshed(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now: streams write in a session of their own, whose file lists ours does not see."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _row_columns(spark: SparkSession, pair: TablePair) -> list[str]:
     hidden = {BUCKET, BATCH, *partition_columns(pair.realtime_spec)}
     return [c for c in spark.table(pair.realtime).columns if c not in hidden]
@@ -238,7 +244,7 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
     boundary = max(complete_until(pair.realtime_spec, as_of), earlier)
     if (boundary, batch) == (state.boundary, state.batch):
         return state
-    rows = spark.table(pair.realtime)
+    rows = _refreshed(spark, pair.realtime)
     fresh = rows.where(_moved(pair, boundary, batch) & ~_moved(pair, state.boundary, state.batch))
     done = RollState(state.run + 1, boundary, batch)
     _replace(fresh.select(*_row_columns(spark, pair)), pair.offline, pair.offline_spec, RUN, done.run, files)
@@ -251,8 +257,8 @@ def read_hybrid(spark: SparkSession, pair: TablePair) -> DataFrame:
     columns alone, so only the needed folders are listed and read."""
     state = roll_state(spark, pair)
     columns = _row_columns(spark, pair)
-    offline = spark.table(pair.offline).where(F.col(RUN) <= F.lit(state.run))
-    realtime = spark.table(pair.realtime).where(~_moved(pair, state.boundary, state.batch))
+    offline = _refreshed(spark, pair.offline).where(F.col(RUN) <= F.lit(state.run))
+    realtime = _refreshed(spark, pair.realtime).where(~_moved(pair, state.boundary, state.batch))
     return offline.select(*columns).unionByName(realtime.select(*columns))
 
 
