@@ -63,16 +63,29 @@ def test_round_trip_and_folders(spark, folder, data):
     assert wrong.isEmpty()
 
 
-def test_files_are_sorted(folder, data):
-    write_layout(data, make_spec(), folder, files=4)
+@pytest.mark.parametrize("by_range", [False, True])
+def test_files_are_sorted(folder, data, by_range):
+    write_layout(data, make_spec(), folder, by_range=by_range)
     for file in files(folder):
         table = pq.ParquetFile(file).read(columns=["tenant", "t"]).to_pydict()
         pairs = list(zip(table["tenant"], table["t"]))
         assert pairs == sorted(pairs)
 
 
-def test_hot_partition_is_written_by_several_tasks(folder, data):
-    write_layout(data, make_spec(), folder, files=8)
+@pytest.mark.parametrize("way", ["adaptive", "by range", "not adaptive"])
+def test_hot_partition_is_written_by_several_tasks(spark, folder, data, way):
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.enabled": "true"}
+    if way == "not adaptive":
+        small["spark.sql.adaptive.enabled"] = "false"
+    kept = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        write_layout(data, make_spec(), folder, files=8 if way == "by range" else None)
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert rows(spark.read.parquet(folder).select(*SCHEMA.names)) == rows(data)
     tenants = [pq.ParquetFile(f).read(columns=["tenant"])["tenant"].to_pylist() for f in files(folder)]
     hot = [t.count("hot") for t in tenants if "hot" in t]
     assert sum(hot) == 2000 and len(hot) >= 2 and max(hot) < 1500

@@ -50,20 +50,29 @@ def arrange(
     partition_by: Iterable[str],
     order_by: Iterable[str],
     files: int | None = None,
+    by_range: bool = False,
 ) -> DataFrame:
-    """Rows in ranges of (partition, order) columns, sorted within each task.
+    """Bring rows of a partition together and sort them within each task, for few and sorted files.
 
-    A task then writes few partitions, and the min/max of its files are narrow. The last range key
-    is a salt: a partition or value with a great share of the rows is cut over many tasks. Without
-    ``files`` adaptive execution sizes the tasks.
+    Normally adaptive execution sizes the tasks in one pass: small partitions share one, a partition
+    with a great share of the rows is cut over many. ``by_range`` cuts along the order instead, so
+    that files hold narrow ranges of it; that takes a sample of the rows first, a second read of
+    them. The last range key is a salt, by which a single heavy value is cut too. ``files`` asks for
+    so many ranges; without adaptive execution the way is always by range.
     """
+    partition_by = list(partition_by)
     order = list(dict.fromkeys([*partition_by, *order_by]))
     if not order:
         return df
-    salted = df.withColumn("__salt", spread_salt(df))
-    ranges = [*[F.col(f"`{c}`") for c in order], F.col("__salt")]
-    placed = salted.repartitionByRange(files, *ranges) if files else salted.repartitionByRange(*ranges)
-    return placed.drop("__salt").sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if partition_by and adaptive and not (by_range or files):
+        placed = df.hint("rebalance", *partition_by)
+    else:
+        ranges = [*[F.col(f"`{c}`") for c in order], F.col("__salt")]
+        salted = df.withColumn("__salt", spread_salt(df))
+        placed = salted.repartitionByRange(files, *ranges) if files else salted.repartitionByRange(*ranges)
+        placed = placed.drop("__salt")
+    return placed.sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
 
 
 def _parquet_path(name: str, data_type: T.DataType) -> str:
@@ -96,10 +105,12 @@ def parquet_options(
     return options
 
 
-def write_layout(df: DataFrame, spec: TableSpec, path: str, files: int | None = None) -> None:
+def write_layout(
+    df: DataFrame, spec: TableSpec, path: str, files: int | None = None, by_range: bool = False
+) -> None:
     """Write shaped rows as a partitioned folder in the table's layout, replacing the partitions it holds."""
     df = add_partitions(df, spec)
     parts = partition_columns(spec)
-    arrange(df, parts, order_columns(spec), files).write.mode("overwrite").option(
+    arrange(df, parts, order_columns(spec), files, by_range).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).options(**parquet_options(spec, df.schema)).partitionBy(*parts).parquet(path)

@@ -136,13 +136,13 @@ def create_all(spark: SparkSession, views: Iterable[ViewSpec], database: str | N
     return [create_tables(spark, view, database) for view in views]
 
 
-def _replace(rows: DataFrame, table: str, spec: TableSpec, own: str, number: int, files: int | None) -> None:
+def _replace(
+    rows: DataFrame, table: str, spec: TableSpec, own: str, number: int, files: int | None, by_range: bool
+) -> None:
     """Write shaped rows in the table's layout as one batch or run, in place of what it had written."""
     spark = rows.sparkSession
     parts = partition_columns(spec)
-    if not set(parts) <= set(rows.columns):
-        rows = add_partitions(rows, spec)
-    rows = arrange(rows, parts, order_columns(spec), files)
+    rows = arrange(add_partitions(rows, spec), parts, order_columns(spec), files, by_range)
     known = set(rows.columns)
     # A column the table had before this spec is filled with nulls.
     fields = [f for f in spark.table(table).schema.fields if f.name not in {own, *parts}]
@@ -185,11 +185,8 @@ def first_batch(spark: SparkSession, pair: TablePair, checkpoint: str) -> int:
 
 
 def append_batch(rows: DataFrame, pair: TablePair, batch_id: int, files: int | None = None) -> None:
-    """Write one batch of shaped rows to the realtime table; written again, it replaces itself.
-
-    Partition columns are added unless the rows have them.
-    """
-    _replace(rows, pair.realtime, pair.realtime_spec, BATCH, batch_id, files)
+    """Write one batch of shaped rows to the realtime table; written again, it replaces itself."""
+    _replace(rows, pair.realtime, pair.realtime_spec, BATCH, batch_id, files, by_range=False)
     # Counted only now: a roll-over at the same time must not take a batch half written for whole.
     last = max(batch_id, last_batch(rows.sparkSession, pair))
     _set_property(rows.sparkSession, pair.realtime, _LAST_BATCH, str(last))
@@ -230,7 +227,7 @@ def _row_columns(spark: SparkSession, pair: TablePair) -> list[str]:
 
 
 def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int | None = None) -> RollState:
-    """Move the rows of complete buckets to the offline table, in larger, sorted files.
+    """Move the rows of complete buckets to the offline table, in larger files cut along its order.
 
     Only what earlier runs have not moved is read, rows that came late into a moved bucket
     included. A run counts once the table property is set after it; one that broke off before is
@@ -247,7 +244,9 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
     rows = _refreshed(spark, pair.realtime)
     fresh = rows.where(_moved(pair, boundary, batch) & ~_moved(pair, state.boundary, state.batch))
     done = RollState(state.run + 1, boundary, batch)
-    _replace(fresh.select(*_row_columns(spark, pair)), pair.offline, pair.offline_spec, RUN, done.run, files)
+    fresh = fresh.select(*_row_columns(spark, pair))
+    # Written once and read often: worth a sample of the rows.
+    _replace(fresh, pair.offline, pair.offline_spec, RUN, done.run, files, by_range=True)
     _set_property(spark, pair.offline, _STATE, json.dumps(vars(done)))
     return done
 

@@ -17,7 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 from viewflow.functions.text import register_sql_functions
 from viewflow.operators.enrich import Context
 from viewflow.operators.ingest import ingest_rollup, prepare
-from viewflow.operators.layout import add_partitions
 from viewflow.operators.tables import TablePair, append_batch, first_batch
 from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import decode_value
@@ -137,13 +136,9 @@ def run_views(
     alike = all((job.input_schema, job.codec) == (jobs[0].input_schema, jobs[0].codec) for job in jobs)
     if alike:
         stream = decode_value(stream, jobs[0].input_schema, jobs[0].codec)
-    # Whatever reads a batch more than once: several views, the sample taken to place rows by
-    # partition, the count of hot keys before a salted join.
-    shared = (
-        len(jobs) > 1
-        or jobs[0].view.partition_expr is not None
-        or any(not lookup.small for lookup in (context.lookups.values() if context else ()))
-    )
+    # A batch is read more than once by several views, and by the count of hot keys before a salted join.
+    lookups = context.lookups.values() if context else ()
+    shared = len(jobs) > 1 or not all(lookup.small for lookup in lookups)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if shared:
@@ -195,13 +190,7 @@ def ingest_realtime(
     def step(batch: DataFrame, batch_id: int) -> None:
         if spec.aggregate_metrics:
             batch = ingest_rollup(batch, spec)
-        # The layout samples the rows before it places them; the topic is read, and the partition
-        # numbers are computed, once all the same.
-        batch = add_partitions(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            append_batch(batch, pair, first + batch_id, files)
-        finally:
-            batch.unpersist()
+        append_batch(batch, pair, first + batch_id, files)
 
     return (
         rows.writeStream.option("checkpointLocation", checkpoint)
