@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import types as T
 
@@ -178,3 +180,56 @@ def test_length_of_a_split_column(spark):
 def test_fill_defaults_leaves_columns_without_one(spark):
     schema = T.StructType([column("a", T.LongType(), 5), column("b", T.LongType())])
     assert tuple(fill_defaults(spark.createDataFrame([(None, None)], schema), schema).first()) == (5, None)
+
+
+def test_random_rows_against_plain_python(spark):
+    draw = random.Random(11)
+
+    def maybe(make):
+        return None if draw.random() < 0.3 else make()
+
+    def text():
+        return "".join(draw.choice("aä€") for _ in range(draw.randrange(6)))
+
+    schema = T.StructType(
+        [
+            column("id", T.LongType()),
+            column("t", T.LongType(), -1),
+            column("s", T.StringType()),
+            column("l", T.ArrayType(T.StringType())),
+            column("m", T.MapType(T.StringType(), T.LongType())),
+            column("n", T.LongType(), 0),
+            column("dropped", T.StringType()),
+        ]
+    )
+    data = [
+        (
+            i,
+            maybe(lambda: draw.randrange(9)),
+            maybe(text),
+            maybe(lambda: [maybe(text) for _ in range(draw.randrange(3))]),
+            maybe(lambda: {text(): maybe(lambda: draw.randrange(9)) for _ in range(draw.randrange(4))}),
+            maybe(lambda: draw.randrange(9)),
+            text(),
+        )
+        for i in range(200)
+    ]
+    lengths = {"s": 3, "l": 2, "m__KEYS": 2}
+    table = TableSpec("x", schema, ["id", "s", "l"], ["n"], "t", "MILLISECONDS", "1d", max_lengths=lengths)
+
+    def expected(row):
+        i, t, s, items, mapping, n, _ = row
+        pairs = sorted(mapping.items(), key=lambda p: p[0].encode()) if mapping is not None else None
+        return (
+            i,
+            -1 if t is None else t,
+            ("null" if s is None else s)[:3],
+            [None if x is None else x[:2] for x in (["null"] if items is None else items)],
+            [""] if pairs is None else [k[:2] for k, _ in pairs],
+            [0] if pairs is None else [v for _, v in pairs],
+            0 if n is None else n,
+        )
+
+    out = shape(spark.createDataFrame(data, schema), table)
+    assert out.columns == ["id", "t", "s", "l", "m__KEYS", "m__VALUES", "n"]
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [expected(row) for row in data]
