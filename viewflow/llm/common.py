@@ -60,11 +60,12 @@ class Words:
         listed = pc.ascii_split_whitespace(pc.fill_null(column, ""))
         coded = listed.flatten().dictionary_encode()
         #: Distinct words.
-        self.distinct: list[str] = coded.dictionary.to_pylist()
+        self.distinct: pa.StringArray = coded.dictionary
         numbers = coded.indices.to_numpy(zero_copy_only=False)
         lengths = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
-        if "" in self.distinct:  # white space at an end of a text leaves an empty word
-            kept = numbers != self.distinct.index("")
+        empty = pc.index(self.distinct, "").as_py()
+        if empty >= 0:  # white space at an end of a text leaves an empty word
+            kept = numbers != empty
             lengths = sums(kept.astype(np.int64), lengths)
             numbers = numbers[kept]
         #: Each word's place in `distinct`, text after text, and the number of words of each text.

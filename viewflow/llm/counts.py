@@ -146,7 +146,7 @@ def token_counts(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
         model = _unigram(path)
         for block in blocks(batches, 1, WORD_BLOCK_BYTES):
             words = Words(block.column(1))
-            marked = [WORD_START + word for word in words.distinct]
+            marked = [WORD_START + word for word in words.distinct.to_pylist()]
             found = model.count(marked)
             of_word = np.array([found[word] for word in marked] or np.empty((0, 2)))
             tokens = sums(of_word[words.numbers, 0].astype(np.int64), words.lengths)

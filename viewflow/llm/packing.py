@@ -9,12 +9,12 @@ the very last sequence is shorter and thus padded.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ from viewflow.llm.common import WORD_BLOCK_BYTES, Words, blocks, gathered, store
 
 #: Ids per sequence, and the id that ends a document.
 SEQUENCE, END_ID = 2048, 1
-#: Words of plain letters, which need no normalisation once in lower case, and the marks after them.
-_PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([!#$%&*+,./:;=?@|~-]*)")
+#: Words of plain letters, which need no normalisation but lower case, and the marks after them.
+_PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!#$%&*+,./:;=?@|~-]*)$"
 #: Where the byte-level alphabet shows bytes that are not printable: next free code points, in order.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _HIDDEN = [b for b in range(256) if b not in _SHOWN]
@@ -44,32 +44,28 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Tokenizer(self.tokenizer.model)
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words one after another, and how many each has."""
-        parts: dict[str, int] = {}
-        other: dict[str, int] = {}
-        # Each word is a plain part (or none) and one for all steps (or none), by number from 1.
-        plain_of, other_of = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        for number, word in enumerate(words):
-            match = _PLAIN.fullmatch(word.lower()) if word.isascii() or max(word) <= "ÿ" else None
-            if match:
-                plain_of[number] = parts.setdefault(match[1], len(parts) + 1)
-                word = match[2]
-            if word:
-                other_of[number] = other.setdefault(word, len(other) + 1)
-        plain_ids, plain_n = _ids(self.merges, [_byte_chars(part) for part in parts])
-        other_ids, other_n = _ids(self.tokenizer, list(other))
-        lengths = np.concatenate([plain_n, other_n[1:]])
+        cut = pc.extract_regex(words, _PLAIN)
+        plain = pc.is_valid(cut)
+        # A word is a plain part (or none) and a rest for all steps (perhaps empty).
+        first = pc.utf8_lower(cut.field("word").filter(plain)).dictionary_encode()
+        rest = pc.if_else(plain, cut.field("marks"), words).dictionary_encode()
+        plain_ids, plain_n = _ids(self.merges, list(map(_byte_chars, first.dictionary.to_pylist())))
+        other_ids, other_n = _ids(self.tokenizer, rest.dictionary.to_pylist())
+        lengths = np.concatenate([[0], plain_n, other_n])
         starts = np.cumsum(lengths) - lengths
-        chosen = np.stack([plain_of, np.where(other_of > 0, len(plain_n) - 1 + other_of, 0)], axis=1).ravel()
-        places, taken = gathered(starts, lengths, chosen)
+        chosen = np.zeros((len(words), 2), dtype=np.int64)
+        chosen[plain.to_numpy(zero_copy_only=False), 0] = first.indices.to_numpy(zero_copy_only=False) + 1
+        chosen[:, 1] = rest.indices.to_numpy(zero_copy_only=False) + 1 + len(plain_n)
+        places, taken = gathered(starts, lengths, chosen.ravel())
         return np.concatenate([plain_ids, other_ids])[places], taken.reshape(-1, 2).sum(axis=1)
 
 
 def _ids(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words, and how many each has after a first number for no word."""
+    """The ids of all words one after another, and how many each has."""
     flat: list[int] = []
-    lengths = [0]
+    lengths: list[int] = []
     for at in range(0, len(words), 10_000):
         for found in tokenizer.encode_batch_fast(words[at : at + 10_000], add_special_tokens=False):
             ids = found.ids

@@ -7,28 +7,53 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewflow.llm import bpe, counts, packing
+from viewflow.llm import bpe, counts, html, langid, neardup, packing, pii, quality
 from viewflow.llm.common import table
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path).drop("ids")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
+    "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_personal_data": op7_personal_data,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 LLM_ORACLES: dict[str, str] = {}
