@@ -144,15 +144,13 @@ def _with_spans(df: DataFrame, text: str) -> DataFrame:
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list, dict[str, float]]:
     """Trees and each kind's threshold; a kind without enough confirmed candidates adds nothing."""
     found = _with_spans(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text")
-    each = [
-        F.transform(
-            f"wide_{kind}",
-            lambda s, kind=kind: F.struct(_features(kind, s).alias("x"), _same(F.col(f"base_{kind}"), s).alias("y")),
-        )
-        for kind in KINDS
-    ]
+
+    def told(kind: str) -> Column:
+        base = F.col(f"base_{kind}")
+        return F.transform(f"wide_{kind}", lambda s: F.struct(_features(kind, s).alias("x"), _same(base, s).alias("y")))
+
     apart = F.pmod(F.xxhash64("key", F.lit("apart")), F.lit(5)) == 0
-    seen = found.select(apart.alias("apart"), F.explode(F.concat(*each)).alias("c"))
+    seen = found.select(apart.alias("apart"), F.explode(F.concat(*map(told, KINDS))).alias("c"))
     counted = seen.groupBy("c.x", "c.y", "apart").agg(F.count("*").alias("n"))
     rows = [(tuple(r.x), int(r.y), r.apart, r.n) for r in counted.collect()]  # distinct vectors: a bounded number
     rows.sort()
@@ -249,11 +247,10 @@ def detected(df: DataFrame, model: tuple[list, dict[str, float]], text: str = "t
 
 
 def _listed(prefix: str) -> Column:
-    each = [
-        F.transform(f"{prefix}_{kind}", lambda s, kind=kind: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["stop"].cast("string")))
-        for kind in KINDS
-    ]
-    return F.array_join(F.concat(*each), ",")
+    def named(kind: str) -> Column:
+        return F.transform(f"{prefix}_{kind}", lambda s: F.concat_ws(":", F.lit(kind), s["start"].cast("string"), s["stop"].cast("string")))
+
+    return F.array_join(F.concat(*map(named, KINDS)), ",")
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -268,10 +265,9 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
 
 def _redacted(text: Column) -> Column:
-    each = [
-        F.transform(f"all_{kind}", lambda s, kind=kind: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), F.lit(f"[{kind.upper()}]").alias("by")))
-        for kind in KINDS
-    ]
+    def placed(kind: str) -> Column:
+        by = F.lit(f"[{kind.upper()}]").alias("by")
+        return F.transform(f"all_{kind}", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), by))
 
     def step(seen: Column, s: Column) -> Column:
         new = F.array(F.substring(text, seen["at"] + 1, s["start"] - seen["at"]), s["by"])
@@ -280,7 +276,7 @@ def _redacted(text: Column) -> Column:
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     return F.aggregate(
-        F.sort_array(F.concat(*each)),
+        F.sort_array(F.concat(*map(placed, KINDS))),
         zero,
         step,
         lambda seen: F.concat(F.array_join(seen["parts"], ""), F.substring(text, seen["at"] + 1, F.length(text))),

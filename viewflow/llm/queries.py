@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewflow.llm import bpe, counts, html, langid, neardup, packing, pii, quality
+from viewflow.llm import bpe, counts, html, langid, lm, neardup, packing, pii, quality, topk
 from viewflow.llm.common import table
 
 
@@ -24,6 +25,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_copies(table(spark, sf_dir, "documents"))
 
@@ -45,15 +50,27 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces without their ids."""
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_top_k": op4_top_k,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op7_personal_data": op7_personal_data,
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": pipeline,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op4_top_k": topk.ORACLE}
