@@ -26,7 +26,7 @@ _NO_RANK = np.iinfo(np.int32).max
 #: From so many positions on, a rank's merges are done at once.
 _TOGETHER = 24
 #: Pre-tokens that a task remembers between blocks.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 #: Bytes of text for a replay.
 _BLOCK = 8 << 20
 
@@ -245,10 +245,14 @@ class Encoder:
         cut = [self.split(text) for text in batch]
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-        new = [word for word in set().union(*cut) if word not in self.ids]
-        self.ids.update(zip(new, self.merges.encode([word.encode() for word in new])))
+        self.ids.update(self.unknown(cut, self.ids))
         return cut
 
+    def unknown(self, cut: list[list[str]], known: dict) -> Iterator[tuple[str, list[int]]]:
+        """The pre-tokens that aren't known yet, each with its ids."""
+        new = [word for word in set().union(*cut) if word not in known]
+        return zip(new, self.merges.encode([word.encode() for word in new]))
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.merges.tokens.__getitem__, ids))
 
@@ -296,13 +300,11 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id"
         listed: dict[str, str] = {}
         back: dict[str, bytes] = {}
         for block in blocks(batches, 1, _BLOCK):
-            cuts = coder.pieces(texts(block.column(1)))
+            cuts = [coder.split(text) for text in texts(block.column(1))]
             if len(listed) > CACHE_WORDS:
                 listed.clear(), back.clear()
-            for word in set().union(*cuts):
-                if word not in listed:
-                    ids = coder.ids[word]
-                    listed[word], back[word] = " ".join(map(str, ids)), coder.decode(ids)
+            for word, ids in coder.unknown(cuts, listed):
+                listed[word], back[word] = " ".join(map(str, ids)), coder.decode(ids)
             counts, ids_sha, decoded_sha = [], [], []
             for cut in cuts:
                 ids = " ".join(map(listed.__getitem__, cut))
