@@ -16,6 +16,7 @@ import time
 from pyspark.sql import SparkSession
 
 from viewflow.plans import QUERIES
+from viewflow.streaming.jobs import clean_up
 
 # One or two per group of operators; streams and tables are timed with all their writing.
 HEADLINE = [
@@ -65,7 +66,9 @@ def main() -> None:
     def timed(name: str) -> float:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        took = time.perf_counter() - start
+        clean_up(spark)
+        return took
 
     seconds: dict[str, float] = {}
     for name in sys.argv[1:] or HEADLINE:

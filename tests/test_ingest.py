@@ -91,3 +91,13 @@ def test_stream_rollup_equals_batch_but_for_the_open_group(spark, folder):
     closed = rows(spark.read.parquet(f"{folder}/out").select("t", "n"))
     # The last group is open, and a row at the start of 1970 is behind the first watermark.
     assert closed == [(10, 1), (3600, 2), (5, 2)]
+
+
+@pytest.mark.parametrize(
+    "condition",
+    ["a = 1", "a = 1 AND b > 2", "a = 1 OR NOT (b > 2 AND a < b)", "NOT a = 1", "a IN (1, 2)", "nullif(a, 1) = 2", "a = NULL", "a <=> 1"],
+)
+def test_rows_are_dropped_only_where_the_condition_is_true(spark, condition):
+    df = spark.sql("SELECT * FROM VALUES (1), (2), (null) AS x(a) CROSS JOIN VALUES (1), (3), (null) AS y(b)")
+    true = df.where(condition).count()
+    assert ingest_filter(df, drop_when=condition).count() == 9 - true

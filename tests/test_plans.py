@@ -5,8 +5,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from tests.test_queries import DATA
+from viewflow.operators.ingest import ingest_filter
+from viewflow.plans import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the generated tables")
 
@@ -33,7 +34,7 @@ SCANNED = {
 
 
 def plan(spark, name):
-    return contract.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    return QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("name", NARROW)
@@ -60,7 +61,20 @@ def test_one_shuffle_after_a_partial_aggregate(spark, name):
 def test_filters_reach_the_scan(spark):
     assert "EqualTo(event_type,purchase)" in plan(spark, "ingest_filter_keep")
     assert "GreaterThanOrEqual(value,250.0)" in plan(spark, "row_drop_view")
-    assert "GreaterThan(value,100.0)" in plan(spark, "merge_topics")
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    dropped = ingest_filter(events, drop_when="event_type = 'error'")._jdf.queryExecution().executedPlan().toString()
+    assert "Or(Not(EqualTo(event_type,error)),IsNull(event_type))" in dropped
+    for name, pushed in (("retention", "GreaterThanOrEqual(ts"), ("roll_over", "LessThan(ts"), ("hybrid_read", "LessThan(ts")):
+        assert pushed in plan(spark, name)
+    assert "GreaterThanOrEqual(ts" in plan(spark, "hybrid_read")
     stored = plan(spark, "retention_stored")
     assert "bucket_start" in stored[stored.index("PartitionFilters") : stored.index("PushedFilters")]
     assert "GreaterThanOrEqual(start_time_millis" in stored
+
+
+def test_partition_filters_of_the_pair_are_bare(spark):
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], P", plan(spark, "table_pair_hybrid"))
+    # Offline runs, and of the realtime table open buckets, late batches, rows without a bucket.
+    assert 3 <= len(filters) <= 4
+    for text in filters:
+        assert not any(word in text for word in ("coalesce", "NOT", " + ", " OR "))

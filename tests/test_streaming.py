@@ -33,8 +33,9 @@ from viewflow import (
 from viewflow.operators.tables import table_pair
 from viewflow.sources.codecs import VALUE_CODEC_ENV, avro_schema
 from viewflow.sources.topics import ingest_codec, ingest_source, ingest_topic, ingest_trigger, stream_path
-from viewflow.spec import column
+from viewflow.spec import TableSpec, column
 from viewflow.streaming.jobs import check_jobs, work_dir
+from viewflow.streaming.sinks import read_rollup, write_rollup_stream
 
 COPY = projection_view("spans", SPAN, {f.name: f.name for f in SPAN.fields})
 KINDS = projection_view("kinds", T.StructType([column("kind", T.StringType())]), {"kind": "span_kind"})
@@ -224,9 +225,13 @@ def test_avro_schema_of_a_view():
         '{"type": "record", "name": "record", "fields": ['
         '{"name": "a", "type": "long"}, {"name": "b", "type": ["null", "string"]}]}'
     )
-    assert '"items": "string"' in avro_schema(ROW) and '"values": "double"' in avro_schema(ROW)
+    assert '"items": ["null", "string"]' in avro_schema(ROW) and '"values": ["null", "double"]' in avro_schema(ROW)
+    nested = T.StructType.fromDDL("d DATE, t TIMESTAMP, n DECIMAL(10,2), s STRUCT<a: BIGINT, m: MAP<STRING, DATE>>")
+    text = avro_schema(nested)
+    for part in ('"date"', '"timestamp-micros"', '"precision": 10', '"name": "record_s"', '"values": ["null", {"type": "int"'):
+        assert part in text
     with pytest.raises(SpecError):
-        avro_schema(T.StructType([column("d", T.DateType())]))
+        avro_schema(T.StructType([column("v", T.VariantType())]))
 
 
 def test_stream_and_batch_write_the_same(spark, folder):
@@ -283,6 +288,9 @@ def test_stream_settings():
     for decoder, codec in (("a.SimpleAvroMessageDecoder", "avro"), ("a.JSONMessageDecoder", "json")):
         spec.stream["stream.kafka.decoder.class.name"] = decoder
         assert ingest_codec(spec) == codec
+    spec.stream["stream.kafka.decoder.class.name"] = "a.RegistryAvroMessageDecoder"
+    with pytest.raises(SpecError, match="decoder"):
+        ingest_codec(spec)
     spec.stream["stream.kafka.consumer.prop.auto.offset.reset"] = "smallest"
     spec.stream["stream.kafka.min.partitions"] = 64
     assert ingest_topic(spec).options["startingOffsets"] == "earliest"
@@ -317,3 +325,30 @@ def test_kafka_needs_encoded_values_and_a_decoder(spark):
 def test_work_folders_are_new_and_shared(spark):
     first, second = work_dir(spark), work_dir(spark)
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("batches", [1, 2, 4])
+def test_a_streamed_rollup_keeps_every_row_however_batches_overlap(spark, folder, batches):
+    schema = T.StructType([column("k", T.LongType()), column("hour", T.LongType()), column("n", T.LongType(), 0)])
+    spec = TableSpec("rolled", schema, ["k"], ["n"], "hour", "MILLISECONDS", "90d")
+    rows_in = spark.range(400).selectExpr("id % 3 AS k", "id * 7919 % 40 * 3600000 AS hour", "1L AS n", "id")
+    for part in range(batches):
+        # Each file spans the whole time, the later ones lie behind any watermark of the first.
+        rows_in.where(f"id % {batches} = {part}").drop("id").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    write_rollup_stream(stream, spec, f"{folder}/sums", f"{folder}/checkpoint", NOW).awaitTermination()
+    found = read_rollup(spark, spec, f"{folder}/sums")
+    assert found.agg({"n": "sum"}).first()[0] == 400
+    assert rows(found) == rows(rows_in.groupBy("k", "hour").agg({"n": "sum"}))
+
+
+def test_a_large_lookup_is_joined_batch_by_batch(spark, folder):
+    made = topic(spark, folder, "t1", ("k", span("a")), (None, span("b")))
+    lookup = measure_lookup(spark.createDataFrame([("a", "x")], "span_id string, note string"), ["span_id"], max_rows=0)
+    schema = T.StructType([column("span_id", T.StringType()), column("note", T.StringType())])
+    view = View("noted", schema, lambda df, ctx: enrich(df, ctx.lookup("notes")))
+    target, context = FileTarget(f"{folder}/noted"), Context(lookups={"notes": lookup})
+    with pytest.raises(SpecError, match="batch"):
+        apply_view(topic_source(spark, made), view, context)
+    write_view(topic_source(spark, made), target, f"{folder}/c", NOW, view, context).awaitTermination()
+    assert rows(target.read(spark).select("key", "value.*")) == [("k", "a", "x"), (None, "b", None)]

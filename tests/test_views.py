@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,7 @@ from viewflow import (
     row_view,
     view_rows,
 )
-from viewflow.operators.enrich import Lookup
+from viewflow.operators.enrich import Lookup, _hot_salts, measure_again
 from viewflow.operators.views import KEY
 from viewflow.spec import column
 
@@ -130,7 +132,7 @@ def test_enrich_keeps_all_rows(spark, small):
     reference = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("name-"), "id").alias("name"))
     lookup = measure_lookup(reference, ["k"], max_rows=1_000 if small else 0)
     assert lookup.small is small
-    out = enrich(df, lookup, hot_rows=100, hot_keys=5)
+    out = enrich(df, lookup, hot_rows=100)
     assert out.count() == 3000 and out.columns == ["k", "v", "name"]
     expected = df.join(reference, "k", "left")
     assert rows(out.select("k", "v", "name")) == rows(expected.select("k", "v", "name"))
@@ -182,12 +184,39 @@ def test_a_task_run_again_changes_nothing(spark):
     assert found == sorted(expected.items(), key=repr)
 
 
+def test_more_hot_keys_than_any_list_would_take(spark):
+    df = spark.range(36_000).selectExpr("id % 12000 AS k", "id")
+    reference = spark.range(12_000).selectExpr("id AS k", "id * 7 AS c")
+    lookup = measure_lookup(reference, ["k"], max_rows=0)
+    assert _hot_salts(df, ["k"], 1, 10_000).count() == 12_000
+    out = enrich(df, lookup, hot_rows=1, hot_share=10_000)
+    assert out.count() == 36_000 and out.where("c = k * 7").count() == 36_000
+
+
+def test_the_hot_list_is_bounded_by_the_total(spark):
+    df = skewed(spark)
+    # 4 shuffle partitions, 3000 rows: a key needs over 187 rows to be spread.
+    assert _hot_salts(df.where("k IS NOT NULL"), ["k"], 10, 4).count() == 1
+
+
+def test_a_lookup_is_measured_again_when_its_files_change(spark, folder):
+    path = f"{folder}/lookup"
+    spark.range(5).selectExpr("id AS k", "id AS c").write.parquet(path)
+    lookup = measure_lookup(spark.read.parquet(path), ["k"], max_rows=8)
+    assert lookup.small and measure_again(lookup) is lookup
+    spark.range(5, 10).selectExpr("id AS k", "id AS c").write.mode("append").parquet(path)
+    grown = replace(lookup, df=spark.read.parquet(path))
+    assert not Context(lookups={"l": grown}).measured().lookup("l").small
+    spark.range(1).selectExpr("id AS k", "id AS c").write.mode("append").parquet(path)
+    with pytest.raises(SpecError, match="unique"):
+        measure_again(replace(lookup, df=spark.read.parquet(path)))
+
+
 def test_keys_of_two_columns_and_ties_in_the_hot_list(spark):
-    # All keys are equally hot, more of them than the list takes.
     df = spark.range(2000).selectExpr("id % 10 AS a", "timestamp_seconds(id % 2) AS b", "id")
     reference = spark.range(20).selectExpr("id % 10 AS a", "timestamp_seconds(id % 2) AS b", "id * 7 AS c")
     reference = reference.dropDuplicates(["a", "b"])
-    out = enrich(df, measure_lookup(reference, ["a", "b"], max_rows=0), hot_rows=10, hot_keys=3)
+    out = enrich(df, measure_lookup(reference, ["a", "b"], max_rows=0), hot_rows=10, hot_share=1)
     expected = df.join(reference, ["a", "b"], "left").select("a", "b", "id", "c")
     assert out.columns == ["a", "b", "id", "c"] and rows(out) == rows(expected)
     assert out.where("c IS NULL").isEmpty()

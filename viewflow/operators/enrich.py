@@ -1,9 +1,9 @@
-"""Reference data for views: lookups measured once, joined by the way their size allows."""
+"""Reference data for views: lookups measured when they change, joined by the way their size allows."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -16,19 +16,24 @@ from viewflow.spec import SpecError
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 << 20
 
-# Skewed joins: keys with more rows than this are spread over several tasks, at most this many keys.
-# A key beyond the list is rarer than each of those on it.
+# Skewed joins: a key is spread over several tasks if it has more rows than this and more than this part of a
+# task's even share. Both bound the list of such keys: it has at most HOT_SHARE keys for each shuffle partition.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
+HOT_SHARE = 4
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """Reference rows with unique keys; ``small`` says whether they were measured to fit a broadcast."""
+    """Reference rows with unique keys; ``small`` says whether they were measured to fit a broadcast.
+
+    ``files`` are those the rows were read from when measured, ``bounds`` the sizes they were held against.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
     small: bool
+    files: frozenset[str] = frozenset()
+    bounds: tuple[int, int] = (MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES)
 
 
 def measure_lookup(
@@ -37,18 +42,24 @@ def measure_lookup(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> Lookup:
-    """Check the keys for duplicates and the size against the broadcast bounds; once per job."""
-    keys = tuple(keys)
+    """Check the keys for duplicates and the size against the broadcast bounds."""
+    keys, files, bounds = tuple(keys), frozenset(df.inputFiles()), (max_rows, max_bytes)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     found = per_key.agg(F.max("__rows").alias("most"), F.sum("__rows").alias("rows")).first()
     if (found["most"] or 0) > 1:
         raise SpecError(f"lookup rows are not unique by {', '.join(keys)}")
     if (found["rows"] or 0) > max_rows:
-        return Lookup(df, keys, False)
+        return Lookup(df, keys, False, files, bounds)
     # The row's text, plus what the fields take in memory whatever they hold.
     text = F.octet_length(F.to_json(F.struct("*"))) + F.lit(16 * len(df.columns))
     size = df.agg(F.sum(text).alias("bytes")).first()["bytes"] or 0
-    return Lookup(df, keys, size <= max_bytes)
+    return Lookup(df, keys, size <= max_bytes, files, bounds)
+
+
+def measure_again(lookup: Lookup) -> Lookup:
+    """The lookup as it is now: measured anew if its files are others, or if it isn't read from files."""
+    files = frozenset(lookup.df.inputFiles())
+    return lookup if files and files == lookup.files else measure_lookup(lookup.df, lookup.keys, *lookup.bounds)
 
 
 @dataclass(frozen=True)
@@ -63,43 +74,47 @@ class Context:
             raise SpecError(f"unknown lookup {name!r}")
         return self.lookups[name]
 
+    def measured(self) -> Context:
+        """The same with lookups as they are now."""
+        return replace(self, lookups={name: measure_again(lookup) for name, lookup in self.lookups.items()})
+
 
-def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_keys: int = HOT_KEYS) -> DataFrame:
+def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
     """Left join to a lookup: every row stays, once, with nulls where the key is unknown.
 
     A lookup too large to broadcast is joined with hot keys spread. That takes a count of the rows
-    first, which a stream has only batch by batch: ``run_views`` hands views such batches, while an
-    unbounded DataFrame is joined as it is.
+    first, which a stream has only batch by batch: ``run_views`` and ``write_view`` hand views such batches.
     """
     keys = list(lookup.keys)
     columns = [*df.columns, *[c for c in lookup.df.columns if c not in keys]]
     if lookup.small:
         joined = df.join(F.broadcast(lookup.df), keys, "left")
     elif df.isStreaming:
-        joined = df.join(lookup.df, keys, "left")
+        raise SpecError("a lookup too large to broadcast is joined batch by batch: give the view to write_view")
     else:
-        joined = _salted_join(df, lookup, hot_rows, hot_keys)
+        joined = _salted_join(df, lookup, hot_rows, hot_share)
     return joined.select(*columns)
 
 
-def _hot_salts(df: DataFrame, keys: list[str], hot_rows: int, hot_keys: int) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, with the number of salts each gets.
+def _hot_salts(df: DataFrame, keys: list[str], hot_rows: int, hot_share: int) -> DataFrame:
+    """The keys whose rows are too many for one task, with the number of salts each gets.
 
-    Both sides of the join must see the very same list, so it is taken once; it has at most
-    ``hot_keys`` rows.
+    The least number of rows follows from the total, so that a bounded number of keys can have it and none is
+    left out. Both sides of the join must see the very same list, so it is taken once.
     """
+    spark = df.sparkSession
+    share = df.count() // (hot_share * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    least = max(hot_rows, share)
     hot = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"))
-        .limit(hot_keys)
-        .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("long").alias("__salts"))
+        .where(F.col("__rows") > least)
+        .select(*keys, F.ceil(F.col("__rows") / least).cast("long").alias("__salts"))
     )
-    return df.sparkSession.createDataFrame(hot.toArrow(), hot.schema)
+    return spark.createDataFrame(hot.toArrow(), hot.schema)
 
 
-def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_keys: int) -> DataFrame:
+def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_share: int) -> DataFrame:
     """Shuffle join in which a key with many rows takes as many partitions as its rows need.
 
     The lookup's row of such a key is repeated once per salt. Rows with a null key match nothing;
@@ -107,7 +122,7 @@ def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_keys: int) ->
     """
     keys = list(lookup.keys)
     no_null = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    hot = F.broadcast(_hot_salts(df.where(no_null), keys, hot_rows, hot_keys))
+    hot = F.broadcast(_hot_salts(df.where(no_null), keys, hot_rows, hot_share))
     salts = F.coalesce(F.col("__salts"), F.lit(1).cast("long"))
     left = (
         df.withColumn("__spread", spread_salt(df))

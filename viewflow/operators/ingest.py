@@ -17,16 +17,45 @@ def ingest_filter(
 ) -> DataFrame:
     """Drop the rows for which ``drop_when`` is true, or keep those for which ``keep_when`` is.
 
-    A predicate that is null neither drops nor keeps. ``keep_when`` reaches the scan as a filter.
+    A predicate that is null neither drops nor keeps. Both reach the scan as filters.
     """
     if drop_when is not None:
+        kept = None
+        if isinstance(drop_when, str):
+            kept = _never(df.sparkSession._jsparkSession.sessionState().sqlParser().parseExpression(drop_when), "true")
         condition = F.expr(drop_when) if isinstance(drop_when, str) else drop_when
-        df = df.where(~F.coalesce(condition, F.lit(False)))
+        df = df.where(~condition | condition.isNull() if kept is None else kept)
     if keep_when is not None:
         df = df.where(keep_when)
     return df
 
 
+_COMPARISONS = {"EqualTo", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual"}
+
+
+def _never(expression, value: str) -> str | None:
+    """SQL for "the condition is not ``value``", null included, that the scan can take.
+
+    Only for comparisons of columns and literals, joined by AND, OR and NOT; None for any other condition.
+    """
+    kind, children = expression.getClass().getSimpleName(), expression.children()
+    parts = [children.apply(i) for i in range(children.size())]
+    if kind == "Not":
+        return _never(parts[0], "false" if value == "true" else "true")
+    if kind in ("And", "Or"):
+        both = [_never(part, value) for part in parts]
+        joined = "OR" if (kind == "And") == (value == "true") else "AND"
+        return None if None in both else f"({both[0]} {joined} {both[1]})"
+    if kind not in _COMPARISONS:
+        return None
+    columns = [part.sql() for part in parts if part.getClass().getSimpleName() == "UnresolvedAttribute"]
+    others = [part for part in parts if part.getClass().getSimpleName() != "UnresolvedAttribute"]
+    if not columns or any(p.getClass().getSimpleName() != "Literal" or p.sql() == "NULL" for p in others):
+        return None
+    stated = f"NOT ({expression.sql()})" if value == "true" else f"({expression.sql()})"
+    return f"({' OR '.join([stated, *(f'{c} IS NULL' for c in columns)])})"
+
+
 def ingest_transform(df: DataFrame, transforms: Iterable[tuple[str, Column | str]]) -> DataFrame:
     """Add columns in list order; a later expression may use an earlier column."""
     for name, expression in transforms:
@@ -44,10 +73,9 @@ def prepare(df: DataFrame, spec: TableSpec) -> DataFrame:
 def ingest_rollup(df: DataFrame, spec: TableSpec, watermark: str | None = None) -> DataFrame:
     """Sum the metrics over equal dimensions and times.
 
-    ``df`` holds shaped rows, fresh or read back from a table. On a stream, ``watermark`` says how late rows may
-    come; a group is final, and in append mode emitted, once the watermark has passed its time.
-    Spark drops rows behind the watermark, which starts at 1970: a stream that must keep every row
-    rolls up each batch instead (``aggregate_metrics``), and sums again when read.
+    ``df`` holds shaped rows, fresh or read back from a table. A stream that keeps every row is rolled up by
+    ``write_rollup_stream``. With a ``watermark``, which says how late rows may come, this gives final groups only:
+    Spark drops rows behind the watermark, and the last groups come out when later rows do.
     """
     groups, metrics = _group_and_metric_columns(df, spec)
     sums = [F.sum(f"`{m}`").alias(m) for m in metrics]

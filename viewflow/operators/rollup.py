@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from viewflow.spec import SpecError, StarTree
 
@@ -24,7 +25,24 @@ def split_pair(pair: str) -> tuple[str, str]:
     return function, column
 
 
-def _stored(pair: str) -> dict[str, Column]:
+# Types whose values a sketch takes as they are.
+_SKETCHED = (T.IntegerType, T.LongType, T.StringType, T.BinaryType)
+
+
+def _sketchable(value: Column, data_type: T.DataType) -> Column:
+    """A value as one that a sketch takes: equal values alike, different ones differently."""
+    if isinstance(data_type, _SKETCHED):
+        return value
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        value = F.when(value == 0, F.lit(0.0)).otherwise(value)  # one zero
+    if isinstance(data_type, T.MapType):
+        value = F.array_sort(F.map_entries(value))
+    if isinstance(data_type, (T.MapType, T.ArrayType, T.StructType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return value.cast("string")
+
+
+def _stored(pair: str, schema: T.StructType) -> dict[str, Column]:
     """Columns a cube keeps for a pair, as aggregates of the rows; all can be merged further."""
     function, column = split_pair(pair)
     value = F.col(f"`{column}`")
@@ -33,7 +51,7 @@ def _stored(pair: str) -> dict[str, Column]:
     if function == "AVG":
         return {f"{pair}__sum": F.sum(value), f"{pair}__count": F.count(value)}
     if function == "DISTINCTCOUNTHLL":
-        return {pair: F.hll_sketch_agg(value)}
+        return {pair: F.hll_sketch_agg(_sketchable(value, schema[column].dataType))}
     return {pair: {"SUM": F.sum, "MIN": F.min, "MAX": F.max}[function](value)}
 
 
@@ -85,7 +103,7 @@ def star_rollup(df: DataFrame, tree: StarTree, dims_per_step: int = 4) -> DataFr
     stored: dict[str, Column] = {}
     merged: dict[str, Column] = {}
     for pair in tree.pairs:
-        stored.update(_stored(pair))
+        stored.update(_stored(pair, df.schema))
         merged.update(_merged(pair))
     dims = list(tree.dims)
     free = [d for d in dims if d not in tree.no_star]

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 from itertools import islice
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewflow.functions.text import register_sql_functions
-from viewflow.operators.ingest import prepare
+from viewflow.operators.ingest import ingest_rollup, prepare
 from viewflow.operators.layout import (
     BUCKET,
     add_partitions,
@@ -23,7 +23,7 @@ from viewflow.operators.layout import (
     partition_column,
     partition_columns,
 )
-from viewflow.operators.lifecycle import Moment, complete_until, retention_start
+from viewflow.operators.lifecycle import Moment, apply_retention, complete_until, in_tier, retention_start
 from viewflow.spec import SpecError, TableSpec, ViewSpec
 
 BATCH, RUN = "batch_id", "run_id"
@@ -176,12 +176,16 @@ def first_batch(spark: SparkSession, pair: TablePair, checkpoint: str) -> int:
     A restarted stream keeps its numbers; one with a new checkpoint, which counts from 0 again,
     goes on after the batches the table has. One stream at a time writes a table.
     """
-    name = f"viewflow.first.{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    path = checkpoint.rstrip("/")
+    name = f"viewflow.first.{hashlib.sha256(path.encode()).hexdigest()}"
     known = _properties(spark, pair.realtime)
     if name not in known:
-        known[name] = str(last_batch(spark, pair) + 1)
+        known[name] = json.dumps({"first": last_batch(spark, pair) + 1, "path": path})
         _set_property(spark, pair.realtime, name, known[name])
-    return int(known[name])
+    found = json.loads(known[name])
+    if found["path"] != path:
+        raise SpecError(f"table {pair.realtime}: {path} and {found['path']} have one name")
+    return int(found["first"])
 
 
 def append_batch(rows: DataFrame, pair: TablePair, batch_id: int, files: int | None = None) -> None:
@@ -206,13 +210,34 @@ def roll_state(spark: SparkSession, pair: TablePair) -> RollState:
     return RollState(**json.loads(found[_STATE])) if _STATE in found else RollState()
 
 
-def _moved(pair: TablePair, boundary: int | None, batch: int) -> Column:
-    """Whether a realtime row lies in a complete bucket of the given batches; both are partition columns."""
-    if boundary is None:
-        return F.lit(False)
+def _ended(pair: TablePair, boundary: int) -> Column:
+    """Whether a realtime row's bucket has ended: a bare comparison, which a catalog can take."""
     spec = pair.realtime_spec
-    ended = F.col(BUCKET) + F.lit(spec.period(spec.bucket_period)) <= F.lit(boundary)
-    return F.coalesce(ended & (F.col(BATCH) <= F.lit(batch)), F.lit(False))
+    return F.col(BUCKET) <= F.lit(boundary - spec.period(spec.bucket_period))
+
+
+def _fresh(rows: DataFrame, pair: TablePair, state: RollState, boundary: int, batch: int) -> DataFrame:
+    """Realtime rows that the next roll-over moves: of buckets newly ended, and late ones of earlier buckets.
+
+    A row without a bucket is never moved.
+    """
+    rows = rows.where(F.col(BATCH) <= F.lit(batch)).where(_ended(pair, boundary))
+    if state.boundary is None:
+        return rows
+    spec = pair.realtime_spec
+    later = rows.where(F.col(BUCKET) > F.lit(state.boundary - spec.period(spec.bucket_period)))
+    late = rows.where(_ended(pair, state.boundary)).where(F.col(BATCH) > F.lit(state.batch))
+    return later.unionByName(late)
+
+
+def _unmoved(rows: DataFrame, pair: TablePair, state: RollState) -> DataFrame:
+    """Realtime rows that no roll-over has moved: open buckets, late rows, rows without a bucket."""
+    if state.boundary is None:
+        return rows
+    spec = pair.realtime_spec
+    still_open = rows.where(F.col(BUCKET) > F.lit(state.boundary - spec.period(spec.bucket_period)))
+    late = rows.where(_ended(pair, state.boundary)).where(F.col(BATCH) > F.lit(state.batch))
+    return still_open.unionByName(late).unionByName(rows.where(F.col(BUCKET).isNull()))
 
 
 def _refreshed(spark: SparkSession, table: str) -> DataFrame:
@@ -241,23 +266,40 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
     boundary = max(complete_until(pair.realtime_spec, as_of), earlier)
     if (boundary, batch) == (state.boundary, state.batch):
         return state
-    rows = _refreshed(spark, pair.realtime)
-    fresh = rows.where(_moved(pair, boundary, batch) & ~_moved(pair, state.boundary, state.batch))
+    fresh = _fresh(_refreshed(spark, pair.realtime), pair, state, boundary, batch)
     done = RollState(state.run + 1, boundary, batch)
     fresh = fresh.select(*_row_columns(spark, pair))
+    if pair.realtime_spec.aggregate_metrics:
+        # Batches were rolled up each: their groups become one here.
+        fresh = _rolled(fresh, pair)
     # Written once and read often: worth a sample of the rows.
     _replace(fresh, pair.offline, pair.offline_spec, RUN, done.run, files, by_range=True)
     _set_property(spark, pair.offline, _STATE, json.dumps(vars(done)))
     return done
 
 
-def read_hybrid(spark: SparkSession, pair: TablePair) -> DataFrame:
+def _rolled(rows: DataFrame, pair: TablePair) -> DataFrame:
+    return ingest_rollup(rows, pair.realtime_spec).select(*rows.columns)
+
+
+def read_hybrid(spark: SparkSession, pair: TablePair, as_of: Moment | None = None, tier: str | None = None) -> DataFrame:
     """All rows of both tables, each once. Which half a row is read from follows from partition
-    columns alone, so only the needed folders are listed and read."""
+    columns alone, so only the needed folders are listed and read.
+
+    With ``as_of``, rows older than their table's retention are left out, dropped yet or not. With a ``tier``
+    too, only rows of that age are read; a bucket that lies wholly outside is not listed.
+    """
     state = roll_state(spark, pair)
     columns = _row_columns(spark, pair)
     offline = _refreshed(spark, pair.offline).where(F.col(RUN) <= F.lit(state.run))
-    realtime = _refreshed(spark, pair.realtime).where(~_moved(pair, state.boundary, state.batch))
+    realtime = _unmoved(_refreshed(spark, pair.realtime), pair, state)
+    if tier is not None and as_of is None:
+        raise SpecError("a tier follows from the age at a moment: give as_of")
+    if as_of is not None:
+        offline = apply_retention(offline, pair.offline_spec, as_of)
+        realtime = apply_retention(realtime, pair.realtime_spec, as_of)
+    if tier is not None:
+        offline, realtime = (in_tier(half, pair.realtime_spec, tier, as_of) for half in (offline, realtime))
     return offline.select(*columns).unionByName(realtime.select(*columns))
 
 

@@ -49,7 +49,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS key, o_orderkey, c_name, c_mktsegment, n_na
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """
 
-CUBE_INPUT = f"(SELECT event_id, user_id % 5 AS shard, event_type, {FLOOR} AS total FROM events)"
+CUBE_INPUT = f"(SELECT event_id, user_id % 5 AS shard, event_type, {FLOOR} AS total, event_id % 7 / 2.0 AS digit FROM events)"
 LINE_INPUT = """(SELECT l_orderkey, l_returnflag, l_linestatus, CAST(l_linenumber AS BIGINT) AS l_linenumber,
 CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)"""
 
@@ -81,8 +81,9 @@ ORACLES: dict[str, str] = {
     "span_view": SPANS,
     "span_view_stamped": f"SELECT key, span_id, true AS stamped FROM ({SPANS})",
     "merge_topics": """
-        SELECT event_id, event_type, user_id FROM events WHERE event_type = 'click'
-        UNION ALL SELECT event_id, event_type, user_id FROM events WHERE value > 100""",
+        SELECT event_id AS id, event_type AS kind, user_id AS maker FROM events
+        UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM orders
+        UNION ALL SELECT event_id, event_type, user_id FROM events""",
     "flat_map_view": """
         SELECT CAST(doc_id AS VARCHAR) AS key, unnest(range(1, len(source) + 1)) AS pos,
                unnest(string_split(source, '')) AS letter FROM documents""",
@@ -107,7 +108,7 @@ ORACLES: dict[str, str] = {
     "output_partitioner": f"""
         SELECT key, span_id, (start_time_millis // 3600000) % 4 AS partition FROM ({SPANS})""",
     "field_partitioner": """
-        SELECT event_type, user_id, 1::BIGINT AS partitions, true AS in_range, 0::BIGINT AS elsewhere
+        SELECT event_type, user_id, 1::BIGINT AS partitions, true AS in_range, 0::BIGINT AS elsewhere, count(*) AS n
         FROM events GROUP BY 1, 2""",
     "split_props_map": """
         SELECT event_id, array_to_string(json_keys(props), ',') AS keys,
@@ -136,7 +137,7 @@ ORACLES: dict[str, str] = {
                || 'time_taken_millis:metric' AS roles,
                'tenant-' || (user_id % 10) AS tenant_id, {MILLIS} AS start_time_millis FROM events""",
     "shape_table": TABLE_ROWS,
-    "epoch_columns": f"SELECT o_orderkey, {EPOCHS}, true AS nanoseconds_same FROM orders",
+    "epoch_columns": f"SELECT o_orderkey, {EPOCHS}, epoch_us(o_orderdate) * 1000 AS nanoseconds FROM orders",
     "ingest_filter": """
         SELECT event_id, nullif(event_type, 'click') AS kind, user_id FROM events
         WHERE NOT (event_type = 'error' OR (event_type = 'click' AND user_id < 10))""",
@@ -191,7 +192,7 @@ ORACLES: dict[str, str] = {
     "query_rollup_functions": f"""
         SELECT event_type, min(total) AS MIN__total, max(total) AS MAX__total,
                round(sum(total) / count(total), 6) AS AVG__total,
-               count(DISTINCT event_type) AS DISTINCTCOUNTHLL__event_type
+               count(DISTINCT digit) AS DISTINCTCOUNTHLL__digit
         FROM {CUBE_INPUT} GROUP BY 1""",
     "query_rollup_stored": f"""
         SELECT l_returnflag, l_linestatus, count(*) AS COUNT__l_orderkey, sum(cents)::BIGINT AS SUM__cents,
@@ -226,17 +227,28 @@ ORACLES: dict[str, str] = {
     "stream_span_view": SPANS,
     "stream_multi_view": """
         SELECT 'spans' AS view, CAST(user_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id FROM events
-        UNION ALL SELECT 'raw', CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR) FROM events
+        UNION ALL SELECT 'raw', CAST(user_id AS VARCHAR), 'raw-' || event_type || ' ' || event_id FROM events
         WHERE user_id % 2 = 0""",
     "stream_fanout": """
         SELECT CAST(user_id AS VARCHAR) AS key, event_id, n_name, event_id % 3 AS partition
         FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey
         UNION ALL SELECT CAST(user_id AS VARCHAR), event_id, event_type, -1 FROM events WHERE user_id % 2 = 1""",
-    "stream_rollup": f"SELECT * FROM ({ROLLUP}) WHERE hour < (SELECT max({MILLIS}) // 3600000 * 3600000 FROM events)",
+    "stream_rollup": f"SELECT * FROM ({ROLLUP})",
     "ingest_realtime_table": PLACED_ROWS,
     "ingest_realtime_rolled": f"""
         SELECT tenant_id, span_kind, bucket_start_time_millis, sum(time_taken_millis)::BIGINT AS time_taken_millis
         FROM ({TABLE_ROWS}) GROUP BY 1, 2, 3""",
     "table_pair_hybrid": f"""
         SELECT tenant_id, span_id, start_time_millis, time_taken_millis FROM ({TABLE_ROWS})""",
+    # Rolled-over rows: 90 days from the offline table; the realtime table's three days are over.
+    "pair_retention": f"""
+        SELECT tenant_id, span_id, start_time_millis FROM ({TABLE_ROWS})
+        WHERE start_time_millis >= epoch_ms(TIMESTAMP '2024-04-15 00:00:00') - {90 * DAY}
+          AND start_time_millis < {AS_OF} - {DAY}""",
+    "pair_tier": f"""
+        SELECT tenant_id, span_id, start_time_millis FROM ({TABLE_ROWS})
+        WHERE {AS_OF} - start_time_millis >= {5 * DAY} AND {AS_OF} - start_time_millis < {20 * DAY}""",
+    "pair_rolled": f"""
+        SELECT tenant_id, span_kind, bucket_start_time_millis, sum(time_taken_millis)::BIGINT AS time_taken_millis
+        FROM ({TABLE_ROWS}) GROUP BY 1, 2, 3""",
 }

@@ -45,7 +45,7 @@ from viewflow.sources.codecs import decode_value, encode_value
 from viewflow.sources.topics import SourceSet, Topic, ingest_source, keyed, publish
 from viewflow.spec import StarTree, TableSpec, column
 from viewflow.streaming.jobs import AVAILABLE_NOW, ViewJob, ingest_realtime, jobs_from_settings, run_views, work_dir
-from viewflow.streaming.sinks import FileTarget, write_view
+from viewflow.streaming.sinks import FileTarget, read_rollup, write_rollup_stream, write_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,11 +79,10 @@ def span_view_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two inputs in one: an event in both comes twice."""
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
-    clicks = events.where("event_type = 'click'")
-    valued = table(spark, sf_dir, "events").where("value > 100").select("event_id", "event_type", "user_id")
-    return merge_streams([clicks, valued])
+    """Two whole inputs in one: orders and events by who made them; an event read twice comes twice."""
+    events = table(spark, sf_dir, "events").selectExpr("event_id AS id", "event_type AS kind", "user_id AS maker")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS id", "o_orderstatus AS kind", "o_custkey AS maker")
+    return merge_streams([events, orders, events])
 
 
 @query
@@ -154,7 +153,7 @@ ENRICHED = T.StructType(
 )
 
 
-def _enriched_orders(spark: SparkSession, sf_dir: str, max_rows: int, hot_rows: int) -> DataFrame:
+def _enriched_orders(spark: SparkSession, sf_dir: str, max_rows: int, hot_rows: int, share: int) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     customers = customers.withColumnsRenamed({"c_custkey": "o_custkey", "c_nationkey": "n_nationkey"})
     context = Context(
@@ -167,7 +166,7 @@ def _enriched_orders(spark: SparkSession, sf_dir: str, max_rows: int, hot_rows:
     )
 
     def transform(df: DataFrame, ctx: Context) -> DataFrame:
-        return enrich(enrich(df, ctx.lookup("customer"), hot_rows), ctx.lookup("nation"))
+        return enrich(enrich(df, ctx.lookup("customer"), hot_rows, share), ctx.lookup("nation"))
 
     records = keyed(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderkey", "o_custkey"])
     return view_rows(records, View("orders", ENRICHED, transform), context)
@@ -176,13 +175,13 @@ def _enriched_orders(spark: SparkSession, sf_dir: str, max_rows: int, hot_rows:
 @query
 def enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with customer and nation; both lookups are measured and fit a broadcast."""
-    return _enriched_orders(spark, sf_dir, 1_000_000, 1_000_000)
+    return _enriched_orders(spark, sf_dir, 1_000_000, 1_000_000, 4)
 
 
 @query
 def enrich_orders_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with the customers taken as too many to broadcast: a join salted where keys are hot."""
-    return _enriched_orders(spark, sf_dir, 0, 5)
+    return _enriched_orders(spark, sf_dir, 0, 5, 1_000)
 
 
 # Codecs and partitioners
@@ -223,6 +222,7 @@ def field_partitioner(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_distinct("partition").alias("partitions"),
         F.min(F.col("partition").between(0, 7)).alias("in_range"),
         F.count("other").alias("elsewhere"),
+        F.count(F.lit(1)).alias("n"),
     )
 
 
@@ -334,9 +334,8 @@ def epoch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = ["MICROSECONDS", "MILLISECONDS", "SECONDS", "MINUTES", "HOURS", "DAYS"]
     epochs = orders.select("o_orderkey", *[ntz_to_epoch("o_orderdate", u).alias(u.lower()) for u in units])
     back = [ts_to_epoch(epoch_to_ts(u.lower(), u), u).alias(u.lower()) for u in units]
-    same = ts_to_epoch(epoch_to_ts(F.col("microseconds") * 1000, "NANOSECONDS"), "NANOSECONDS")
-    whole = (same == F.col("microseconds") * 1000).alias("nanoseconds_same")
-    return epochs.select("o_orderkey", *back, whole)
+    nanos = ts_to_epoch(epoch_to_ts(F.col("microseconds") * 1000, "NANOSECONDS"), "NANOSECONDS")
+    return epochs.select("o_orderkey", *back, nanos.alias("nanoseconds"))
 
 
 # Ingest
@@ -428,7 +427,7 @@ def ingest_rollup_(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_TREE = StarTree(("shard", "event_type"), ("COUNT__event_id", "SUM__total"))
 FULL_TREE = StarTree(
     ("shard", "event_type"),
-    ("MIN__total", "MAX__total", "AVG__total", "DISTINCTCOUNTHLL__event_type"),
+    ("MIN__total", "MAX__total", "AVG__total", "DISTINCTCOUNTHLL__digit"),
     ("shard",),
 )
 LINE_TREE = StarTree(
@@ -447,6 +446,7 @@ def _cube_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pmod("user_id", F.lit(5)).alias("shard"),
         "event_type",
         F.floor("value").alias("total"),
+        (F.col("event_id") % 7 / 2).alias("digit"),
     )
 
 
@@ -569,14 +569,13 @@ def layout_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = with_millis(table(spark, sf_dir, "events").select("event_id", "ts"))
-    return events.select("event_id", F.col("millis").alias("start_time_millis"))
+    return with_millis(table(spark, sf_dir, "events").select("event_id", "ts")).withColumnRenamed("millis", "start_time_millis")
 
 
 @query
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last three days."""
-    return apply_retention(_timed(spark, sf_dir), _span_spec(spark), AS_OF)
+    return apply_retention(_timed(spark, sf_dir), _span_spec(spark), AS_OF, "ts").drop("ts")
 
 
 @query
@@ -600,7 +599,7 @@ def age_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def age_tier_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows kept in one folder per tier; one tier read."""
     path = f"{work_dir(spark)}/tiers"
-    tiered = assign_tier(_timed(spark, sf_dir), _span_spec(spark), AS_OF, default="hot")
+    tiered = assign_tier(_timed(spark, sf_dir).drop("ts"), _span_spec(spark), AS_OF, default="hot")
     tiered.write.partitionBy("tier").parquet(path)
     return spark.read.parquet(path).where("tier = 'warm'").select("event_id", "start_time_millis", "tier")
 
@@ -608,7 +607,7 @@ def age_tier_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def roll_over_(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of complete six-hour buckets, twelve hours back."""
-    return complete_rows(_timed(spark, sf_dir), _span_spec(spark), AS_OF)
+    return complete_rows(_timed(spark, sf_dir), _span_spec(spark), AS_OF, "ts").drop("ts")
 
 
 @query
@@ -617,14 +616,15 @@ def hybrid_read_(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _span_spec(spark)
     rows = _timed(spark, sf_dir)
     boundary = complete_until(spec, AS_OF)
-    offline = complete_rows(rows, spec, AS_OF).drop("bucket_start")
-    realtime = apply_retention(rows, spec, AS_OF)
+    offline = complete_rows(rows, spec, AS_OF, "ts").drop("bucket_start")
+    realtime = apply_retention(rows, spec, AS_OF, "ts")
     return hybrid_rows(
         offline.withColumn("origin", F.lit("offline")),
         realtime.withColumn("origin", F.lit("realtime")),
         spec,
         boundary,
-    )
+        "ts",
+    ).drop("ts")
 
 
 # Streams
@@ -641,10 +641,12 @@ def stream_span_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_topics(spark: SparkSession, sf_dir: str, folder: str, codec: str = "struct") -> SourceSet:
-    """Events published as two topics, by even and odd users."""
+    """Events published as two topics, by even and odd users, in one pass over them."""
     records = encode_value(event_records(spark, sf_dir).withColumn("odd", F.expr("value.user_id % 2")), codec)
-    topics = [publish(records.where(f"odd = {n}"), f"{folder}/topic-{n}") for n in (0, 1)]
-    return SourceSet(spark, topics)
+    written = records.select("key", "value", "odd")
+    written.write.partitionBy("odd").parquet(f"{folder}/topics")
+    schema = written.drop("odd").schema
+    return SourceSet(spark, [Topic(f"topic-{n}", path=f"{folder}/topics/odd={n}", schema=schema) for n in (0, 1)])
 
 
 @query
@@ -652,7 +654,7 @@ def batch_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two topics read as one batch, each record with its topic."""
     folder = work_dir(spark)
     _two_topics(spark, sf_dir, folder)
-    topics = [Topic(name, path=f"{folder}/{name}") for name in ("topic-0", "topic-1")]
+    topics = [Topic(f"topic-{n}", path=f"{folder}/topics/odd={n}") for n in (0, 1)]
     merged = SourceSet(spark, topics, stream=False).merged(["topic-0", "topic-1"])
     return merged.select("topic", "key", "value.event_id")
 
@@ -668,9 +670,13 @@ def stream_multi_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = {
         "view.generators": ["span-view", "raw-view"],
         "span-view": {"input.topics": ["topic-0", "topic-1"], "output.topic": "spans"},
-        "raw-view": {"input.topics": ["topic-0"], "output.topic": "raw"},
+        "raw-view": {"input.topics": ["topic-0"], "output.topic": "raw", "kind.prefix": "raw-"},
     }
-    views = {view.name: view for view in (SPAN_VIEW, RAW_VIEW)}
+
+    def prefixed(df: DataFrame, ctx: Context) -> DataFrame:
+        return df.withColumn("event_type", F.concat(F.lit(ctx.config["kind.prefix"]), "event_type"))
+
+    views = {view.name: view for view in (SPAN_VIEW, View("raw-view", RAW_SCHEMA, prefixed))}
     schema = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, millis BIGINT"
     jobs = jobs_from_settings(settings, views, lambda name: FileTarget(f"{folder}/{name}"), schema, "json")
     sources = _two_topics(spark, sf_dir, folder, "json")
@@ -678,7 +684,7 @@ def stream_multi_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans, raw = (job.target for job in jobs)
     first = spans.read(spark).select(F.lit("spans").alias("view"), "key", F.col("value.span_id").alias("id"))
     second = raw.read(spark).select(
-        F.lit("raw").alias("view"), "key", F.col("value.event_id").cast("string").alias("id")
+        F.lit("raw").alias("view"), "key", F.concat("value.event_type", F.lit(" "), "value.event_id").alias("id")
     )
     return first.unionByName(second)
 
@@ -710,18 +716,13 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rollup as a stream: groups the watermark has passed; the last hour is still open."""
-    folder = work_dir(spark)
+    """The rollup as a stream: every batch leaves its sums, which are added up on reading."""
+    folder, spec = work_dir(spark), _rollup_spec()
     events = stream_table(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value"])
-    rolled = ingest_rollup(_rollup_input(events), _rollup_spec(), watermark="10 minutes")
-    (
-        rolled.writeStream.option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(**AVAILABLE_NOW)
-        .format("parquet")
-        .start(f"{folder}/rollup")
-        .awaitTermination()
-    )
-    return spark.read.parquet(f"{folder}/rollup")
+    write_rollup_stream(
+        _rollup_input(events), spec, f"{folder}/rollup", f"{folder}/checkpoint", AVAILABLE_NOW
+    ).awaitTermination()
+    return read_rollup(spark, spec, f"{folder}/rollup")
 
 
 # Tables
@@ -739,9 +740,12 @@ def _ingested(spark: SparkSession, sf_dir: str, aggregate: bool = False):
     return pair, folder, values
 
 
-def _run_ingest(spark: SparkSession, pair, folder: str, records: DataFrame, part: int) -> None:
-    publish(records, f"{folder}/span-view-events-{part}")
-    source = ingest_source(spark, pair.realtime_spec, f"{folder}/span-view-events-{part}")
+def _publish_halves(records: DataFrame, folder: str) -> None:
+    records.select("key", "value", "odd").write.partitionBy("odd").parquet(f"{folder}/topics")
+
+
+def _run_ingest(spark: SparkSession, pair, folder: str, part: int) -> None:
+    source = ingest_source(spark, pair.realtime_spec, f"{folder}/topics/odd={part}")
     ingest_realtime(spark, pair, f"{folder}/checkpoint-{part}", source, AVAILABLE_NOW).awaitTermination()
 
 
@@ -749,7 +753,8 @@ def _run_ingest(spark: SparkSession, pair, folder: str, records: DataFrame, part
 def ingest_realtime_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic ingested into the realtime table by the table's own settings."""
     pair, folder, records = _ingested(spark, sf_dir)
-    _run_ingest(spark, pair, folder, records, 0)
+    publish(records, f"{folder}/topics/odd=0")
+    _run_ingest(spark, pair, folder, 0)
     stored = _flat(spark.table(pair.realtime))
     return stored.drop("batch_id").withColumn("part_tenant_id", F.col("part_tenant_id").cast("long"))
 
@@ -758,21 +763,52 @@ def ingest_realtime_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_realtime_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with each batch rolled up; sums over the table are those of the rows."""
     pair, folder, records = _ingested(spark, sf_dir, aggregate=True)
+    _publish_halves(records, folder)
     for part in (0, 1):
-        _run_ingest(spark, pair, folder, records.where(f"odd = {part}"), part)
+        _run_ingest(spark, pair, folder, part)
     stored = spark.table(pair.realtime)
     return stored.groupBy("tenant_id", "span_kind", "bucket_start_time_millis").agg(
         F.sum("time_taken_millis").alias("time_taken_millis")
     )
 
 
+def _rolled_over(spark: SparkSession, sf_dir: str, aggregate: bool = False):
+    """Ingest, roll over, late rows, roll over again."""
+    pair, folder, records = _ingested(spark, sf_dir, aggregate)
+    _publish_halves(records, folder)
+    _run_ingest(spark, pair, folder, 0)
+    roll_over(spark, pair, "2024-01-15T00:00:00")
+    _run_ingest(spark, pair, folder, 1)
+    roll_over(spark, pair, AS_OF)
+    return pair
+
+
 @query
 def table_pair_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest, roll over, late rows, roll over again, expire: every row is still read once."""
-    pair, folder, records = _ingested(spark, sf_dir)
-    _run_ingest(spark, pair, folder, records.where("odd = 0"), 0)
-    roll_over(spark, pair, "2024-01-15T00:00:00")
-    _run_ingest(spark, pair, folder, records.where("odd = 1"), 1)
-    roll_over(spark, pair, AS_OF)
+    pair = _rolled_over(spark, sf_dir)
     drop_expired(spark, pair, AS_OF)
     return read_hybrid(spark, pair).select("tenant_id", "span_id", "start_time_millis", "time_taken_millis")
+
+
+@query
+def pair_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables as one at a later moment: rows past their table's retention are hidden, not yet dropped."""
+    pair = _rolled_over(spark, sf_dir)
+    return read_hybrid(spark, pair, "2024-04-15T00:00:00").select("tenant_id", "span_id", "start_time_millis")
+
+
+@query
+def pair_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one age tier of both tables."""
+    pair = _rolled_over(spark, sf_dir)
+    return read_hybrid(spark, pair, AS_OF, "warm").select("tenant_id", "span_id", "start_time_millis")
+
+
+@query
+def pair_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches rolled up each, merged again by the roll-over, summed over both tables."""
+    pair = _rolled_over(spark, sf_dir, aggregate=True)
+    return read_hybrid(spark, pair).groupBy("tenant_id", "span_kind", "bucket_start_time_millis").agg(
+        F.sum("time_taken_millis").alias("time_taken_millis")
+    )

@@ -25,25 +25,43 @@ _AVRO_NAMES = {
     T.FloatType: "float",
     T.DoubleType: "double",
 }
+# Spark type -> Avro type and the meaning it carries.
+_AVRO_MEANINGS = {
+    T.DateType: ("int", "date"),
+    T.TimestampType: ("long", "timestamp-micros"),
+    T.TimestampNTZType: ("long", "local-timestamp-micros"),
+}
 
 
 def avro_schema(schema: T.StructType, name: str = "record") -> str:
-    """The Avro schema text of a view schema; a nullable field becomes a union with null."""
+    """The Avro schema text of a view schema; a nullable field, element or value becomes a union with null."""
+
+    def maybe(data_type: T.DataType, nullable: bool, path: str) -> object:
+        avro_type = convert(data_type, path)
+        return ["null", avro_type] if nullable else avro_type
 
-    def convert(data_type: T.DataType) -> object:
+    def convert(data_type: T.DataType, path: str) -> object:
         if isinstance(data_type, T.ArrayType):
-            return {"type": "array", "items": convert(data_type.elementType)}
+            return {"type": "array", "items": maybe(data_type.elementType, data_type.containsNull, path)}
         if isinstance(data_type, T.MapType):
-            return {"type": "map", "values": convert(data_type.valueType)}
+            return {"type": "map", "values": maybe(data_type.valueType, data_type.valueContainsNull, path)}
+        if isinstance(data_type, T.StructType):
+            # Each record has a name of its own: the path that leads to it.
+            fields = [
+                {"name": f.name, "type": maybe(f.dataType, f.nullable, f"{path}_{f.name}")} for f in data_type.fields
+            ]
+            return {"type": "record", "name": path, "fields": fields}
+        if isinstance(data_type, T.DecimalType):
+            meaning = {"logicalType": "decimal", "precision": data_type.precision, "scale": data_type.scale}
+            return {"type": "bytes", **meaning}
+        if type(data_type) in _AVRO_MEANINGS:
+            stored, meaning = _AVRO_MEANINGS[type(data_type)]
+            return {"type": stored, "logicalType": meaning}
         if type(data_type) not in _AVRO_NAMES:
             raise SpecError(f"no Avro type for {data_type.simpleString()}")
         return _AVRO_NAMES[type(data_type)]
 
-    fields = []
-    for field in schema.fields:
-        avro_type = convert(field.dataType)
-        fields.append({"name": field.name, "type": ["null", avro_type] if field.nullable else avro_type})
-    return json.dumps({"type": "record", "name": name, "fields": fields})
+    return json.dumps(convert(schema, name))
 
 
 def _avro():

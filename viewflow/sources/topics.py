@@ -137,11 +137,19 @@ def ingest_trigger(spec: TableSpec) -> dict[str, str]:
     return {"processingTime": f"{millis} milliseconds"}
 
 
+# The last part of the decoder classes whose values are plain Avro or JSON.
+_DECODERS = {"SimpleAvroMessageDecoder": "avro", "JSONMessageDecoder": "json"}
+
+
 def ingest_codec(spec: TableSpec) -> str:
-    decoder = str(spec.stream.get("stream.kafka.decoder.class.name", "")).lower()
-    if "avro" in decoder:
-        return "avro"
-    return "json" if "json" in decoder else "struct"
+    """How the topic's values are read. Other decoders' values may have more than the record in them: they raise."""
+    decoder = spec.stream.get("stream.kafka.decoder.class.name")
+    if not decoder:
+        return "struct"
+    name = str(decoder).rsplit(".", 1)[-1]
+    if name not in _DECODERS:
+        raise SpecError(f"table {spec.table_name}: unknown decoder {decoder!r}")
+    return _DECODERS[name]
 
 
 def spec_records(spec: TableSpec) -> T.StructType:

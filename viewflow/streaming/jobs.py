@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
+from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -22,27 +22,51 @@ from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import decode_value
 from viewflow.sources.topics import SourceSet, check_topics, ingest_codec, ingest_source, ingest_trigger
 from viewflow.spec import SpecError, flatten
-from viewflow.streaming.sinks import Target
+from viewflow.streaming.sinks import Target, write_view
 
 # One pass over everything there is, then stop.
 AVAILABLE_NOW = {"availableNow": True}
 
 
+_made: list[str] = []
+
+
 def work_dir(spark: SparkSession) -> str:
-    """A new folder under the shared one the cluster names; only where none is named, a temporary one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/viewflow-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="viewflow-")
+    """A new folder under the shared one the cluster names, or else below the warehouse, which is shared too.
+
+    ``clean_up`` deletes it.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
+    _made.append(f"{base}/viewflow-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Drop the databases that lie in this process's work folders, then delete the folders."""
+    for row in spark.sql("SHOW DATABASES LIKE 'viewflow_*'").collect():
+        place = spark.catalog.getDatabase(row[0]).locationUri
+        if any(folder.split(":", 1)[-1] in place for folder in _made):
+            spark.sql(f"DROP DATABASE IF EXISTS {row[0]} CASCADE")
+    jvm = spark.sparkContext._jvm
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @dataclass(frozen=True)
 class ViewJob:
-    """A view, the topics it reads, how their values are decoded, and where its output goes."""
+    """A view, the topics it reads, how their values are decoded, and where its output goes.
+
+    ``settings`` are the view's own section; it finds them in its context's ``config``.
+    """
 
     view: View
     inputs: Sequence[str]
     target: Target
     input_schema: T.StructType | str | None = None
     codec: str = "struct"
+    settings: Mapping[str, Any] = field(default_factory=dict)
 
 
 def check_jobs(jobs: Iterable[ViewJob]) -> list[ViewJob]:
@@ -68,13 +92,17 @@ def job_output(
     mine = records.where(F.col("topic").isin(list(job.inputs)))
     if not decoded:
         mine = decode_value(mine, job.input_schema, job.codec)
-    return apply_view(mine, job.view, context)
+    context = context or Context()
+    return apply_view(mine, job.view, replace(context, config={**context.config, **job.settings}))
 
 
 def _write_all(
     jobs: Sequence[ViewJob], write: Callable[[ViewJob], None], spark: SparkSession, parallel: int
 ) -> None:
-    if len(jobs) == 1 or parallel == 1:
+    # The first alone: it fills the cache that the others then find full.
+    write(jobs[0])
+    jobs = jobs[1:]
+    if len(jobs) < 2 or parallel == 1:
         for job in jobs:
             write(job)
         return
@@ -95,7 +123,7 @@ def jobs_from_settings(
     """Jobs from settings: a list ``view.generators`` and, under each name, ``input.topics`` and
     ``output.topic``; or, without the list, these two for the one view given.
 
-    ``target`` makes a target of an output topic's name.
+    ``target`` makes a target of an output topic's name. A view's section, by dotted names, goes to the view.
     """
     if "view.generators" in flatten(settings):
         sections = {name: settings.get(name) for name in flatten(settings)["view.generators"]}
@@ -111,7 +139,7 @@ def jobs_from_settings(
         missing = [key for key in ("input.topics", "output.topic") if key not in own]
         if missing:
             raise SpecError(f"view {name!r}: missing {', '.join(missing)}")
-        jobs.append(ViewJob(views[name], own["input.topics"], target(own["output.topic"]), input_schema, codec))
+        jobs.append(ViewJob(views[name], own["input.topics"], target(own["output.topic"]), input_schema, codec, own))
     return check_jobs(jobs)
 
 
@@ -136,16 +164,20 @@ def run_views(
     alike = all((job.input_schema, job.codec) == (jobs[0].input_schema, jobs[0].codec) for job in jobs)
     if alike:
         stream = decode_value(stream, jobs[0].input_schema, jobs[0].codec)
-    # A batch is read more than once by several views, and by the count of hot keys before a salted join.
     lookups = context.lookups.values() if context else ()
+    if len(jobs) == 1 and not lookups:
+        # One view that needs no batch: the scan reads its columns only.
+        return write_view(job_output(stream, jobs[0], context, decoded=alike), jobs[0].target, checkpoint, trigger)
+    # A batch is read more than once by several views, and by the count of hot keys before a salted join.
     shared = len(jobs) > 1 or not all(lookup.small for lookup in lookups)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if shared:
             batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        now = context.measured() if context else None
 
         def write(job: ViewJob) -> None:
-            job.target.write(job_output(batch, job, context, decoded=alike), batch_id)
+            job.target.write(job_output(batch, job, now, decoded=alike), batch_id)
 
         try:
             _write_all(jobs, write, batch.sparkSession, parallel)

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from viewflow.operators.enrich import Context
+from viewflow.operators.ingest import ingest_rollup
 from viewflow.operators.layout import arrange
+from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import encode_value
 from viewflow.sources.topics import Topic
-from viewflow.spec import SpecError
+from viewflow.spec import SpecError, TableSpec
 
 BATCH = "batch_id"
 
@@ -86,17 +89,60 @@ Target = FileTarget | KafkaTarget
 
 
 def write_view(
-    out: DataFrame, target: Target, checkpoint: str | None = None, trigger: Mapping | None = None
+    out: DataFrame,
+    target: Target,
+    checkpoint: str | None = None,
+    trigger: Mapping | None = None,
+    view: View | None = None,
+    context: Context | None = None,
 ) -> StreamingQuery | None:
-    """Write a view's output: a stream as a query that is returned started, a batch at once."""
+    """Write a view's output: a stream as a query that is returned started, a batch at once.
+
+    With a ``view``, ``out`` is its input. A stream is then given to it as a whole, or batch by batch where a
+    lookup is too large to broadcast.
+    """
+    large = view is not None and context is not None and not all(x.small for x in context.lookups.values())
+    if large and out.isStreaming:
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            target.write(apply_view(batch, view, context.measured()), batch_id)
+
+        return _started(out, write, checkpoint, trigger)
+    if view is not None:
+        out = apply_view(out, view, context)
     if not out.isStreaming:
         target.write(out, 0)
         return None
+    return _started(out, target.write, checkpoint, trigger)
+
+
+def _started(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str | None, trigger: Mapping | None
+) -> StreamingQuery:
     if checkpoint is None:
         raise ValueError("a streamed view needs a checkpoint folder")
     return (
-        out.writeStream.option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .foreachBatch(target.write)
+        .foreachBatch(write)
         .start()
     )
+
+
+def write_rollup_stream(
+    rows: DataFrame, spec: TableSpec, path: str, checkpoint: str, trigger: Mapping | None = None
+) -> StreamingQuery:
+    """Roll up a stream of shaped rows without losing any, however late and however cut into batches.
+
+    Each batch leaves its own sums in a folder that it replaces if it comes again; ``read_rollup`` adds them up.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingest_rollup(batch, spec).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+
+    return _started(rows, write, checkpoint, trigger)
+
+
+def read_rollup(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+    """The sums of all batches written so far."""
+    return ingest_rollup(spark.read.parquet(path).drop(BATCH), spec)
