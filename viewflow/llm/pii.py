@@ -146,8 +146,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list,
     found = _with_spans(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text")
 
     def told(kind: str) -> Column:
-        base = F.col(f"base_{kind}")
-        return F.transform(f"wide_{kind}", lambda s: F.struct(_features(kind, s).alias("x"), _same(base, s).alias("y")))
+        # The base spans as a variable: the optimiser can't put finding them into the loop.
+        return bound(
+            F.col(f"base_{kind}"),
+            lambda base: F.transform(f"wide_{kind}", lambda s: F.struct(_features(kind, s).alias("x"), _same(base, s).alias("y"))),
+        )
 
     apart = F.pmod(F.xxhash64("key", F.lit("apart")), F.lit(5)) == 0
     seen = found.select(apart.alias("apart"), F.explode(F.concat(*map(told, KINDS))).alias("c"))
@@ -236,12 +239,13 @@ def detected(df: DataFrame, model: tuple[list, dict[str, float]], text: str = "t
         if not trees or least[kind] == float("inf"):
             return F.col(f"base_{kind}")
 
-        def picked(s: Column) -> Column:
+        def picked(s: Column, base: Column) -> Column:
             free = ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
             total = bound(_features(kind, s), lambda x: sum((_tree_column(t, x) for t in trees), F.lit(0.0)))
             return free & (total >= least[kind])
 
-        return F.sort_array(F.concat(F.col(f"base_{kind}"), F.filter(f"wide_{kind}", picked)))
+        added = bound(base, lambda own: F.filter(f"wide_{kind}", lambda s: picked(s, own)))
+        return F.sort_array(F.concat(F.col(f"base_{kind}"), added))
 
     return found.select(*[found[c] for c in df.columns], *[f"base_{k}" for k in KINDS], *[chosen(k).alias(f"all_{k}") for k in KINDS])
 
