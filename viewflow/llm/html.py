@@ -67,7 +67,7 @@ _NAMES = {
 }
 _NAME = [re.compile(pattern, re.I) for pattern in _NAMES.values()]
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*.?true", re.I)
-_TAGS = "article aside body button div dd details dialog dl dt figcaption figure footer form h1 h2 header label legend li main menu nav ol p pre section td tr ul".split()
+_TAGS = "aside body button dd details dialog dl dt figcaption figure footer form h1 h2 header label legend li main menu nav ol p pre td tr ul".split()
 _COLUMNS = ["bias", *(f"tag {t}" for t in _TAGS), *(f"name {n}" for n in _NAMES), "hidden", "in article", "header in article", "links", "short", "long", "sentence"]
 _COLUMN = {name: number for number, name in enumerate(_COLUMNS)}
 _TAG_COLUMN = {t: _COLUMN[f"tag {t}"] for t in _TAGS}

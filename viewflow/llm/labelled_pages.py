@@ -50,4 +50,7 @@ PAGES = [
     f'<html><body>{_d("menu", "", "<li>Copy</li><li>Paste</li>")}{_d("dialog", "", f"<p>{_LONG}</p>")}<main><h1>Title here</h1><section><p>{_LONG}</p></section></main>'
     f'{_d("div", "class=sponsored", f"<p>{_LONG}</p>")}{_d("div", "class=popup", f"<p>{_WORDS}</p>")}</body></html>',
     f'<html><body><article>{_BODY}</article>{_d("div", "class=promo", f"<h2>Offer</h2><p>{_LONG}</p>")}{_d("aside", "id=widgets", _menu())}{_d("footer", "class=site-footer", f"<p>{_LONG}</p>" + _menu())}</body></html>',
+    f'<html><body><div id="wrapper"><div class="container"><div class="row">{_NAV}<div class="col"><div><div><div>{_BODY}{_LIST}</div></div></div></div>{_ASIDE}</div></div></div>{_FOOT}</body></html>',
+    f"<html><body>{'<div>' * 12}{_BODY}{_TABLE}{'</div>' * 12}{_FOOT}</body></html>",
+    f"<html><body>{_NAV}<section><section><h2>Part</h2><p>{_LONG}</p><div>{_WORDS}</div></section></section>{_AD}</body></html>",
 ]
