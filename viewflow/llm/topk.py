@@ -181,8 +181,8 @@ def _matched(batch: pa.RecordBatch, k: int) -> tuple[list[np.ndarray], ...]:
     out: tuple[list[np.ndarray], ...] = ([], [], [], [])
     for row in batch.to_pylist():
         keys = np.frombuffer(row["keys"], dtype=np.int64)
-        queries = np.frombuffer(row["queries"], dtype=np.int64).reshape(-1, row["length"])
         numbers = np.frombuffer(row["numbers"], dtype=np.int64)
+        queries = np.frombuffer(row["queries"], dtype=np.int64).reshape(len(numbers), row["length"])
         query_keys = np.frombuffer(row["query_keys"], dtype=np.int64)
         slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(-1, -(-len(keys) // 64))
         sums, constants = _summed(queries, np.frombuffer(row["least"], dtype=np.int64), row["bits"], slices)
