@@ -22,7 +22,7 @@ TEXTS = [
     (8, "x" * 50_000),
     (9, "Émile's café — naïve 😀 <|endoftext|> \x1c a\x85b c ΑΒΓ слово 漢字 İstanbul don't!!"),
     (10, "\n".join(["one line here", "one line here", "", "one line here", "other"])),
-    (11, "mail me a.b@c.example.com. or x@y z@w.org 10.0.0.1 999.1.1.1 4111 1111 1111 1111 +1 (555) 010-9999"),
+    (11, "mail me a.b@c.example.com. or x@y z@w.org 10.0.0.1 999.1.1.1 card 4111 1111 1111 1111 +1 (555) 010-9999"),
     (12, "1" * 30_000 + " " + "12 " * 2_000),
     (13, "9 words are not enough for any rule"),
     (14, " ".join(["a b c d e f g h"] * 10)),
