@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -532,3 +533,19 @@ def test_training_beats_the_frequencies_and_repeats(spark):
     score = [lm.pseudo_likelihood(df, m).agg({"log_prob": "sum"}).first()[0] for df, m in ((docs, trained), (docs, plain), (shuffled, trained))]
     assert score[0] > score[1] * 0.8 and score[0] > score[2]
     assert (lm.fit(docs).weights == trained.weights).all()
+
+
+def test_every_word_of_the_corpus_has_its_own_probability(spark):
+    """Words of one class that are no frequent ones: each has its share, and only the rare ones are one to the model."""
+    head = " ".join(f"h{i}x" for i in range(lm.VOCABULARY))
+    texts = [(i, head) for i in range(30)] + [(100, "makes " * 9), (101, "mikes " * 4), (102, "mules"), (103, "miles")]
+    tries = [(i, f"h1x h2x {word} h3x") for i, word in enumerate(["makes", "mikes", "mules", "miles", "meles"])]
+    assert len({int(lm._classes(pa.array([t.split()[2]]))[0]) for _, t in tries}) == 1
+    model = lm.fit(spark.createDataFrame(texts, "doc_id long, text string"), rounds=0)
+    assert len(model.vocabulary) == lm.VOCABULARY and not {"makes", "mikes"} & set(model.vocabulary)
+    out = lm.pseudo_likelihood(spark.createDataFrame([*tries, tries[0]], "doc_id long, text string"), model)
+    found = by_text(out.collect(), ["doc_id", "log_prob"])
+    assert sorted(found.values()) == [1, 1, 1, 1, 2]
+    a, b, *rare = [p for _, p in sorted(found)]
+    assert np.isclose(a - b, np.log(9 / 4), atol=0.02) and len(set(rare)) == 1
+    assert np.isclose(a - rare[0], np.log(9 / 3), atol=0.02)

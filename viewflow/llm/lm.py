@@ -1,14 +1,18 @@
 """Documents scored by masked pseudo-likelihood: every token predicted from both sides.
 
-Tokens are the corpus's most frequent words, found by counting all of it, and classes for the rest. A network with
-one hidden layer sees the words in a window left and right of a masked one, by place, and gives the distribution of
-the masked one. It is trained in numpy, in each partition on every `STRIDE`-th token of all its documents; the
-weights of all partitions are averaged by the number of their tokens, and training goes on from there. The summed
-conditional log-probabilities of all its tokens score a document.
+All words of the corpus are counted. Tokens of the network are the most frequent words, and classes for the rest. A
+network with one hidden layer sees the tokens in a window left and right of a masked one, by place, and gives the
+distribution of the masked one. It is trained in numpy, in each partition on every `STRIDE`-th token of all its
+documents; the weights of all partitions are averaged by the number of their tokens, and training goes on from there.
+
+A word of a class has the class's probability times its own share of the class. The shares are a stored table of all
+words seen `LEAST` times or more, which is joined and never collected; only rarer words share what is left of their
+class. The summed conditional log-probabilities of all its words score a document.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,10 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewflow.llm.common import WORD_BLOCK_BYTES, blocks, sums
+from viewflow.llm.common import WORD_BLOCK_BYTES, blocks, stored, sums
 
 #: Frequent words, classes of other words, words seen on each side, hidden units.
 VOCABULARY, CLASSES, SIDE, HIDDEN = 96, 31, 2, 16
+#: A word of a class that is seen so often has a probability of its own.
+LEAST = 3
 #: Every so many tokens one is trained on; tokens of a step; rounds of averaging; step size.
 STRIDE, BATCH, ROUNDS, RATE = 8, 2048, 2, 0.02
 #: Tokens scored at a time; units of a weight when weights are summed as whole numbers, in any order.
@@ -94,14 +100,18 @@ def _words(column: pa.Array) -> tuple[pa.StringArray, np.ndarray]:
     return flat.filter(there), sums(there.to_numpy(zero_copy_only=False).astype(np.int64), lengths)
 
 
-def _tokens(words: pa.StringArray, vocabulary: pa.StringArray) -> np.ndarray:
-    """A frequent word's own number, or a class by the first and last byte and the length."""
+def _classes(words: pa.StringArray) -> np.ndarray:
+    """Classes by the first and last byte and the length."""
     offsets = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1]
     data = np.frombuffer(words.buffers()[2], dtype=np.uint8) if len(words) else np.zeros(0, dtype=np.uint8)
     first, last = data[offsets[:-1]].astype(np.int64), data[offsets[1:] - 1].astype(np.int64)
+    return (last * 7 + first * 3 + np.minimum(np.diff(offsets), 15)) % CLASSES
+
+
+def _tokens(words: pa.StringArray, vocabulary: pa.StringArray) -> np.ndarray:
+    """A frequent word's own number, or its class."""
     known = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
-    other = (last * 7 + first * 3 + np.minimum(np.diff(offsets), 15)) % CLASSES
-    return np.where(known >= 0, known + 1, 1 + VOCABULARY + other)
+    return np.where(known >= 0, known + 1, 1 + VOCABULARY + _classes(words))
 
 
 def _windows(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -116,43 +126,61 @@ def _windows(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 class Model:
     vocabulary: list[str]
     weights: np.ndarray
+    #: `word` and `share`, the logarithm of its share of its class: a stored table of all words of classes that have one.
+    words: DataFrame
+    #: The same of all other words of each class together.
+    rest: list[float]
 
 
-def _counted(texts: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The most frequent words of all texts, ties by the word, and the frequencies of all tokens."""
+def _counted(texts: DataFrame) -> DataFrame:
+    """Each word of all texts with its class and its number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, 0, WORD_BLOCK_BYTES):
             coded = _words(block.column(0))[0].dictionary_encode()
             times = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
-            yield pa.record_batch([coded.dictionary, pa.array(times, pa.int64())], names=["word", "n"])
+            columns = [coded.dictionary, pa.array(_classes(coded.dictionary), pa.int32()), pa.array(times, pa.int64())]
+            yield pa.record_batch(columns, names=["word", "class", "n"])
+
+    return stored(texts.mapInArrow(run, "word string, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n")))
+
 
-    counts = texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()
-    return [row.word for row in top], np.array([row.n for row in top], dtype=np.float64)
+def _shares(counts: DataFrame, vocabulary: list[str]) -> tuple[DataFrame, list[float]]:
+    """The shares of the words in their classes; with the rest's, those of a class have the sum 1."""
+    others = counts.filter(~F.col("word").isin(vocabulary)) if vocabulary else counts
+    often = F.col("n") >= LEAST
+    sizes, rare = [1] * CLASSES, [1] * CLASSES  # one more for words never seen
+    for row in others.groupBy("class").agg(F.sum("n").alias("n"), F.sum(F.when(often, 0).otherwise(F.col("n"))).alias("rare")).collect():
+        sizes[row["class"]] += row.n
+        rare[row["class"]] += row.rare
+    size = F.get(F.array(*map(F.lit, sizes)), F.col("class"))
+    words = others.filter(often).select("word", F.log(F.col("n") / size).alias("share"))
+    return words, [float(np.log(r / n)) for r, n in zip(rare, sizes)]
 
 
 def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     """Counts the words and trains the network on all documents. Without a word the weights stay as they began."""
     texts = docs.select(docs[text].cast("string").alias("text"))
-    vocabulary, counts = _counted(texts)
+    every = _counted(texts)
+    top = every.orderBy(F.col("n").desc(), "word").limit(VOCABULARY).collect()
+    vocabulary, counts = [row.word for row in top], np.array([row.n for row in top], dtype=np.float64)
     frequencies = np.ones(_TOKENS)
     # Half of the tokens are taken to be other words to begin with.
     frequencies[1 : 1 + len(counts)] = counts
     frequencies[1 + VOCABULARY :] = max(counts.sum(), 1) / CLASSES
     net = Network.new(frequencies / frequencies.sum())
     for number in range(rounds if vocabulary else 0):
-        net = Network(_round(texts, Model(vocabulary, net.flat), number))
-    return Model(vocabulary, net.flat)
+        net = Network(_round(texts, vocabulary, net.flat, number))
+    return Model(vocabulary, net.flat, *_shares(every, vocabulary))
 
 
-def _round(texts: DataFrame, model: Model, number: int) -> np.ndarray:
+def _round(texts: DataFrame, frequent: list[str], start: np.ndarray, number: int) -> np.ndarray:
     """The mean of the weights that the partitions arrive at."""
-    bound = texts.sparkSession.sparkContext.broadcast(model)  # a fixed size
+    bound = texts.sparkSession.sparkContext.broadcast((frequent, start))  # a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = pa.array(bound.value.vocabulary, pa.string())
-        net = Network(bound.value.weights.copy())
+        vocabulary = pa.array(bound.value[0], pa.string())
+        net = Network(bound.value[1].copy())
         mean, square, steps, seen, skip = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0, number
         for block in blocks(batches, 0, WORD_BLOCK_BYTES):
             words, lengths = _words(block.column(0))
@@ -175,7 +203,7 @@ def _round(texts: DataFrame, model: Model, number: int) -> np.ndarray:
 
     trained = texts.mapInArrow(run, "place int, units long, seen long")
     mean = trained.groupBy("place").agg((F.sum(F.col("units").cast("decimal(38,0)")) / F.sum("seen")).cast("double").alias("w"))
-    weights = model.weights.copy()
+    weights = start.copy()
     for row in mean.collect():  # a row for each weight
         weights[row.place] = row.w / UNITS
     return weights
@@ -186,22 +214,52 @@ def pseudo_likelihood(docs: DataFrame, model: Model, key: str = "doc_id", text:
 
     A null, empty or blank text has no tokens and 0 for both; repeated rows stay repeated.
     """
-    bound = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size
+    bound = docs.sparkSession.sparkContext.broadcast((model.vocabulary, model.weights))  # a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, net = pa.array(bound.value.vocabulary, pa.string()), Network(bound.value.weights)
-        for block in blocks(batches, 1):
+        vocabulary, net = pa.array(bound.value[0], pa.string()), Network(bound.value[1])
+        for block in blocks(batches, 1, WORD_BLOCK_BYTES):
             words, lengths = _words(block.column(1))
             tokens = _tokens(words, vocabulary)
-            # Rounded: far above what the size of a chunk changes.
-            total = np.round(sums(net.log_probabilities(_windows(tokens, lengths), tokens), lengths), 2)
-            mean = np.round(total / np.maximum(lengths, 1), 5)
-            columns = [block.column(0), pa.array(lengths), pa.array(total), pa.array(mean)]
-            yield pa.record_batch(columns, names=["key", "n_tokens", "log_prob", "mean_log_prob"])
+            total = sums(net.log_probabilities(_windows(tokens, lengths), tokens), lengths)
+            other = tokens > VOCABULARY
+            coded = words.filter(pa.array(other)).dictionary_encode()
+            numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+            # A word's number in the block is its place by first sight: each text brings the numbers that are new in it.
+            ends = np.concatenate([[0], np.cumsum(sums(other.astype(np.int64), lengths))])
+            known = np.concatenate([[0], np.maximum.accumulate(numbers) + 1])[ends].astype(np.int32)
+            listed = pa.StructArray.from_arrays([coded.dictionary, pa.array(_classes(coded.dictionary), pa.int32())], names=["word", "class"])
+            own = pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(numbers)])
+            columns = [pa.array([uuid.uuid4().hex] * len(block)), block.column(0), pa.array(lengths), pa.array(total), own]
+            columns += [pa.array(known[:-1]), pa.ListArray.from_arrays(pa.array(known), listed)]
+            yield pa.record_batch(columns, names=["block", "key", "n_tokens", "total", "numbers", "first", "words"])
 
     chosen = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
     kind = chosen.schema["key"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"key {kind}, n_tokens long, log_prob double, mean_log_prob double").withColumnRenamed("key", key)
+    schema = f"block string, key {kind}, n_tokens long, total double, numbers binary, first int, words array<struct<word:string,class:int>>"
+    # Stored, as a block's name is new each time.
+    rows = stored(chosen.mapInArrow(run, schema))
+    words = rows.select(F.col("block").alias("of"), "first", F.posexplode("words").alias("at", "w"))
+    words = words.select("of", (F.col("first") + F.col("at")).alias("at"), "w.word", "w.class")
+    rest = F.get(F.array(*map(F.lit, model.rest)), F.col("class"))
+    shares = words.join(model.words, "word", "left").select("of", "at", F.coalesce("share", rest).alias("share"))
+
+    def added(left: pa.Table, right: pa.Table) -> pa.Table:
+        share = np.zeros(len(right))
+        share[right["at"].to_numpy()] = right["share"].to_numpy()
+        numbers = left["numbers"].combine_chunks()
+        lengths = pc.binary_length(numbers).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+        own = np.frombuffer(b"".join(numbers.to_pylist()), dtype=np.int32)
+        n_tokens = left["n_tokens"].to_numpy()
+        # Rounded: far above what the size of a chunk changes.
+        total = np.round(left["total"].to_numpy() + sums(share[own], lengths), 2)
+        mean = np.round(total / np.maximum(n_tokens, 1), 5)
+        return pa.table([left["key"], left["n_tokens"], pa.array(total), pa.array(mean)], names=["key", "n_tokens", "log_prob", "mean_log_prob"])
+
+    # A block's texts meet the shares of its words.
+    scored = rows.drop("first", "words").groupBy("block").cogroup(shares.groupBy("of"))
+    out = scored.applyInArrow(added, f"key {kind}, n_tokens long, log_prob double, mean_log_prob double")
+    return out.withColumnRenamed("key", key)
 
 
 def scored(docs: DataFrame) -> DataFrame:
