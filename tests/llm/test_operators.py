@@ -549,3 +549,13 @@ def test_every_word_of_the_corpus_has_its_own_probability(spark):
     a, b, *rare = [p for _, p in sorted(found)]
     assert np.isclose(a - b, np.log(9 / 4), atol=0.02) and len(set(rare)) == 1
     assert np.isclose(a - rare[0], np.log(9 / 3), atol=0.02)
+
+
+def test_each_token_is_trained_on_in_every_round(spark):
+    """The bias of a token that is never a target only falls from a uniform start."""
+    for texts in ([" ".join(f"w{i}" for i in range(8)) + " "] * 600, ["w5 w6 "] * 2000):
+        docs = spark.createDataFrame([(t * 2,) for t in texts], "text string").coalesce(1)
+        words = sorted(set(" ".join(texts).split()))
+        start = lm.Network.new(np.ones(lm._TOKENS) / lm._TOKENS)
+        after = lm.Network(lm._round(docs, words, start.flat))
+        assert (after.bias[1 : 1 + len(words)] > start.bias[1]).all() and after.bias[-1] < start.bias[-1]

@@ -2,8 +2,8 @@
 
 All words of the corpus are counted. Tokens of the network are the most frequent words, and classes for the rest. A
 network with one hidden layer sees the tokens in a window left and right of a masked one, by place, and gives the
-distribution of the masked one. It is trained in numpy, in each partition on every `STRIDE`-th token of all its
-documents; the weights of all partitions are averaged by the number of their tokens, and training goes on from there.
+distribution of the masked one. It is trained in numpy, in each partition on every token of all its documents in each
+round; the weights of all partitions are averaged by the number of their tokens, and training goes on from there.
 
 A word of a class has the class's probability times its own share of the class. The shares are a stored table of all
 words seen `LEAST` times or more, which is joined and never collected; only rarer words share what is left of their
@@ -28,8 +28,8 @@ from viewflow.llm.common import WORD_BLOCK_BYTES, blocks, stored, sums
 VOCABULARY, CLASSES, SIDE, HIDDEN = 96, 31, 2, 16
 #: A word of a class that is seen so often has a probability of its own.
 LEAST = 3
-#: Every so many tokens one is trained on; tokens of a step; rounds of averaging; step size.
-STRIDE, BATCH, ROUNDS, RATE = 8, 2048, 2, 0.02
+#: Tokens of a step; rounds of averaging; step size.
+BATCH, ROUNDS, RATE = 2048, 2, 0.02
 #: Tokens scored at a time; units of a weight when weights are summed as whole numbers, in any order.
 CHUNK, UNITS = 8192, 1_000_000
 _TOKENS = 1 + VOCABULARY + CLASSES  # 0 stands beyond a text's ends
@@ -57,37 +57,36 @@ class Network:
         return net
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden states and log-probabilities of all tokens."""
+        """Hidden states, and of all tokens the logarithms of probabilities before they are brought to the sum 1."""
         state = self.hidden + sum(self.inputs[p][context[p]] for p in range(len(_PLACES)))
         np.tanh(state, out=state)
-        logits = state @ self.outputs + self.bias
+        logits = state @ self.outputs
+        logits += self.bias
         logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return state, logits
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        state, logs = self.forward(context)
+        state, error = self.forward(context)
         out = Network(np.zeros_like(self.flat))
-        error = np.exp(logs)
-        error[np.arange(len(target)), target] -= 1
-        error /= len(target)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True) * np.float32(len(target))
+        error[np.arange(len(target)), target] -= np.float32(1 / len(target))
         out.outputs[:] = state.T @ error
         out.bias[:] = error.sum(axis=0)
         below = (error @ self.outputs.T) * (1 - state * state)
         out.hidden[:] = below.sum(axis=0)
-        rows = np.arange(len(target))
         for p in range(len(_PLACES)):
-            chosen = np.zeros((len(target), _TOKENS), dtype=np.float32)
-            chosen[rows, context[p]] = 1
-            out.inputs[p] = chosen.T @ below
+            cells = (context[p][:, None] * HIDDEN + np.arange(HIDDEN)).ravel()
+            out.inputs[p] = np.bincount(cells, weights=below.ravel(), minlength=_TOKENS * HIDDEN).reshape(_TOKENS, HIDDEN)
         return out.flat
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target))
         for at in range(0, len(target), CHUNK):
-            _, logs = self.forward(context[:, at : at + CHUNK])
+            _, logits = self.forward(context[:, at : at + CHUNK])
             own = target[at : at + CHUNK]
-            out[at : at + CHUNK] = logs[np.arange(len(own)), own]
+            chosen = logits[np.arange(len(own)), own]
+            out[at : at + CHUNK] = chosen - np.log(np.exp(logits, out=logits).sum(axis=1))
         return out
 
 
@@ -169,28 +168,26 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> Model:
     frequencies[1 : 1 + len(counts)] = counts
     frequencies[1 + VOCABULARY :] = max(counts.sum(), 1) / CLASSES
     net = Network.new(frequencies / frequencies.sum())
-    for number in range(rounds if vocabulary else 0):
-        net = Network(_round(texts, vocabulary, net.flat, number))
+    for _ in range(rounds if vocabulary else 0):
+        net = Network(_round(texts, vocabulary, net.flat))
     return Model(vocabulary, net.flat, *_shares(every, vocabulary))
 
 
-def _round(texts: DataFrame, frequent: list[str], start: np.ndarray, number: int) -> np.ndarray:
+def _round(texts: DataFrame, frequent: list[str], start: np.ndarray) -> np.ndarray:
     """The mean of the weights that the partitions arrive at."""
     bound = texts.sparkSession.sparkContext.broadcast((frequent, start))  # a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pa.array(bound.value[0], pa.string())
         net = Network(bound.value[1].copy())
-        mean, square, steps, seen, skip = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0, number
+        mean, square, steps, seen = np.zeros_like(net.flat), np.zeros_like(net.flat), 0, 0
         for block in blocks(batches, 0, WORD_BLOCK_BYTES):
             words, lengths = _words(block.column(0))
             tokens = _tokens(words, vocabulary)
-            chosen = np.arange(skip, len(tokens), STRIDE)
-            skip = (skip - len(tokens)) % STRIDE
             context = _windows(tokens, lengths)
-            for at in range(0, len(chosen), BATCH):
-                own = chosen[at : at + BATCH]
-                slope = net.gradient(context[:, own], tokens[own])
+            for at in range(0, len(tokens), BATCH):
+                own = tokens[at : at + BATCH]
+                slope = net.gradient(context[:, at : at + BATCH], own)
                 steps, seen = steps + 1, seen + len(own)
                 mean += 0.1 * (slope - mean)
                 square += 0.01 * (slope * slope - square)
