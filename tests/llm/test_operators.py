@@ -50,6 +50,24 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").limit(0)).count() == 0
 
 
+def test_only_raw_text_is_cut_from_a_page():
+    """Elements that close themselves, names that begin like raw ones, and elements without an end tag cut nothing."""
+    model = html.trained()
+    one, two = "A first sentence stands here, with some words.", "A second one stands here, with more words."
+    closed = ['<svg viewBox="0 0 1 1"/>', "<math/>", '<object data="x" />', "<iframe src='x'/>", "<canvas/>", "<select/>", '<script src="x"/>', "<style />"]
+    custom = ["<svg-icon></svg-icon>", '<title-block a="b"></title-block>', "<select-all></select-all>", "<script-x>"]
+    open_ = ["<div><script>var a = 1;</div>", '<div><object data="x"></div>', '<div><iframe src="x"></div>', "<div><canvas></div>", "<div><title></div>"]
+    raw = ["<script>var a = '<p>no</p>';</script >", "<style>p{}</style>", "<template><p>no</p></template>", "<textarea>no</textarea>", "<title>no</title>"]
+    for piece in [*closed, *custom, *open_, *raw]:
+        page = f"<html><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article><h1>Head</h1><p>{one}</p>{piece}<p>{two}</p></article></body></html>"
+        assert html.main_texts([page], model) == [f"Head\n\n{one}\n\n{two}"], piece
+    inner = "<p>The sum <math><mi>x</mi><mo>+</mo><mn>1</mn></math> is <object>two</object> or <canvas>three</canvas> here.</p>"
+    page = f"<html><body><article><h1>Head</h1>{inner}<noscript><p>{two}</p></noscript></article></body></html>"
+    assert html.main_texts([page], model) == [f"Head\n\nThe sum x+1 is two or three here.\n\n{two}"]
+    many = "<article>" + "<script>" * 20_000 + f"</article><p>{one}</p>" + "<title>" * 20_000
+    assert html.main_texts([many], model) == [one]
+
+
 def test_marginals_are_those_of_all_states():
     """Messages against the sum over all states of a small tree."""
     forest = html.Forest()

@@ -30,8 +30,8 @@ _BLOCKS = (
     "table tbody td tfoot th thead tr ul"
 ).split()
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: What is never text, up to its own end tag.
-_RAW = "script style noscript template textarea title svg math object iframe canvas select datalist".split()
+#: What is never text, by its end tag.
+_RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in "script style template textarea title".split()}
 _ENDS_P = frozenset(_BLOCKS) - {"button", "label", "html", "body", "option", "optgroup", "legend", "summary"}
 #: An element that ends an open one, up to the element that holds both.
 _ENDS = {
@@ -45,7 +45,6 @@ _ENDS = {
 }
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{'|'.join(_RAW)})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z",
@@ -97,7 +96,8 @@ class Forest:
         parts: list[str] = []
         linked = [0, 0]  # characters of the current text, and those in links
         in_link = 0
-        last = 0
+        last = stop = 0
+        unclosed: set[str] = set()  # tags of `_RAW` that have no end tag any more
 
         def flush(own: int) -> None:
             if parts:
@@ -107,7 +107,7 @@ class Forest:
                     self._text(own, joined, linked[1] / max(linked[0], 1))
             linked[:] = 0, 0
 
-        for match in _TOKEN.finditer(html):
+        while match := _TOKEN.search(html, stop):
             start, stop = match.span()
             if start > last:
                 raw = html[last:start]
@@ -133,12 +133,18 @@ class Forest:
                     if not block and stack[level][0] in _BLOCK_SET:
                         break
                 continue
+            if tag in _RAW:
+                if not attrs.endswith("/"):
+                    last = stop = self._raw_end(html, tag, stop, stack, unclosed)
+                continue
             if tag in _VOID:
                 if tag in ("br", "hr"):
                     parts.append(" ")
                 continue
             if block:
                 flush(stack[-1][1])
+                if tag in ("iframe", "select") and attrs.endswith("/"):
+                    continue
                 in_link -= self._close(stack, tag)
                 if tag in ("html", "body") and any(x[0] == tag for x in stack):
                     if attrs:
@@ -155,6 +161,19 @@ class Forest:
         flush(stack[-1][1])
         self.ends.append(len(self.text))
 
+    @staticmethod
+    def _raw_end(html: str, tag: str, start: int, stack: list[tuple[str, int, bool]], unclosed: set[str]) -> int:
+        """Where what is no text ends: behind its end tag, or else before that of an element around it."""
+        end = None if tag in unclosed else _RAW[tag].search(html, start)
+        if end:
+            return end.end()
+        unclosed.add(tag)
+        if tag in ("title", "textarea"):
+            return start
+        around = "|".join(sorted({re.escape(x[0]) for x in stack}))
+        end = re.compile(rf"</(?:{around})(?=[\s/>])", re.I).search(html, start)
+        return end.start() if end else len(html)
+
     @staticmethod
     def _close(stack: list[tuple[str, int, bool]], tag: str) -> int:
         """Closes what the new block ends by itself; the links that were closed."""
