@@ -411,6 +411,34 @@ def test_trees_add_what_looks_the_same(spark):
     assert all(found[i].spans == "" for i in range(1, 1000, 2))
 
 
+def test_trees_add_what_no_base_pattern_has(spark):
+    """Spelled-out addresses, national numbers and IPv6, on few documents; numbers and words that look alike stay."""
+    texts = [
+        "Write to jane.doe (at) example (dot) com. Thanks",
+        "joe [at] example.org is away",
+        "Reach max @ example.net, please",
+        "Call (555) 123-4567 today",
+        "Our number is 555-123-4567 and no other.",
+        "from abroad 0049 30 1234 5678 works",
+        "tel. 030 1234 5678 in the week",
+        "the host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 is down",
+        "ping fe80::1ff:fe23:4567:890a or wait",
+        "Potatoes @ 3.50 each, we met @ home . then it rained",
+        "On 2024-01-15 and 15.01.2024 we sold 1 234 567 of them, 12 34 56 a day",
+        "order 555-123-4567 of version 1.2.3 at 12:30:45 uses std::f and ab::cd",
+        "see 999.1.1.1 or card 4111.1111.1111.1112",
+    ]
+    spans = ["jane.doe (at) example (dot) com", "joe [at] example.org", "max @ example.net", "(555) 123-4567", "555-123-4567", "0049 30 1234 5678", "030 1234 5678"]
+    spans += ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a"]
+    kinds = ["email"] * 3 + ["phone"] * 4 + ["ip"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
+    wanted = [f"{k}:{t.index(s)}:{t.index(s) + len(s)}" for k, t, s in zip(kinds, texts, spans)]
+    assert [found[i] for i in range(len(texts))] == wanted + [""] * (len(texts) - len(wanted))
+    new = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert new[0] == "Write to [EMAIL]. Thanks" and new[3] == "Call [PHONE] today" and new[8] == "ping [IP] or wait"
+
+
 # Token counts
 
 

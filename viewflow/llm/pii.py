@@ -1,25 +1,25 @@
 """Personal data: base patterns that always count, and wider candidates chosen by gradient-boosted trees.
 
 High-recall generators propose spans that may overlap each other. A candidate's format and context become a short
-vector of small whole numbers, so that all candidates of the corpus are counted in a bounded number of distinct
-vectors. On these counts shallow trees are boosted; candidates that a base pattern confirms are the positive ones.
-Each kind's threshold is set on documents kept apart, for the wanted precision, and a candidate above it that
-touches no base span is added. The trees become nested conditions: finding, scoring and redacting are column
-expressions without any Python on the executors.
+vector of small whole numbers. For each kind shallow trees are boosted on labelled spans, a fixed set whose labels do not
+follow from the base patterns. Each kind's threshold is set on labelled spans kept apart, for the wanted precision,
+and a candidate above it that touches no base span is added. The trees become nested conditions: finding, scoring
+and redacting are column expressions without any Python on the executors.
 """
 
 from __future__ import annotations
 
 from math import exp
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewflow.llm.labelled_spans import labelled
 from viewflow.llm.quality import bound
 
 KINDS = ("email", "ip", "card", "phone")
-#: Trees, their depth, the step, the least precision on documents kept apart, and least candidates to judge by.
-TREES, DEPTH, RATE, PRECISION, ENOUGH = 20, 3, 0.3, 0.98, 50
+#: Trees of a kind, their depth, the step, and the least precision on labelled spans kept apart, one of `APART`.
+TREES, DEPTH, RATE, PRECISION, APART = 20, 3, 0.3, 0.98, 5
 #: Characters before a candidate that are its context.
 CONTEXT = 24
 
@@ -41,14 +41,32 @@ _HINT = {
 }
 #: The generators.
 WIDE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:@|[(\[] ?at ?[)\]]) ?[a-z0-9-]++(?: ?(?:\.|[(\[] ?dot ?[)\]]) ?[a-z0-9-]++)++",
-    "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7})(?![0-9A-Fa-f:])",
-    "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20. -]{0,2}[0-9]){12,18}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+|00|\()?[0-9]{1,4}\)?[\x20.()-]{1,2}[0-9]{2,4}\)?[\x20.-]{1,2}[0-9]{2,4}(?:[\x20.-][0-9]{2,4}){0,2}(?![0-9A-Za-z])",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++ ?(?:@|[(\[] ?at ?[)\]]) ?[a-z0-9-]++(?:(?:\.| \. | ?[(\[] ?dot ?[)\]] ?)[a-z0-9-]++)++",
+    "ip": r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,3}(?: ?\. ?[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}"
+    r"|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})(?![0-9A-Fa-f:])",
+    "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20. -]{0,3}[0-9]){12,18}(?![0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z])(?:\([0-9]{1,4}\)|(?:\+|00)?[0-9]{1,4})[\x20.()-]{1,2}[0-9]{2,4}\)?[\x20.-]{1,2}[0-9]{2,4}(?:[\x20.-][0-9]{2,4}){0,2}(?![0-9A-Za-z])",
 }
-_WIDE_HINT = {"email": r"@|(?i)[(\[] ?at ?[)\]]", "ip": r"[0-9] ?\. ?[0-9]|[0-9A-Fa-f]:[0-9A-Fa-f]", "card": r"[0-9]{2}", "phone": r"[0-9]{2}"}
+_WIDE_HINT = {"email": r"@|(?i)[(\[] ?at ?[)\]]", "ip": r"[0-9] ?\. ?[0-9]|[0-9A-Fa-f]::?[0-9A-Fa-f]", "card": r"[0-9]{2}", "phone": r"[0-9]{2}"}
 #: Words before a span that name its kind.
 _CUES = {"email": "mail|contact|write", "ip": r"\bip\b|host|server|address", "card": "card|visa|credit|payment", "phone": "phone|tel|call|mobile|fax"}
+#: Words before a span that name something else.
+_ELSE = r"order|invoice|version|serial|item|isbn|total|date\b|\bref|\bpage|section|chapter|\bpart\b|\bcode"
+#: Forms of a span.
+_FORMS = (
+    r"(?i)[(\[] ?at ?[)\]]",
+    r"(?i)[(\[] ?dot ?[)\]]",
+    r"(?i)\.(?:com|org|net|edu|gov|mil|info|biz|io|eu|de|fr|es|it|uk|us|ca|ch|at|nl|be|pl|se|no|dk|fi|pt|ru|cn|jp|in|br|au|test|example|invalid)$",
+    r"[0-9]$",
+    ":",
+    r"^[0-9A-Fa-f]{4}:",
+    r"^\(",
+    r"^00",
+    r"^0",
+    r"^\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$",
+    r"^(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4})$",
+    r"^(?:19|20)[0-9]{2}[^0-9][0-9]{1,2}[^0-9][0-9]{1,2}$|^[0-9]{1,2}[^0-9][0-9]{1,2}[^0-9](?:19|20)[0-9]{2}$",
+)
 _SPANS = "array<struct<start:int,stop:int,hit:string,before:string,after:string>>"
 
 
@@ -121,19 +139,17 @@ def _features(kind: str, span: Column) -> Column:
     n = F.length(digits)
     flags = [
         F.when(n.between(13, 19), _luhn(digits)).otherwise(False),
-        _octets(hit),
+        _octets(F.regexp_replace(hit, " ", "")),
         hit.startswith("+"),
         hit.contains("@"),
         span["before"].rlike(r"[\p{L}\p{N}]$"),
         span["after"].rlike(r"[\p{L}\p{N}]"),
-        *(span["before"].rlike(cue) for cue in _CUES.values()),
+        *(span["before"].rlike(cue) for cue in (*_CUES.values(), _ELSE)),
+        *(hit.rlike(form) for form in _FORMS),
     ]
     marks = F.least(F.length(F.regexp_replace(hit, r"[\p{L}\p{N}]", "")), F.lit(6))
-    return F.array(F.lit(KINDS.index(kind)), F.least(n, F.lit(20)), marks, *[F.coalesce(f, F.lit(False)).cast("int") for f in flags])
-
-
-def _same(base: Column, span: Column) -> Column:
-    return F.exists(base, lambda b: (b["start"] == span["start"]) & (b["stop"] == span["stop"]))
+    runs = F.least(F.size(F.regexp_extract_all(hit, F.lit("[0-9]+"), F.lit(0))), F.lit(8))
+    return F.array(F.lit(KINDS.index(kind)), F.least(n, F.lit(20)), marks, runs, *[F.coalesce(f, F.lit(False)).cast("int") for f in flags])
 
 
 def _with_spans(df: DataFrame, text: str) -> DataFrame:
@@ -141,23 +157,20 @@ def _with_spans(df: DataFrame, text: str) -> DataFrame:
     return df.select("*", *[f(filled, k).alias(f"{n}_{k}") for k in KINDS for n, f in (("base", base_spans), ("wide", candidates))])
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list, dict[str, float]]:
-    """Trees and each kind's threshold; a kind without enough confirmed candidates adds nothing."""
-    found = _with_spans(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text")
+def fit(spark: SparkSession) -> tuple[dict[str, list], dict[str, float]]:
+    """Each kind's trees and threshold, from the labelled spans. Other candidates in their texts are none of a kind."""
+    rows = [(i % APART == 0, text, kind, text.index(span), counts, len(span)) for i, (text, kind, span, counts) in enumerate(labelled())]
+    texts = spark.createDataFrame(rows, "apart boolean, text string, kind string, start int, counts boolean, size int").coalesce(1)
 
     def told(kind: str) -> Column:
-        # The base spans as a variable: the optimiser can't put finding them into the loop.
-        return bound(
-            F.col(f"base_{kind}"),
-            lambda base: F.transform(f"wide_{kind}", lambda s: F.struct(_features(kind, s).alias("x"), _same(base, s).alias("y"))),
-        )
+        own = F.col("counts") & (F.col("kind") == kind)
+        label = lambda s: own & (s["start"] == F.col("start")) & (s["stop"] == F.col("start") + F.col("size"))
+        return F.transform(candidates(F.col("text"), kind), lambda s: F.struct(_features(kind, s).alias("x"), label(s).alias("y")))
 
-    apart = F.pmod(F.xxhash64("key", F.lit("apart")), F.lit(5)) == 0
-    seen = found.select(apart.alias("apart"), F.explode(F.concat(*map(told, KINDS))).alias("c"))
+    seen = texts.select("apart", F.explode(F.concat(*map(told, KINDS))).alias("c"))
     counted = seen.groupBy("c.x", "c.y", "apart").agg(F.count("*").alias("n"))
-    rows = [(tuple(r.x), int(r.y), r.apart, r.n) for r in counted.collect()]  # distinct vectors: a bounded number
-    rows.sort()
-    trees = _boost([(x, y, n) for x, y, held, n in rows if not held])
+    rows = sorted((tuple(r.x), int(r.y), r.apart, r.n) for r in counted.collect())  # of the fixed set
+    trees = {kind: _boost([(x, y, n) for x, y, held, n in rows if not held and x[0] == k]) for k, kind in enumerate(KINDS)}
     return trees, _thresholds(trees, [(x, y, n) for x, y, held, n in rows if held])
 
 
@@ -207,16 +220,16 @@ def _leaf(tree, x: tuple[int, ...]) -> float:
     return tree
 
 
-def _thresholds(trees: list, held: list[tuple[tuple[int, ...], int, int]]) -> dict[str, float]:
-    """The lowest score from which on candidates kept apart are confirmed often enough."""
+def _thresholds(trees: dict[str, list], held: list[tuple[tuple[int, ...], int, int]]) -> dict[str, float]:
+    """The lowest score, of those that speak for the kind, from which on candidates kept apart are right often enough."""
     out = {}
     for number, kind in enumerate(KINDS):
-        scored = sorted(((sum(_leaf(t, x) for t in trees), y, n) for x, y, n in held if x[0] == number), reverse=True)
+        scored = sorted(((sum(_leaf(t, x) for t in trees[kind]), y, n) for x, y, n in held if x[0] == number), reverse=True)
         all_, right, least = 0, 0, float("inf")
         for i, (s, y, n) in enumerate(scored):
             all_, right = all_ + n, right + n * y
             last = i + 1 == len(scored) or scored[i + 1][0] < s
-            if last and all_ >= ENOUGH and right >= PRECISION * all_:
+            if last and s > 0 and right >= PRECISION * all_:
                 least = s
         out[kind] = round(least - 1e-6, 6) if least < float("inf") else least
     return out
@@ -229,19 +242,19 @@ def _tree_column(tree, x: Column) -> Column:
     return F.when(F.get(x, F.lit(feature)) <= most, _tree_column(left, x)).otherwise(_tree_column(right, x))
 
 
-def detected(df: DataFrame, model: tuple[list, dict[str, float]], text: str = "text") -> DataFrame:
+def detected(df: DataFrame, model: tuple[dict[str, list], dict[str, float]], text: str = "text") -> DataFrame:
     """All columns, `base_<kind>` and `all_<kind>`: spans (start, stop), the latter with those that the trees add."""
     trees, least = model
     found = _with_spans(df, text)
     base = F.concat(*[F.col(f"base_{kind}") for kind in KINDS])
 
     def chosen(kind: str) -> Column:
-        if not trees or least[kind] == float("inf"):
+        if not trees[kind] or least[kind] == float("inf"):
             return F.col(f"base_{kind}")
 
         def picked(s: Column, base: Column) -> Column:
             free = ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-            total = bound(_features(kind, s), lambda x: sum((_tree_column(t, x) for t in trees), F.lit(0.0)))
+            total = bound(_features(kind, s), lambda x: sum((_tree_column(t, x) for t in trees[kind]), F.lit(0.0)))
             return free & (total >= least[kind])
 
         added = bound(base, lambda own: F.filter(f"wide_{kind}", lambda s: picked(s, own)))
@@ -263,7 +276,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     A null or empty text has no spans (the digest of nothing, an empty list); repeated rows stay repeated.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    out = detected(rows, fit(docs, key, text))
+    out = detected(rows, fit(docs.sparkSession))
     counts = [F.size(f"base_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS]
     return out.select(F.col("key").alias(key), *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"))
 
@@ -287,11 +300,11 @@ def _redacted(text: Column) -> Column:
     )
 
 
-def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns of every row, each span of the text replaced by its kind's name, and `n_chars`, if there, by the
     new length."""
     wrapped = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
-    out = detected(wrapped, fit(docs, key, text)).withColumn("new", F.when(F.col("text").isNotNull(), _redacted(F.col("text"))))
+    out = detected(wrapped, fit(docs.sparkSession)).withColumn("new", F.when(F.col("text").isNotNull(), _redacted(F.col("text"))))
     new = {text: F.col("new")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("new").isNotNull(), F.length("new")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
