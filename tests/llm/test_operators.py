@@ -152,6 +152,16 @@ def test_held_out_accuracy(spark):
     assert out.where("lang_pred = lang").count() >= 0.97 * out.count()
 
 
+def test_whole_texts_are_learned_from(spark):
+    """Two languages that differ only behind a long beginning of the same words."""
+    head = "site menu home page search " * 100
+    own = {"aa": "bela mora tiku sano rumi", "bb": "krath vund skelt droth grimp"}
+    rows = [(i, head + own[lang], lang) for i in range(40) for lang in [["aa", "bb"][i % 2]]]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    found = langid.labelled(spark.createDataFrame(list(own.items()), "lang string, text string"), model)
+    assert {(r.row.lang, r.lang_pred) for r in found.collect()} == {("aa", "aa"), ("bb", "bb")}
+
+
 # Byte-level BPE
 
 

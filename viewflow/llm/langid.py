@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from viewflow.llm.common import WORD_BLOCK_BYTES, Words, blocks, sums
 
-#: Training documents of each language, and characters of each that are used.
-SAMPLE, SAMPLE_CHARS = 400, 2000
+#: Training documents of each language.
+SAMPLE = 400
 #: Cells of hashed letter groups, smoothing, cost of a change, cost of a language of another script.
 CELLS, SMOOTH, SWITCH, OTHER_SCRIPT = 1 << 15, 0.5, 6.0, 30.0
 #: Least share of a language's training words in a script to be a candidate there.
@@ -152,28 +152,22 @@ def training_rows(docs: DataFrame):
     return docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & learned)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Model:
-    """Learned from at most `sample` documents of each language, chosen by a hash of their id."""
+def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
+    """Learned from at most `sample` whole documents of each language, chosen by a hash of their id."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
     ids = training_rows(docs).select("doc_id", "lang").distinct()
     chosen = ids.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= sample)
-    texts = training_rows(docs).select("doc_id", "lang", F.substring("text", 1, chars).alias("text"))
+    texts = training_rows(docs).select("doc_id", "lang", "text")
     texts = texts.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
-    by_lang: dict[str, list[str]] = {}
-    for row in texts.collect():  # at most `sample` texts of a language, of `chars` characters
-        by_lang.setdefault(row.lang, []).append(row.text)
-    langs = sorted(by_lang)
-    counts, scripts = np.zeros((CELLS, len(langs))), np.zeros((len(_NAMES), len(langs)))
-    for number, lang in enumerate(langs):
-        words = Words(pa.array(by_lang[lang]))
-        letters = _letters(words.distinct).to_pylist()
-        times = np.bincount(words.numbers, minlength=len(letters))
-        own = [(word, n) for word, n in zip(letters, times.tolist()) if word]
-        cells, n = _cells([word for word, _ in own])
-        weights = np.repeat([float(times) for _, times in own], n)
-        counts[:, number] = np.bincount(cells, weights=weights, minlength=CELLS)
-        for word, times in own:
-            scripts[script_of(word), number] += times
+    # A row for each language and cell or script.
+    found = texts.select("lang", "text").mapInArrow(_counted, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()
+    langs = sorted(row.lang for row in found if row.cell < 0)
+    number = {lang: i for i, lang in enumerate(langs)}
+    both = np.zeros((CELLS + len(_NAMES), len(langs)))
+    for row in found:
+        if row.cell >= 0:
+            both[row.cell, number[row.lang]] = row.n
+    counts, scripts = both[:CELLS], both[CELLS:]
     scores = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * CELLS)) if langs else counts
     share = scripts / np.maximum(scripts.sum(axis=0), 1)
     candidate = share >= SCRIPT_SHARE
