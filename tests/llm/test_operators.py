@@ -162,6 +162,21 @@ def test_whole_texts_are_learned_from(spark):
     assert {(r.row.lang, r.lang_pred) for r in found.collect()} == {("aa", "aa"), ("bb", "bb")}
 
 
+def test_documents_of_several_languages_stay(spark):
+    """Whatever the shares of the languages; text that tells nothing goes."""
+    own = {"aa": "bela mora tiku sano rumi lipa", "bb": "krath vund skelt droth grimp wolch", "cc": "zezo qix yuxu jozi xaqu quzy"}
+    rows = [(i * 3 + k, " ".join([text] * 5), lang) for i in range(30) for k, (lang, text) in enumerate(own.items())]
+    a, b, c = (text + " " for text in own.values())
+    mixed = [(1000, a * 4 + b * 3 + c * 3, None), (1001, a * 10 + b * 9 + c, None), (1002, a, None), (1003, "12 34 !!", None)]
+    kept = langid.spoken(spark.createDataFrame(rows + mixed, "doc_id long, text string, lang string"))
+    assert {r.doc_id for r in kept.where("doc_id >= 1000").collect()} == {1000, 1001, 1002}
+    same = [(i, "bela mora tiku", ["aa", "bb"][i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(same, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    model.scores[:, 1] = model.scores[:, 0]
+    assert all(r.margin == 0 for r in langid.labelled(docs, model).collect())
+
+
 # Byte-level BPE
 
 

@@ -26,6 +26,8 @@ SAMPLE = 400
 CELLS, SMOOTH, SWITCH, OTHER_SCRIPT = 1 << 15, 0.5, 6.0, 30.0
 #: Least share of a language's training words in a script to be a candidate there.
 SCRIPT_SHARE = 0.02
+#: Least mean margin of a word (in the logarithm of probability) for a document to be kept.
+MARGIN = 0.1
 UNKNOWN = "und"
 #: First code points of the Unicode ranges of scripts, each up to the next; 0 is any other.
 SCRIPTS = (
@@ -176,8 +178,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(langs, scores.astype(np.float32), np.where(candidate, 0.0, -OTHER_SCRIPT).astype(np.float32))
 
 
-def _labelled(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, pa.Array]:
-    """Language, its share of the letters, and the spans (first word, words, language) of each text."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each language's texts have each cell, and from `CELLS` on words of each script; a row at -1."""
+    for block in blocks(batches, 1, WORD_BLOCK_BYTES):
+        for lang in pc.unique(block.column(0)).to_pylist():
+            words = Words(block.column(1).filter(pc.equal(block.column(0), lang)))
+            times = np.bincount(words.numbers, minlength=len(words.distinct)).tolist()
+            own = [(word, n) for word, n in zip(_letters(words.distinct).to_pylist(), times) if word]
+            cells, n = _cells([word for word, _ in own])
+            counts = np.bincount(cells, weights=np.repeat([float(t) for _, t in own], n), minlength=CELLS + len(_NAMES)).astype(np.int64)
+            for word, t in own:
+                counts[CELLS + script_of(word)] += t
+            there = np.flatnonzero(counts)
+            columns = [[lang] * (len(there) + 1), np.append(there, -1).astype(np.int32), np.append(counts[there], 0)]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["lang", "cell", "n"])
+
+
+def _labelled(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, pa.Array, np.ndarray]:
+    """Language, its share of the letters, the spans (first word, words, language) of each text, and the mean margin of
+    a word: by how much the score of its span's language is above that of the next best one for the span."""
     words = Words(column)
     letters = _letters(words.distinct)
     sizes = pc.utf8_length(letters).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -188,7 +207,8 @@ def _labelled(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, pa
     has = sizes[words.numbers] > 0
     lengths = sums(has.astype(np.int64), words.lengths)
     numbers, place = words.numbers[has], place[has]
-    labels = model.spans(of_word[numbers], lengths)
+    scores = of_word[numbers]
+    labels = model.spans(scores, lengths)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     weight = np.bincount(rows * len(model.langs) + labels, weights=sizes[numbers], minlength=len(lengths) * len(model.langs))
     weight = weight.reshape(len(lengths), -1)
@@ -199,6 +219,12 @@ def _labelled(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, pa
     new[1:] = (labels[1:] != labels[:-1]) | (rows[1:] != rows[:-1])
     first = np.flatnonzero(new)
     ends = np.append(first[1:], len(labels))
+    margin = np.zeros(len(lengths))
+    if len(first):
+        each = np.add.reduceat(scores, first, axis=0, dtype=np.float64)
+        own = each[np.arange(len(first)), labels[first]]
+        each[np.arange(len(first)), labels[first]] = -np.inf
+        margin = np.bincount(rows[first], weights=own - each.max(axis=1), minlength=len(lengths)) / np.maximum(lengths, 1)
     span = pa.StructArray.from_arrays(
         [
             pa.array(place[first], pa.int64()),
@@ -208,11 +234,11 @@ def _labelled(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray, pa
         names=["first", "words", "lang"],
     )
     offsets = np.concatenate([[0], np.cumsum(np.bincount(rows[first], minlength=len(lengths)))]).astype(np.int32)
-    return langs, share, pa.ListArray.from_arrays(pa.array(offsets), span)
+    return langs, share, pa.ListArray.from_arrays(pa.array(offsets), span), margin
 
 
 def labelled(df: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns to keep (all) as struct `row`, `lang_pred`, `score` (its share of the letters), `spans` of every row.
+    """The columns to keep (all) as struct `row`, `lang_pred`, `score` (its share of the letters), `spans`, `margin` of every row.
 
     A null text or one without a letter, or any if nothing was learned, is `und` with score 0 and no spans.
     Repeated rows stay repeated.
@@ -224,14 +250,15 @@ def labelled(df: DataFrame, model: Model, text: str = "text", keep: list[str] |
         own = bound.value
         for block in blocks(batches, 1, WORD_BLOCK_BYTES):
             if own.langs:
-                langs, share, spans = _labelled(own, block.column(1))
+                langs, share, spans, margin = _labelled(own, block.column(1))
             else:
-                langs, share, spans = [UNKNOWN] * len(block), np.zeros(len(block)), pa.array([[]] * len(block), pa.list_(span))
-            yield pa.record_batch([block.column(0), pa.array(langs), pa.array(share), spans], names=["row", "lang_pred", "score", "spans"])
+                langs, share, spans, margin = [UNKNOWN] * len(block), np.zeros(len(block)), pa.array([[]] * len(block), pa.list_(span)), np.zeros(len(block))
+            columns = [block.column(0), pa.array(langs), pa.array(share), spans, pa.array(margin)]
+            yield pa.record_batch(columns, names=["row", "lang_pred", "score", "spans", "margin"])
 
     chosen = df.select(F.struct(*[df[c] for c in keep or df.columns]).alias("row"), df[text].cast("string").alias("text"))
     kind = chosen.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, lang_pred string, score double, spans array<struct<first:bigint,words:bigint,lang:string>>"
+    schema = f"row {kind}, lang_pred string, score double, spans array<struct<first:bigint,words:bigint,lang:string>>, margin double"
     return chosen.mapInArrow(run, schema)
 
 
@@ -242,8 +269,9 @@ def languages(docs: DataFrame) -> DataFrame:
     return found.select("row.doc_id", held.alias("held_out"), "lang_pred", "score", F.size("spans").cast("long").alias("n_spans"))
 
 
-def spoken(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language is known and has at least that share, with all columns, `lang` the one found."""
-    found = labelled(docs, fit(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+def spoken(docs: DataFrame, least: float = MARGIN) -> DataFrame:
+    """The documents whose languages, one or several, are told with that mean margin, with all columns, `lang` the one of
+    most letters."""
+    found = labelled(docs, fit(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("margin") >= least))
     columns = [F.col("lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     return found.select(*columns)
