@@ -190,13 +190,14 @@ def tiktoken_encoding():
 def test_encoding_is_the_librarys(docs, empty, tiktoken_encoding):
     wanted = [(i, tiktoken_encoding.encode_ordinary(t or "")) for i, t in TEXTS]
     encoded = bpe.encode(docs, RANKS, PATTERN)
-    assert [(r.doc_id, r.ids) for r in encoded.collect()] == wanted
-    assert [bytes(r.decoded).decode() for r in bpe.decode(encoded, RANKS, PATTERN).collect()] == [t or "" for _, t in TEXTS]
+    # The rows of the two files come in any order.
+    assert Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == Counter((i, tuple(ids)) for i, ids in wanted)
+    assert Counter(bytes(r.decoded).decode() for r in bpe.decode(encoded, RANKS, PATTERN).collect()) == Counter(t or "" for _, t in TEXTS)
     digests = [
         (i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
         for (i, ids), (_, t) in zip(wanted, TEXTS)
     ]
-    assert [tuple(r) for r in bpe.round_trip(docs, RANKS, PATTERN).collect()] == digests
+    assert Counter(map(tuple, bpe.round_trip(docs, RANKS, PATTERN).collect())) == Counter(digests)
     assert bpe.round_trip(empty, RANKS, PATTERN).count() == 0
 
 

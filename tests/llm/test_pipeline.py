@@ -18,7 +18,7 @@ given = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the generated
 
 def test_every_operator_has_a_query():
     names = [re.match(r"op(\d+)_", name) for name in LLM_QUERIES]
-    assert sorted(int(m[1]) for m in names if m) == list(range(1, 11)) and "pipeline" in LLM_QUERIES
+    assert sorted(int(m[1]) for m in names if m) == list(range(1, 14)) and "pipeline" in LLM_QUERIES
     assert LLM_QUERIES.items() <= contract.queries().items()
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
@@ -40,10 +40,10 @@ def test_oracles(spark, name):
 @given
 @pytest.mark.parametrize("name", sorted(LLM_QUERIES))
 def test_rows_and_schema(spark, name):
-    table = {1: "pages", 4: "embeddings"}.get(int(m[1]) if (m := re.match(r"op(\d+)", name)) else 0, "documents")
+    table = {1: "pages", 4: "embeddings", 12: "conversations"}.get(int(m[1]) if (m := re.match(r"op(\d+)", name)) else 0, "documents")
     n = spark.read.parquet(f"{DATA}/{table}.parquet").count()
     out = LLM_QUERIES[name](spark, DATA)
-    if name in ("op4_top_k", "op6_packing", "pipeline"):
+    if name in ("op4_top_k", "op6_packing", "op12_conversation_repair", "pipeline"):
         assert out.count() > 0
     else:
         assert out.count() == n

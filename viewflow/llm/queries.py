@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewflow.llm import bpe, counts, html, langid, lm, neardup, packing, pii, quality, topk
+from viewflow.llm import align, bpe, counts, html, langid, lm, neardup, packing, pii, quality, repair, topk, toxicity
 from viewflow.llm.common import table
 
 
@@ -54,6 +54,19 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align.links(table(spark, sf_dir, "documents"), *paths)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces without their ids."""
     return corpus_pipeline.run(spark, sf_dir).drop("ids")
@@ -70,6 +83,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_toxicity": op11_toxicity,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": pipeline,
 }
 

@@ -233,9 +233,9 @@ def neighbours(embeddings: DataFrame, k: int = K) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+  SELECT CAST(vec_id AS BIGINT) AS vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0
 ),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
