@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from viewflow.llm.packing import _BYTE_CHARS
 #: Bytes of text aligned at a time, and elements that a product expands to at a time.
 BLOCK, EXPANDED = 2 << 20, 1 << 22
 _SEPARATORS = (",", "|", ";", "")
+_CUT = r"([\p{L}\p{M}\p{N}\p{P}\p{S}]) "
 
 
 @dataclass
@@ -99,12 +101,35 @@ class Tokenizer:
     def of(cls, encode, pieces: list[bytes]) -> Tokenizer:
         return cls(encode, pa.array(pieces, pa.large_binary()), pa.array([f"{i}{s}".encode() for i in range(len(pieces)) for s in _SEPARATORS], pa.large_binary()))
 
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, memoryview]:
+    def tokens(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, memoryview]:
         """Ids, how many each text has, lengths of the ids' bytes, and all of those bytes."""
-        found = self.encode(texts)
+        found = self.encode(words.distinct)
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.int64, int(lengths.sum()))
-        return flat, lengths, *_joined(self.pieces, flat)
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))
+        place, taken = gathered(np.cumsum(lengths) - lengths, lengths, words.numbers)
+        flat = flat[place]
+        return flat, sums(taken, words.lengths), *_joined(self.pieces, flat)
+
+
+class Words:
+    """Texts cut where a space follows a letter, digit, sign or mark, where no token of either kind goes on: distinct
+    parts without that space, each part's place among them, and how many parts a text has (an empty one: none)."""
+
+    def __init__(self, texts: list[str]):
+        column = pa.array(texts, pa.string())
+        if pc.any(pc.match_substring(column, "\0")).as_py():  # the mark of a cut: such a text stays whole
+            lists = pa.array([[text] if "\0" in text else _cut(pa.array([text]))[0].as_py() for text in texts], pa.list_(pa.string()))
+        else:
+            lists = _cut(column)
+        self.lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = pc.list_flatten(lists)
+        empty = np.array([not text for text in texts], dtype=bool)
+        if empty.any():
+            flat = flat.filter(pa.array(~np.repeat(empty, self.lengths)))
+            self.lengths[empty] = 0
+        coded = flat.dictionary_encode()
+        self.distinct: list[str] = coded.dictionary.to_pylist()
+        self.numbers = coded.indices.to_numpy(zero_copy_only=False)
 
 
 def _joined(table: pa.LargeBinaryArray, chosen: np.ndarray) -> tuple[np.ndarray, memoryview]:
@@ -142,7 +167,13 @@ def piece_level(path: str) -> Tokenizer:
     model = SentencePieceProcessor(model_file=path)
     names = [model.id_to_piece(i) for i in range(model.vocab_size())]
     pieces = [bytes([int(name[1:-1], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)]
-    return Tokenizer.of(lambda texts: model.encode(texts, num_threads=1), pieces)
+    space = [model.piece_to_id("▁")]
+    # What is left of a text behind its last space is empty: the space alone.
+    return Tokenizer.of(lambda texts: [ids or space for ids in model.encode(texts, num_threads=1)], pieces)
+
+
+def _cut(column: pa.StringArray) -> pa.ListArray:
+    return pc.split_pattern(pc.replace_substring_regex(column, _CUT, "\\1\0"), "\0")
 
 
 @dataclass
@@ -167,13 +198,8 @@ def align(texts: list[str], a: Tokenizer, b: Tokenizer) -> Alignment:
     rows = np.arange(len(texts))
     wanted = [b" " + text.encode() if text else b"" for text in texts]
     sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
-    sides = []
-    for tokenizer in (a, b):
-        there = [i for i, text in enumerate(texts) if text]
-        ids, n, lengths, data = tokenizer.tokens([texts[i] for i in there])
-        every = np.zeros(len(texts), dtype=np.int64)
-        every[there] = n
-        sides.append((ids, every, lengths, data))
+    words = Words(texts)
+    sides = [tokenizer.tokens(words) for tokenizer in (a, b)]
     good = sizes > 0
     for _, n, lengths, data in sides:
         found = sums(lengths, n)
