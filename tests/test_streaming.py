@@ -1,3 +1,4 @@
+import os
 from dataclasses import replace
 
 import pytest
@@ -34,6 +35,7 @@ from viewflow.operators.tables import table_pair
 from viewflow.sources.codecs import VALUE_CODEC_ENV, avro_schema
 from viewflow.sources.topics import ingest_codec, ingest_source, ingest_topic, ingest_trigger, stream_path
 from viewflow.spec import TableSpec, column
+from viewflow.streaming.commits import commit_once
 from viewflow.streaming.jobs import check_jobs, work_dir
 from viewflow.streaming.sinks import read_rollup, write_rollup_stream
 
@@ -352,3 +354,51 @@ def test_a_large_lookup_is_joined_batch_by_batch(spark, folder):
         apply_view(topic_source(spark, made), view, context)
     write_view(topic_source(spark, made), target, f"{folder}/c", NOW, view, context).awaitTermination()
     assert rows(target.read(spark).select("key", "value.*")) == [("k", "a", "x"), (None, "b", None)]
+
+
+def test_a_replay_adds_nothing_downstream(spark, folder):
+    """A batch written again is the one that further streams have seen."""
+    target, last = FileTarget(f"{folder}/first"), FileTarget(f"{folder}/last")
+    five = spark.createDataFrame([(str(i), span(str(i))) for i in range(5)], f"key string, value {SPAN.simpleString()}")
+    second = target.as_topic("first", SPAN)
+    for attempt in range(3):
+        target.write(five, 0)
+        run(spark, f"{folder}/2", [ViewJob(COPY, ["first"], last)], [second])
+    assert target.read(spark).count() == 5 and last.read(spark).count() == 5
+    # Other rows under the same number change nothing either; asked for, they take its place.
+    target.write(five.limit(2), 0)
+    assert target.read(spark).count() == 5
+    target.write(five.limit(2), 0, again=True)
+    assert target.read(spark).count() == 2
+
+
+def test_half_a_batch_is_never_seen(spark, folder):
+    """An attempt that breaks off, or is still writing, shows nothing; the next one clears it away."""
+    target = FileTarget(f"{folder}/t")
+    rows_ = spark.createDataFrame([(str(i), span(str(i))) for i in range(4)], f"key string, value {SPAN.simpleString()}")
+    target.write(rows_, 0)
+    seen = []
+
+    def slow(path):
+        rows_.write.parquet(path)
+        seen.append(target.read(spark).count())
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        commit_once(spark, target.name, "batch_id=1", slow)
+    assert seen == [4] and target.read(spark).count() == 4
+    assert len(os.listdir(f"{folder}/t/_attempts")) == 1
+    target.write(rows_, 1)
+    assert target.read(spark).count() == 8 and os.listdir(f"{folder}/t/_attempts") == []
+
+
+def test_of_two_attempts_one_counts(spark, folder):
+    target = FileTarget(f"{folder}/t")
+    rows_ = spark.createDataFrame([("a", span("a"))], f"key string, value {SPAN.simpleString()}")
+
+    def late(path):
+        rows_.write.parquet(path)
+        target.write(rows_, 0)  # another attempt is faster
+
+    assert not commit_once(spark, target.name, "batch_id=0", late)
+    assert target.read(spark).count() == 1

@@ -23,6 +23,7 @@ from viewflow.operators.tables import (
     create_all,
     create_tables,
     drop_expired,
+    query_pair,
     read_hybrid,
     roll_over,
 )

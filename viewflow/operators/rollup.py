@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import combinations
 from typing import Any
 
@@ -126,6 +125,58 @@ def write_rollup(df: DataFrame, tree: StarTree, path: str) -> None:
     star_rollup(df, tree).write.mode("overwrite").partitionBy(*flags).parquet(path)
 
 
+def _values(where: Mapping[str, Any] | None) -> dict[str, list]:
+    return {d: list(v) if isinstance(v, (list, tuple, set)) else [v] for d, v in (where or {}).items()}
+
+
+def _allowed(df: DataFrame, where: Mapping[str, list]) -> DataFrame:
+    for dim, values in where.items():
+        df = df.where(F.col(f"`{dim}`").isin(values))
+    return df
+
+
+def _checked(tree: StarTree, group_by: Sequence[str], where: Mapping[str, list]) -> set[str]:
+    unknown = (set(group_by) | set(where)) - set(tree.dims)
+    if unknown:
+        raise SpecError(f"not dimensions of the cube: {sorted(unknown)}")
+    return set(group_by) | set(where) | set(tree.no_star)
+
+
+def grouping_set(
+    cube: DataFrame, tree: StarTree, group_by: Sequence[str] = (), where: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """The stored groups of the one grouping set that holds the asked dimensions."""
+    values = _values(where)
+    kept = _checked(tree, group_by, values)
+    for d in tree.dims:
+        cube = cube.where(F.col(f"`{starred(d)}`") == (0 if d in kept else 1))
+    names = [name for pair in tree.pairs for name in _merged(pair)]
+    return _allowed(cube, values).select(*group_by, *[F.col(f"`{name}`") for name in names])
+
+
+def base_groups(
+    df: DataFrame, tree: StarTree, group_by: Sequence[str] = (), where: Mapping[str, Any] | None = None
+) -> DataFrame:
+    """Rows aggregated to what a cube would store for the asked dimensions."""
+    values = _values(where)
+    _checked(tree, group_by, values)
+    stored: dict[str, Column] = {}
+    for pair in tree.pairs:
+        stored.update(_stored(pair, df.schema))
+    return _allowed(df, values).groupBy(*group_by).agg(*_aggregates(stored))
+
+
+def merged_groups(
+    groups: DataFrame, tree: StarTree, group_by: Sequence[str] = (), pairs: Sequence[str] | None = None
+) -> DataFrame:
+    """Stored groups, finer ones or ones from several places, merged to one a group; the answer of each pair (all)."""
+    merged: dict[str, Column] = {}
+    for pair in tree.pairs:
+        merged.update(_merged(pair))
+    rows = groups.groupBy(*group_by).agg(*_aggregates(merged))
+    return rows.select(*group_by, *[_answer(pair) for pair in pairs or tree.pairs])
+
+
 def query_rollup(
     cube: DataFrame,
     tree: StarTree,
@@ -137,17 +188,7 @@ def query_rollup(
     Reads the one grouping set that holds the asked dimensions; of a stored cube, its folder alone.
     SUM, COUNT, MIN, MAX and AVG are exact.
     """
-    where = {d: v if isinstance(v, (list, tuple, set)) else [v] for d, v in (where or {}).items()}
-    unknown = (set(group_by) | set(where)) - set(tree.dims)
-    if unknown:
-        raise SpecError(f"not dimensions of the cube: {sorted(unknown)}")
-    kept = set(group_by) | set(where) | set(tree.no_star)
-    flags = [F.col(f"`{starred(d)}`") == (0 if d in kept else 1) for d in tree.dims]
-    values = [F.col(f"`{d}`").isin(list(v)) for d, v in where.items()]
-    rows = cube.where(reduce(lambda a, b: a & b, flags + values))
-    if kept != set(group_by):
-        merged: dict[str, Column] = {}
-        for pair in tree.pairs:
-            merged.update(_merged(pair))
-        rows = rows.groupBy(*group_by).agg(*_aggregates(merged))
+    rows = grouping_set(cube, tree, group_by, where)
+    if set(group_by) | set(where or {}) | set(tree.no_star) != set(group_by):
+        return merged_groups(rows, tree, group_by)
     return rows.select(*group_by, *[_answer(pair) for pair in tree.pairs])

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import islice
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewflow.functions.text import register_sql_functions
+from viewflow.operators.cubes import answered, cheapest_cube, create_cubes, cube_table, write_cubes
 from viewflow.operators.ingest import ingest_rollup, prepare
 from viewflow.operators.layout import (
     BUCKET,
@@ -108,7 +110,8 @@ def create_tables(
     """Check the schema, then create or widen the realtime and the offline table. Safe to repeat.
 
     The tables are the catalog's own, so that dropping a partition deletes its files. A ``database``
-    that does not exist is created, at ``location`` if given. Bloom filters and dictionaries are as
+    that does not exist is created, at ``location`` if given. Each pre-aggregation of the offline settings
+    gets a cube table. Bloom filters and dictionaries are as
     the spec had them when the table was created.
     """
     register_sql_functions(spark)
@@ -128,6 +131,7 @@ def create_tables(
         if clash:
             raise SpecError(f"table {name}: columns used for partitioning: {sorted(clash)}")
         _ensure_table(spark, name, columns, T.StructType(parts), spec)
+    create_cubes(spark, pair.offline, pair.offline_spec.star_trees, RUN)
     return pair
 
 
@@ -255,8 +259,8 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
     """Move the rows of complete buckets to the offline table, in larger files cut along its order.
 
     Only what earlier runs have not moved is read, rows that came late into a moved bucket
-    included. A run counts once the table property is set after it; one that broke off before is
-    simply repeated under the same number and replaces what it had written.
+    included. The cubes of the pair get what the run has moved. A run counts once the table property is set after
+    all of it; one that broke off before is simply repeated under the same number and replaces what it had written.
     """
     state = roll_state(spark, pair)
     batch = last_batch(spark, pair)
@@ -274,6 +278,7 @@ def roll_over(spark: SparkSession, pair: TablePair, as_of: Moment, files: int |
         fresh = _rolled(fresh, pair)
     # Written once and read often: worth a sample of the rows.
     _replace(fresh, pair.offline, pair.offline_spec, RUN, done.run, files, by_range=True)
+    write_cubes(spark, pair.offline, pair.offline_spec.star_trees, RUN, done.run)
     _set_property(spark, pair.offline, _STATE, json.dumps(vars(done)))
     return done
 
@@ -303,6 +308,39 @@ def read_hybrid(spark: SparkSession, pair: TablePair, as_of: Moment | None = Non
     return offline.select(*columns).unionByName(realtime.select(*columns))
 
 
+def query_pair(
+    spark: SparkSession,
+    pair: TablePair,
+    group_by: Sequence[str] = (),
+    where: Mapping[str, Any] | None = None,
+    pairs: Sequence[str] | None = None,
+    as_of: Moment | None = None,
+) -> DataFrame:
+    """Answer ``GROUP BY group_by`` over both tables from the pair's cubes and the rows that were not moved yet.
+
+    Of the cubes that have the dimensions and pairs, the one with the fewest stored groups is read; offline rows are
+    not. With ``as_of``, rows past their table's retention are left out: then the one offline bucket that the
+    retention cuts through is read too. Raises where no cube covers the query.
+    """
+    trees = pair.offline_spec.star_trees
+    number = cheapest_cube(spark, pair.offline, trees, set(group_by) | set(where or {}), pairs)
+    state = roll_state(spark, pair)
+    cube = _refreshed(spark, cube_table(pair.offline, number)).where(F.col(RUN) <= F.lit(state.run))
+    realtime = _unmoved(_refreshed(spark, pair.realtime), pair, state)
+    rows = []
+    if as_of is not None:
+        spec = pair.offline_spec
+        start = retention_start(spec, as_of)
+        width = spec.period(spec.bucket_period)
+        cube = cube.where(F.col(BUCKET) >= F.lit(start))
+        cut = _refreshed(spark, pair.offline).where(F.col(RUN) <= F.lit(state.run))
+        cut = cut.where((F.col(BUCKET) < F.lit(start)) & (F.col(BUCKET) > F.lit(start - width)))
+        rows.append(apply_retention(cut, spec, as_of).select(*_row_columns(spark, pair)))
+        realtime = apply_retention(realtime, pair.realtime_spec, as_of)
+    rows.append(realtime.select(*_row_columns(spark, pair)))
+    return answered([cube], rows, trees[number], group_by, where, pairs)
+
+
 def _drop_partitions(spark: SparkSession, table: str, expired: Column) -> None:
     """Drop whole partitions by a condition on ``bucket`` (and the partition text)."""
     listed = spark.sql(f"SHOW PARTITIONS {table}").withColumn(
@@ -335,3 +373,5 @@ def drop_expired(spark: SparkSession, pair: TablePair, as_of: Moment) -> None:
             ended = F.col("bucket") + F.lit(width) <= F.lit(state.boundary)
             expired = expired & ended & (batch <= F.lit(state.batch))
         _drop_partitions(spark, table, expired)
+        for number in range(len(spec.star_trees) if table == pair.offline else 0):
+            _drop_partitions(spark, cube_table(table, number), expired)

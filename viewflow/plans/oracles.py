@@ -225,6 +225,7 @@ ORACLES: dict[str, str] = {
     "batch_topics": """
         SELECT 'topic-' || (user_id % 2) AS topic, CAST(user_id AS VARCHAR) AS key, event_id FROM events""",
     "stream_span_view": SPANS,
+    "stream_chained": f"SELECT * REPLACE (upper(span_kind) AS span_kind) FROM ({SPANS})",
     "stream_multi_view": """
         SELECT 'spans' AS view, CAST(user_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id FROM events
         UNION ALL SELECT 'raw', CAST(user_id AS VARCHAR), 'raw-' || event_type || ' ' || event_id FROM events
@@ -251,4 +252,10 @@ ORACLES: dict[str, str] = {
     "pair_rolled": f"""
         SELECT tenant_id, span_kind, bucket_start_time_millis, sum(time_taken_millis)::BIGINT AS time_taken_millis
         FROM ({TABLE_ROWS}) GROUP BY 1, 2, 3""",
+    "pair_cube": f"""
+        SELECT tenant_id, NULL::VARCHAR AS span_kind, NULL::BIGINT AS bucket_start_time_millis, count(*) AS spans,
+               sum(time_taken_millis)::BIGINT AS time_taken_millis, max(end_time_millis) AS last_end
+        FROM ({TABLE_ROWS}) WHERE span_kind IN ('null', 'view') GROUP BY 1
+        UNION ALL SELECT NULL, span_kind, bucket_start_time_millis, count(*), sum(time_taken_millis)::BIGINT, max(end_time_millis)
+        FROM ({TABLE_ROWS}) GROUP BY 2, 3""",
 }

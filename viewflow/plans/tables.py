@@ -85,7 +85,18 @@ def span_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def span_table_config(name: str = "spans", aggregate: bool = False, bucket: str = "6h") -> dict:
+# Cubes of the offline table: one of few groups, one that also has the hour.
+CUBES = [
+    {
+        "dimensionsSplitOrder": dims,
+        "skipStarNodeCreationForDimensions": [],
+        "functionColumnPairs": ["COUNT__span_id", "SUM__time_taken_millis", "MAX__end_time_millis"],
+    }
+    for dims in (["tenant_id", "span_kind"], ["tenant_id", "span_kind", "bucket_start_time_millis"])
+]
+
+
+def span_table_config(name: str = "spans", aggregate: bool = False, bucket: str = "6h", cubes: bool = False) -> dict:
     """Settings of the span view and its two tables."""
     dimensions = ["tenant_id", "span_kind", "start_time_millis"]
     return {
@@ -136,6 +147,7 @@ def span_table_config(name: str = "spans", aggregate: bool = False, bucket: str
             },
         },
         "offline": {
+            "starTreeIndexConfigs": CUBES if cubes else [],
             "retentionTimeValue": 90,
             "taskConfigs": {
                 "RealtimeToOfflineSegmentsTask": {"bucketTimePeriod": bucket, "bufferTimePeriod": "12h"}
@@ -145,8 +157,8 @@ def span_table_config(name: str = "spans", aggregate: bool = False, bucket: str
 
 
 def span_view_spec(
-    spark: SparkSession, name: str = "spans", aggregate: bool = False, bucket: str = "6h"
+    spark: SparkSession, name: str = "spans", aggregate: bool = False, bucket: str = "6h", cubes: bool = False
 ) -> ViewSpec:
     # The spec's expressions use our SQL functions.
     register_sql_functions(spark)
-    return ViewSpec.parse(span_table_config(name, aggregate, bucket))
+    return ViewSpec.parse(span_table_config(name, aggregate, bucket, cubes))

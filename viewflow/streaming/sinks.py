@@ -16,15 +16,17 @@ from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import encode_value
 from viewflow.sources.topics import Topic
 from viewflow.spec import SpecError, TableSpec
+from viewflow.streaming.commits import commit_once
 
 BATCH = "batch_id"
 
 
 @dataclass(frozen=True)
 class FileTarget:
-    """A folder of records, one subfolder per batch: a batch written again replaces itself.
+    """A folder of records, one subfolder per batch, which appears whole and then stays.
 
-    With a view partitioner, records lie under ``partition=<n>``; a partition with most of the rows
+    A batch written again changes nothing, so that readers and further streams see each record once. One stream at a
+    time, with one checkpoint, writes a target. With a view partitioner, records lie under ``partition=<n>``; a partition with most of the rows
     is written by as many tasks as its share asks for.
     """
 
@@ -36,15 +38,16 @@ class FileTarget:
     def name(self) -> str:
         return self.path.rstrip("/")
 
-    def write(self, out: DataFrame, batch_id: int) -> None:
+    def write(self, out: DataFrame, batch_id: int, again: bool = False) -> None:
+        """Write one batch; ``again`` puts it in place of what it had written before."""
         out = encode_value(out, self.codec)
         partitioned = "partition" in out.columns
         if partitioned:
             out = arrange(out, ["partition"], [])
-        writer = out.write.format(self.fmt).mode("overwrite")
+        writer = out.write.format(self.fmt)
         if partitioned:
             writer = writer.partitionBy("partition")
-        writer.save(f"{self.path}/{BATCH}={batch_id}")
+        commit_once(out.sparkSession, self.name, f"{BATCH}={batch_id}", writer.save, again)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.fmt).load(self.path).drop(BATCH)
@@ -75,7 +78,7 @@ class KafkaTarget:
     def name(self) -> str:
         return f"{self.servers}/{self.topic}"
 
-    def write(self, out: DataFrame, batch_id: int) -> None:
+    def write(self, out: DataFrame, batch_id: int, again: bool = False) -> None:
         out = encode_value(out, self.codec)
         if isinstance(out.schema["value"].dataType, T.StructType):
             raise SpecError("a Kafka value must be encoded: json or avro")
@@ -96,7 +99,7 @@ def write_view(
     view: View | None = None,
     context: Context | None = None,
 ) -> StreamingQuery | None:
-    """Write a view's output: a stream as a query that is returned started, a batch at once.
+    """Write a view's output: a stream as a query that is returned started, a batch at once in place of an earlier one.
 
     With a ``view``, ``out`` is its input. A stream is then given to it as a whole, or batch by batch where a
     lookup is too large to broadcast.
@@ -111,7 +114,7 @@ def write_view(
     if view is not None:
         out = apply_view(out, view, context)
     if not out.isStreaming:
-        target.write(out, 0)
+        target.write(out, 0, again=True)
         return None
     return _started(out, target.write, checkpoint, trigger)
 
