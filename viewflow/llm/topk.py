@@ -5,12 +5,14 @@ A query's inner product with all vectors of a block is a sum of bitmaps, each st
 counts once for each set bit of the query's attribute, in complement where that is negative, and full adders of
 bitmap operations bring the sum into slices again. From the most significant slice downward rows are taken for sure
 or stay candidates; the rows left at the boundary have equal scores and are resolved by their ids. Blocks of queries
-meet blocks of the index on a cell number; blocks' best rows are then ranked for each query.
+meet blocks of the index on a grid, whose size follows from the number of pairs; blocks' best rows are then ranked for
+each query, and the query's own row goes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +20,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Scale of quantised attributes; rows of an index block; queries of a block; cells that blocks are spread over.
-SCALE, BLOCK, QUERIES, CELLS = 1024, 16_384, 32, 48
+#: Scale of quantised attributes; rows of an index block; queries of a block.
+SCALE, BLOCK, QUERIES = 1024, 16_384, 32
+#: Pairs of a query and a vector for a cell of the grid, and least number of cells.
+PAIRS, CELLS = 1 << 29, 48
 K = 10
 
 
@@ -151,17 +155,14 @@ def _summed(queries: np.ndarray, least: np.ndarray, bits: bytes, slices: np.ndar
     return total.slices(np.zeros((len(queries), slices.shape[1]), dtype=np.uint64)), constants
 
 
-def _best(sums: list[np.ndarray], keys: np.ndarray, query_keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _best(sums: list[np.ndarray], n_rows: int, n_queries: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     """For each query the rows of its k highest scores in the block, as pairs of query and row."""
-    words = -(-len(keys) // 64)
-    open_ = np.zeros((len(query_keys), words * 64), dtype=np.uint8)
-    open_[:, : len(keys)] = 1
-    first, last = np.searchsorted(keys, query_keys, "left"), np.searchsorted(keys, query_keys, "right")
-    for query in np.flatnonzero(first < last):
-        open_[query, first[query] : last[query]] = 0
+    words = -(-n_rows // 64)
+    open_ = np.zeros((n_queries, words * 64), dtype=np.uint8)
+    open_[:, :n_rows] = 1
     tied = np.packbits(open_, axis=1, bitorder="little").view(np.uint64)
     sure = np.zeros_like(tied)
-    n_sure = np.zeros(len(query_keys), dtype=np.int64)
+    n_sure = np.zeros(n_queries, dtype=np.int64)
     for slice_ in reversed(sums):
         higher = tied & slice_
         n = n_sure + np.bitwise_count(higher).sum(axis=1, dtype=np.int64)
@@ -178,7 +179,7 @@ def _best(sums: list[np.ndarray], keys: np.ndarray, query_keys: np.ndarray, k: i
 
 
 def _matched(batch: pa.RecordBatch, k: int) -> tuple[list[np.ndarray], ...]:
-    out: tuple[list[np.ndarray], ...] = ([], [], [], [])
+    out: tuple[list[np.ndarray], ...] = ([], [], [], [], [])
     for row in batch.to_pylist():
         keys = np.frombuffer(row["keys"], dtype=np.int64)
         numbers = np.frombuffer(row["numbers"], dtype=np.int64)
@@ -186,39 +187,59 @@ def _matched(batch: pa.RecordBatch, k: int) -> tuple[list[np.ndarray], ...]:
         query_keys = np.frombuffer(row["query_keys"], dtype=np.int64)
         slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(-1, -(-len(keys) // 64))
         sums, constants = _summed(queries, np.frombuffer(row["least"], dtype=np.int64), row["bits"], slices)
-        query, found = _best(sums, keys, query_keys, k)
+        query, found = _best(sums, len(keys), len(query_keys), k)
         scores = constants[query]
         for weight, slice_ in enumerate(sums):
             bit = (slice_[query, found >> 6] >> (found & 63).astype(np.uint64)) & np.uint64(1)
             scores = scores + (bit.astype(np.int64) << weight if weight < 64 else 0)
-        for column, values in zip(out, (numbers[query], query_keys[query], keys[found], scores)):
+        # A row with the query's key and the query's product with itself: the query, or one like it in all results.
+        own = (keys[found] == query_keys[query]) & (scores == (queries * queries).sum(axis=1)[query])
+        for column, values in zip(out, (numbers[query], query_keys[query], keys[found], scores, own)):
             column.append(values)
     return out
 
 
+def _grid(n_vectors: int, n_queries: int, pairs: int) -> tuple[int, int]:
+    """Into how many parts the index and the queries are dealt: every part of one meets every part of the other.
+
+    The number of cells follows from the number of pairs, their shape from the sizes: each side is copied once for
+    each part of the other, and the larger side less often.
+    """
+    cells = max(CELLS, n_vectors * n_queries // pairs)
+    parts = max(1, min(cells, ceil(sqrt(cells * max(n_vectors, 1) / max(n_queries, 1)))))
+    return parts, ceil(cells / parts)
+
+
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, per_block: int = QUERIES, cells: int = CELLS
+    vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK, per_block: int = QUERIES, pairs: int = PAIRS
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest inner products with vectors of its length.
 
-    Both inputs have `key` and `v`. Rows with the query's own key are no candidates; ties go to the smaller key; fewer
-    than k candidates give all; repeated query rows are answered each. Scores are whole numbers of 64 bits.
+    Both inputs have `key` and `v`; queries are rows of the vectors. A query's own row is no candidate, other rows with
+    its key are; ties go to the smaller key; fewer than k candidates give all; repeated query rows are answered each.
+    Scores are whole numbers of 64 bits.
     """
-    index = bit_sliced(vectors, block).withColumn("cell", F.pmod(F.xxhash64("keys", "slices"), F.lit(cells)))
-    asked = _query_blocks(queries, per_block).withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))))
-    pairs = index.join(asked, ["length", "cell"])
+    parts, groups = _grid(vectors.count(), queries.count(), pairs)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    index = bit_sliced(vectors, block).withColumn("part", F.pmod(F.xxhash64("keys", "slices"), F.lit(parts))).withColumn("group", every(groups))
+    asked = _query_blocks(queries, per_block).withColumn("group", F.pmod(F.xxhash64("numbers"), F.lit(groups))).withColumn("part", every(parts))
+    met = index.join(asked, ["length", "part", "group"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [np.concatenate(x) if x else np.array([], dtype=np.int64) for x in _matched(batch, k)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["number", "query_id", "vec_id", "score"])
+            columns = [np.concatenate(x) if x else np.array([], dtype=np.int64) for x in _matched(batch, k + 1)]
+            arrays = [pa.array(x, pa.int64()) for x in columns[:4]] + [pa.array(columns[4].astype(bool))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["number", "query_id", "vec_id", "score", "own"])
 
-    found = pairs.select("length", "keys", "least", "bits", "slices", "numbers", "query_keys", "queries").mapInArrow(
-        run, "number long, query_id long, vec_id long, score long"
+    found = met.select("length", "keys", "least", "bits", "slices", "numbers", "query_keys", "queries").mapInArrow(
+        run, "number long, query_id long, vec_id long, score long, own boolean"
     )
-    order = Window.partitionBy("number").orderBy(F.col("score").desc(), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    by_query = Window.partitionBy("number")
+    ranked = found.withColumn("place", F.row_number().over(by_query.orderBy(F.col("score").desc(), "vec_id"))).filter(F.col("place") <= k + 1)
+    # Rows flagged as the query's own have one key and one score: any of them may be the one that goes.
+    ranked = ranked.withColumn("gone", F.coalesce(F.min(F.when(F.col("own"), F.col("place"))).over(by_query), F.lit(k + 2)))
+    ranked = ranked.filter(F.col("place") != F.col("gone")).withColumn("rank", F.col("place") - (F.col("place") > F.col("gone")).cast("int"))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def is_query(key: Column) -> Column:
@@ -232,16 +253,16 @@ def neighbours(embeddings: DataFrame, k: int = K) -> DataFrame:
 
 
 ORACLE = """
-WITH v AS (
-  SELECT CAST(vec_id AS BIGINT) AS vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, CAST(vec_id AS BIGINT) AS vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
   FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(CAST(x AS DOUBLE))]) = 0
 ),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+  SELECT q.r, q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 WHERE rank <= 10
 """
