@@ -152,6 +152,20 @@ def test_held_out_accuracy(spark):
     assert out.where("lang_pred = lang").count() >= 0.97 * out.count()
 
 
+def test_marks_alone_are_no_letters(spark):
+    docs = spark.createDataFrame([(i, "the dog and the cat", "en") for i in range(20)], "doc_id long, text string, lang string")
+    odd = spark.createDataFrame([(1, "\u0301\u0308 \u20dd"), (2, "e\u0301")], "doc_id long, text string")
+    assert {(r.row.doc_id, r.lang_pred) for r in langid.labelled(odd, langid.fit(docs)).collect()} == {(1, "und"), (2, "en")}
+
+
+def test_language_sample_is_bounded(spark):
+    """One language over many partitions: no task gathers its ids, and the least text of an id counts."""
+    docs = spark.range(3000).selectExpr("id % 2500 as doc_id", "concat('wort ', id) as text", "if(id % 10 = 0, 'de', 'en') as lang").repartition(200)
+    model = langid.fit(docs, 100)
+    again = langid.fit(docs.repartition(3), 100)
+    assert model.langs == ["de", "en"] and (model.scores == again.scores).all()
+
+
 def test_whole_texts_are_learned_from(spark):
     """Two languages that differ only behind a long beginning of the same words."""
     head = "site menu home page search " * 100
@@ -216,9 +230,9 @@ def test_merges_of_random_texts(tiktoken_encoding):
 def brute_top(vectors, k):
     clean = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, a in clean:
+    for row, (q, a) in enumerate(clean):
         if q % 100 == 0:
-            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in clean if i != q and len(a) == len(b))[:k]
+            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for at, (i, b) in enumerate(clean) if at != row and len(a) == len(b))[:k]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(found, 1)]
     return sorted(out)
 
@@ -239,7 +253,7 @@ def test_top_k_in_small_blocks(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(500)]
     df = topk.quantised(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
-    found = topk.search(df, df.where(topk.is_query(F.col("key"))), 10, block=70, per_block=2, cells=3).collect()
+    found = topk.search(df, df.where(topk.is_query(F.col("key"))), 10, block=70, per_block=2, pairs=20).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == brute_top(vectors, 10)
 
 

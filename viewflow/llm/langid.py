@@ -15,13 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewflow.llm.common import WORD_BLOCK_BYTES, Words, blocks, sums
 
-#: Training documents of each language.
-SAMPLE = 400
+#: Training documents of each language, at most but for a chance of about one in a billion.
+SAMPLE = 530
 #: Cells of hashed letter groups, smoothing, cost of a change, cost of a language of another script.
 CELLS, SMOOTH, SWITCH, OTHER_SCRIPT = 1 << 15, 0.5, 6.0, 30.0
 #: Least share of a language's training words in a script to be a candidate there.
@@ -70,7 +70,9 @@ def script_of(word: str) -> int:
 
 
 def _letters(words: pa.Array) -> pa.Array:
-    return pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
+    """The letters and marks of words that have a letter."""
+    bare = pc.replace_substring_regex(pc.utf8_lower(words), r"[^\p{L}\p{M}]+", "")
+    return pc.if_else(pc.match_substring_regex(bare, r"\p{L}"), bare, "")
 
 
 def _cells(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -155,12 +157,18 @@ def training_rows(docs: DataFrame):
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learned from at most `sample` whole documents of each language, chosen by a hash of their id."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit("language")), "doc_id")
+    """Learned from at most `sample` whole documents of each language, those whose id's hash is small enough for that.
+
+    Of several texts with one id and language the least is taken. No documents of one language meet in one task.
+    """
     ids = training_rows(docs).select("doc_id", "lang").distinct()
-    chosen = ids.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= sample)
-    texts = training_rows(docs).select("doc_id", "lang", "text")
-    texts = texts.join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    most = max(sample - 6 * sample**0.5, 1)
+    share = F.when(F.col("n") > sample, most / F.col("n")).otherwise(1.0)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
+    chosen = ids.join(F.broadcast(sizes), "lang").filter(place < share)
+    texts = training_rows(docs).select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
+    texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     # A row for each language and cell or script.
     found = texts.select("lang", "text").mapInArrow(_counted, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()
     langs = sorted(row.lang for row in found if row.cell < 0)
