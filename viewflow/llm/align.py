@@ -15,7 +15,7 @@ import hashlib
 import os
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import lru_cache
 from itertools import chain
 
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from viewflow.llm.common import blocks, gathered, stored, sums
 from viewflow.llm.packing import _BYTE_CHARS
 
-#: Bytes of text aligned at a time, and elements that a product expands to at a time.
-BLOCK, EXPANDED = 2 << 20, 1 << 22
+#: Bytes of text whose words are encoded together, of those whose matrices are made together, and elements that a
+#: product expands to at a time.
+BLOCK, SLICE, EXPANDED = 2 << 20, 128 << 10, 1 << 22
 _SEPARATORS = (",", "|", ";", "")
 _CUT = r"([\p{L}\p{M}\p{N}\p{P}\p{S}]) "
 
@@ -189,13 +190,15 @@ class Alignment:
     n_pairs: np.ndarray
     pairs: np.ndarray
     times: np.ndarray
-    #: Overlapping tokens of all texts: first token, second token, shared bytes.
-    overlaps: Csr
+    #: Overlapping tokens: first token, second token, shared bytes; a matrix for every few texts.
+    overlaps: list[Csr]
 
 
 def align(texts: list[str], a: Tokenizer, b: Tokenizer) -> Alignment:
-    """The texts one by one. One that is empty, or whose joined bytes differ from a space and the text, has no tokens."""
-    rows = np.arange(len(texts))
+    """The texts one by one. One that is empty, or whose joined bytes differ from a space and the text, has no tokens.
+
+    The words of all texts are encoded once; the matrices are those of a few texts at a time, of `SLICE` bytes.
+    """
     wanted = [b" " + text.encode() if text else b"" for text in texts]
     sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
     words = Words(texts)
@@ -210,8 +213,24 @@ def align(texts: list[str], a: Tokenizer, b: Tokenizer) -> Alignment:
     for ids, n, lengths, _ in sides:
         kept = np.repeat(good, n)
         parts.append((ids[kept], np.where(good, n, 0), lengths[kept]))
-    (ids_a, n_a, lengths_a), (ids_b, n_b, lengths_b) = parts
     sizes = np.where(good, sizes, 0)
+    ends, cuts = np.cumsum(sizes), [0]
+    while cuts[-1] < len(texts):
+        before = int(ends[cuts[-1] - 1]) if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, before + SLICE, "right"))))
+    places = [np.concatenate([[0], np.cumsum(n)]) for _, n, _ in parts]
+    found = []
+    for first, last in zip(cuts, cuts[1:]):
+        own = [(ids[p[first] : p[last]], n[first:last], lengths[p[first] : p[last]]) for (ids, n, lengths), p in zip(parts, places)]
+        found.append(_aligned(sizes[first:last], own, a, b))
+    joined = {f.name: [getattr(part, f.name) for part in found] for f in fields(Alignment)}
+    none = np.zeros(0, dtype=np.int64)
+    return Alignment(**{name: sum(x, []) if name in ("digests", "overlaps") else np.concatenate([none, *x]) for name, x in joined.items()})
+
+
+def _aligned(sizes: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], a: Tokenizer, b: Tokenizer) -> Alignment:
+    """A few texts from their sizes and, of each side, their ids, the number of them by text, and the ids' lengths."""
+    (ids_a, n_a, lengths_a), (ids_b, n_b, lengths_b) = parts
     total = int(sizes.sum())
     of_a, of_b = Csr.of_runs(lengths_a, total), Csr.of_runs(lengths_b, total)
     overlaps = of_a.times(of_b.transposed())
@@ -224,14 +243,14 @@ def align(texts: list[str], a: Tokenizer, b: Tokenizer) -> Alignment:
     n_all = int(both.sum())
     of_group = Csr.of_ones(group, n_all)
     in_a, in_b = of_a.times(of_group), of_b.times(of_group)  # one group a token
-    text_of = np.repeat(rows, sizes)[both]  # by group
+    text_of = np.repeat(np.arange(len(sizes)), sizes)[both]  # by group
     size_a, size_b = np.bincount(in_a.columns, minlength=n_all), np.bincount(in_b.columns, minlength=n_all)
     # The groups' ids with their number, and the sum of their products by pair of ids in each text.
     ids = [_by_group(in_a.columns, ids_a, len(a.pieces), n_all), _by_group(in_b.columns, ids_b, len(b.pieces), n_all)]
-    pairs, times, n_pairs = _linked(*ids, text_of, len(texts), len(b.pieces))
+    pairs, times, n_pairs = _linked(*ids, text_of, len(sizes), len(b.pieces))
     digests = _digests(a, b, (ids_a, in_a.columns, size_a), (ids_b, in_b.columns, size_b), n_a, n_b, text_of)
-    n_links = np.bincount(text_of, weights=size_a * size_b, minlength=len(texts)).astype(np.int64)
-    return Alignment(n_a, n_b, np.bincount(text_of, minlength=len(texts)), n_links, digests, n_pairs, pairs, times, overlaps)
+    n_links = np.bincount(text_of, weights=size_a * size_b, minlength=len(sizes)).astype(np.int64)
+    return Alignment(n_a, n_b, np.bincount(text_of, minlength=len(sizes)), n_links, digests, n_pairs, pairs, times, [overlaps])
 
 
 def _by_group(groups: np.ndarray, ids: np.ndarray, vocabulary: int, n_groups: int) -> Csr:
