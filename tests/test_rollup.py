@@ -5,7 +5,7 @@ import pytest
 
 from tests.conftest import rows
 from viewflow import SpecError, StarTree, query_rollup, star_rollup
-from viewflow.operators.rollup import split_pair
+from viewflow.operators.rollup import iceberg_rollup, query_leaves, split_pair
 
 PAIRS = ("COUNT__v", "SUM__v", "MIN__v", "MAX__v", "AVG__v", "DISTINCTCOUNTHLL__v")
 TREE = StarTree(("a", "b", "c"), PAIRS)
@@ -92,3 +92,21 @@ def test_rows_are_aggregated_before_they_are_copied(spark, data):
     df = spark.createDataFrame(data, "a string, b int, c string, v long")
     plan = star_rollup(df, TREE)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and "partial_sum" in plan[plan.index("Expand") :]
+
+
+@pytest.mark.parametrize("pairs", [PAIRS, PAIRS[1:]])
+@pytest.mark.parametrize("no_star", [(), ("b",)])
+def test_leaf_limit_changes_no_answer(spark, data, pairs, no_star):
+    """Stored rows fall with the limit; every question has the answer of the whole cube."""
+    df = spark.createDataFrame(data, "a string, b int, c string, v long")
+    sizes = []
+    whole = star_rollup(df, StarTree(("a", "b", "c"), pairs, no_star)).persist()
+    for limit in (0, 20, 100, 10_000):
+        tree = StarTree(("a", "b", "c"), pairs, no_star, limit)
+        cube = iceberg_rollup(df, tree).persist()
+        sizes.append(cube.count())
+        assert set(cube.columns) == set(whole.columns)
+        for dims in [(), ("a",), ("b", "c"), ("a", "b", "c")]:
+            for where in (None, {"c": "p"}, {"a": ["x"], "b": [1, 2]}):
+                assert rows(query_leaves(cube, tree, dims, where)) == rows(query_rollup(whole, tree, dims, where))
+    assert sizes[0] == whole.count() and sizes == sorted(sizes, reverse=True) and sizes[0] > sizes[1] > sizes[-1]

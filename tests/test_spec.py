@@ -29,7 +29,7 @@ def test_all_settings_are_read():
     assert spec.sorted_column == "tenant_id"
     assert spec.partitions == {"tenant_id": ("HashCode", 4)}
     assert spec.star_trees == [
-        StarTree(("tenant_id", "start_time_millis"), ("COUNT__name", "SUM__time_taken_millis"))
+        StarTree(("tenant_id", "start_time_millis"), ("COUNT__name", "SUM__time_taken_millis"), leaf_records=100)
     ]
     assert spec.tiers == [Tier("old", "5d")]
     assert spec.transforms == [("bucket_start_time_millis", "time_bucket(start_time_millis, 3600000)")]

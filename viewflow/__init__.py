@@ -16,7 +16,7 @@ from viewflow.operators.ingest import ingest_filter, ingest_rollup, ingest_trans
 from viewflow.operators.layout import arrange, parquet_options, write_layout
 from viewflow.operators.lifecycle import apply_retention, assign_tier, complete_rows, hybrid_rows
 from viewflow.operators.merge import merge_streams
-from viewflow.operators.rollup import query_rollup, star_rollup, write_rollup
+from viewflow.operators.rollup import query_leaves, query_rollup, star_rollup, write_rollup
 from viewflow.operators.shape import fill_defaults, shape, split_map, table_schema, truncate
 from viewflow.operators.tables import (
     TablePair,

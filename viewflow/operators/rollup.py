@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
 from itertools import combinations
 from typing import Any
 
@@ -119,10 +121,52 @@ def star_rollup(df: DataFrame, tree: StarTree, dims_per_step: int = 4) -> DataFr
     return cube.select(*dims, *flags, *stored)
 
 
+def iceberg_rollup(df: DataFrame, tree: StarTree) -> DataFrame:
+    """The cube without starred groups of at most ``tree.leaf_records`` rows.
+
+    ``query_leaves`` answers those from the groups of all dimensions, which are always kept, as is the group of
+    everything.
+    """
+    records = next((pair for pair in tree.pairs if split_pair(pair)[0] == "COUNT"), None)
+    counted = tree if records else replace(tree, pairs=(*tree.pairs, _RECORDS))
+    cube = star_rollup(df, counted)
+    stars = sum((F.col(f"`{starred(d)}`") for d in tree.dims), F.lit(0))
+    kept = (stars == 0) | (stars == len(tree.dims)) | (F.col(f"`{records or _RECORDS}`") > tree.leaf_records)
+    cube = cube.where(kept)
+    return cube if records else cube.drop(_RECORDS)
+
+
+_RECORDS = "COUNT__records"
+
+
 def write_rollup(df: DataFrame, tree: StarTree, path: str) -> None:
-    """Store the cube with one folder per grouping set, so that a query reads only its own."""
+    """Store the cube with one folder per grouping set, so that a query reads only its own.
+
+    With a leaf limit, small starred groups are not stored: read such a cube with ``query_leaves``.
+    """
     flags = [starred(d) for d in tree.dims]
-    star_rollup(df, tree).write.mode("overwrite").partitionBy(*flags).parquet(path)
+    cube = iceberg_rollup(df, tree) if tree.leaf_records else star_rollup(df, tree)
+    cube.write.mode("overwrite").partitionBy(*flags).parquet(path)
+
+
+def query_leaves(
+    cube: DataFrame,
+    tree: StarTree,
+    group_by: Sequence[str] = (),
+    where: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """``query_rollup`` of a cube with a leaf limit: two grouping sets are read, the one of the asked dimensions and
+    the one of all. Groups that the first lacks are made from the second."""
+    values = _values(where)
+    kept = [d for d in tree.dims if d in _checked(tree, group_by, values)]
+    own = grouping_set(cube, tree, kept, values)
+    if kept and len(kept) < len(tree.dims):
+        base = merged_columns(grouping_set(cube, tree, tree.dims, values), tree, kept)
+        # Stored groups of these dimensions are above the limit: far fewer than the base's.
+        there = own.select(*[F.col(f"`{d}`").alias(f"__{d}") for d in kept])
+        same = reduce(lambda a, b: a & b, [F.col(f"`{d}`").eqNullSafe(F.col(f"`__{d}`")) for d in kept])
+        own = own.unionByName(base.join(there, same, "left_anti"))
+    return merged_groups(own, tree, group_by)
 
 
 def _values(where: Mapping[str, Any] | None) -> dict[str, list]:
@@ -166,14 +210,19 @@ def base_groups(
     return _allowed(df, values).groupBy(*group_by).agg(*_aggregates(stored))
 
 
-def merged_groups(
-    groups: DataFrame, tree: StarTree, group_by: Sequence[str] = (), pairs: Sequence[str] | None = None
-) -> DataFrame:
-    """Stored groups, finer ones or ones from several places, merged to one a group; the answer of each pair (all)."""
+def merged_columns(groups: DataFrame, tree: StarTree, group_by: Sequence[str]) -> DataFrame:
+    """Stored groups, finer ones or ones from several places, merged to one a group, with the stored columns."""
     merged: dict[str, Column] = {}
     for pair in tree.pairs:
         merged.update(_merged(pair))
-    rows = groups.groupBy(*group_by).agg(*_aggregates(merged))
+    return groups.groupBy(*group_by).agg(*_aggregates(merged))
+
+
+def merged_groups(
+    groups: DataFrame, tree: StarTree, group_by: Sequence[str] = (), pairs: Sequence[str] | None = None
+) -> DataFrame:
+    """The same with the answers of the pairs (all of them)."""
+    rows = merged_columns(groups, tree, group_by)
     return rows.select(*group_by, *[_answer(pair) for pair in pairs or tree.pairs])
 
 

@@ -198,6 +198,11 @@ ORACLES: dict[str, str] = {
         SELECT l_returnflag, l_linestatus, count(*) AS COUNT__l_orderkey, sum(cents)::BIGINT AS SUM__cents,
                max(cents) AS MAX__cents
         FROM {LINE_INPUT} GROUP BY 1, 2""",
+    "query_rollup_leaves": """
+        WITH e AS (SELECT user_id, event_type, CAST(day(ts) AS INTEGER) AS day, CAST(floor(value * 100) AS BIGINT) AS cents FROM events)
+        SELECT user_id, NULL::VARCHAR AS event_type, NULL::INTEGER AS day, sum(cents)::BIGINT AS cents, max(cents) AS most
+        FROM e WHERE event_type IN ('view', 'error') GROUP BY 1
+        UNION ALL SELECT NULL, event_type, day, sum(cents)::BIGINT, max(cents) FROM e GROUP BY 2, 3""",
     "partition_id_hashcode": f"""
         SELECT {java_hash("(event_type || '-' || user_id)", 7)} AS part, count(*) AS n FROM events GROUP BY 1""",
     "partition_id_text": f"SELECT page_id, {java_hash('url', 16)} AS part FROM pages",

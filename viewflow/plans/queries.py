@@ -24,7 +24,7 @@ from viewflow.operators.ingest import ingest_filter, ingest_rollup, ingest_trans
 from viewflow.operators.layout import part_filter, write_layout
 from viewflow.operators.lifecycle import apply_retention, assign_tier, complete_rows, complete_until, hybrid_rows
 from viewflow.operators.merge import merge_streams
-from viewflow.operators.rollup import query_rollup, star_rollup, write_rollup
+from viewflow.operators.rollup import query_leaves, query_rollup, star_rollup, write_rollup
 from viewflow.operators.shape import fill_defaults, shape, split_map, table_schema, truncate
 from viewflow.operators.tables import create_tables, drop_expired, query_pair, read_hybrid, roll_over
 from viewflow.operators.views import View, apply_view, conform, explode_view, projection_view, row_view, view_rows
@@ -520,6 +520,22 @@ def query_rollup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query_rollup(spark.read.parquet(path), LINE_TREE, ["l_returnflag", "l_linestatus"])
 
 
+@query
+def query_rollup_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cube stored without small starred groups; those come from the groups of all dimensions."""
+    path, tree = f"{work_dir(spark)}/cube", StarTree(("user_id", "event_type", "day"), ("SUM__cents", "MAX__cents"), (), 40)
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.dayofmonth("ts").alias("day"), F.floor(F.col("value") * 100).alias("cents")
+    )
+    write_rollup(events, tree, path)
+    cube = spark.read.parquet(path)
+    by_user = query_leaves(cube, tree, ["user_id"], {"event_type": ["view", "error"]})
+    by_day = query_leaves(cube, tree, ["event_type", "day"])
+    nothing = {"event_type": F.lit(None).cast("string"), "day": F.lit(None).cast("int")}
+    parts = by_user.withColumns(nothing).unionByName(by_day.withColumn("user_id", F.lit(None).cast("long")))
+    return parts.select("user_id", "event_type", "day", F.col("SUM__cents").alias("cents"), F.col("MAX__cents").alias("most"))
+
+
 # Layout
 
 

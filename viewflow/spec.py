@@ -194,6 +194,8 @@ class StarTree:
     dims: tuple[str, ...]
     pairs: tuple[str, ...]
     no_star: tuple[str, ...] = ()
+    #: A stored cube keeps no starred group of at most so many records.
+    leaf_records: int = 0
 
     def __post_init__(self) -> None:
         unknown = set(self.no_star) - set(self.dims)
@@ -202,11 +204,11 @@ class StarTree:
 
     @classmethod
     def from_settings(cls, settings: Mapping) -> StarTree:
-        # maxLeafRecords only limits the size of the stored tree, never a result.
         return cls(
             tuple(settings["dimensionsSplitOrder"]),
             tuple(settings["functionColumnPairs"]),
             tuple(settings["skipStarNodeCreationForDimensions"]),
+            int(settings.get("maxLeafRecords", 0)),
         )
 
 
