@@ -63,7 +63,7 @@ def test_view_needs_name_and_schema(missing):
         ViewSpec.parse(settings)
 
 
-def test_schema_as_text_or_json():
+def test_schema_as_text_or_json(spark):
     for schema in ("a STRING, b BIGINT", T.StructType.fromDDL("a STRING, b BIGINT").jsonValue()):
         parsed = ViewSpec.parse({"view": {"name": "v", "output": {"schema": schema}}})
         assert parsed.schema.names == ["a", "b"]
