@@ -34,6 +34,7 @@ ROW = T.StructType(
 HOUR = 3_600_000
 
 
+# Names of fields and settings, on which the expected numbers of dimensions and date-times depend.
 def config(name="rows", **table):
     """A full set of settings for rows of ``ROW``; ``table`` overrides the common ones."""
     return {

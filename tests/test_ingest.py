@@ -101,3 +101,15 @@ def test_rows_are_dropped_only_where_the_condition_is_true(spark, condition):
     df = spark.sql("SELECT * FROM VALUES (1), (2), (null) AS x(a) CROSS JOIN VALUES (1), (3), (null) AS y(b)")
     true = df.where(condition).count()
     assert ingest_filter(df, drop_when=condition).count() == 9 - true
+
+
+def test_stated_comparisons_drop_like_their_expression(spark):
+    values = [(a, b) for a in ("x", "y", None) for b in (1, 2, None)]
+    df = spark.createDataFrame(values, "a string, b int")
+    for stated in ([("a", "=", "x")], [("a", "<>", "x")], [("a", "=", "x"), ("b", ">=", 2)], [("b", "<", 2), ("b", ">", 0), ("a", "<=", "x")]):
+        text = " AND ".join(f"{c} {sign} {v!r}" for c, sign, v in stated)
+        assert rows(ingest_filter(df, drop_when=stated)) == rows(ingest_filter(df, drop_when=text))
+    assert ingest_filter(df, drop_when=[]).count() == 9
+    for wrong in ([("a", "like", "x")], [("a", "=", None)]):
+        with pytest.raises(SpecError):
+            ingest_filter(df, drop_when=wrong)

@@ -62,7 +62,7 @@ def test_filters_reach_the_scan(spark):
     assert "EqualTo(event_type,purchase)" in plan(spark, "ingest_filter_keep")
     assert "GreaterThanOrEqual(value,250.0)" in plan(spark, "row_drop_view")
     events = spark.read.parquet(f"{DATA}/events.parquet")
-    dropped = ingest_filter(events, drop_when="event_type = 'error'")._jdf.queryExecution().executedPlan().toString()
+    dropped = ingest_filter(events, drop_when=[("event_type", "=", "error")])._jdf.queryExecution().executedPlan().toString()
     assert "Or(Not(EqualTo(event_type,error)),IsNull(event_type))" in dropped
     for name, pushed in (("retention", "GreaterThanOrEqual(ts"), ("roll_over", "LessThan(ts"), ("hybrid_read", "LessThan(ts")):
         assert pushed in plan(spark, name)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import operator
+from collections.abc import Iterable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,50 +14,42 @@ from viewflow.operators.shape import DATE_TIME, DIMENSION, METRIC, TIME, columns
 from viewflow.spec import SpecError, TableSpec
 
 
+_COMPARED = {"=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge}
+
+#: A column, a comparison and a literal that is not null.
+Comparison = tuple[str, str, Any]
+
+
+def _not_all(comparisons: Sequence[Comparison]) -> Column:
+    """Whether one of the comparisons is false or null, in a form that a scan takes."""
+    kept = F.lit(False)
+    for name, sign, literal in comparisons:
+        if sign not in _COMPARED or literal is None:
+            raise SpecError(f"not a comparison with a literal: {name} {sign} {literal!r}")
+        kept = kept | ~_COMPARED[sign](F.col(name), F.lit(literal)) | F.col(name).isNull()
+    return kept
+
+
 def ingest_filter(
-    df: DataFrame, drop_when: Column | str | None = None, keep_when: Column | str | None = None
+    df: DataFrame,
+    drop_when: Column | str | Sequence[Comparison] | None = None,
+    keep_when: Column | str | None = None,
 ) -> DataFrame:
     """Drop the rows for which ``drop_when`` is true, or keep those for which ``keep_when`` is.
 
-    A predicate that is null neither drops nor keeps. Both reach the scan as filters.
+    A predicate that is null neither drops nor keeps. ``keep_when`` reaches the scan as a filter; so does ``drop_when``
+    as a list of comparisons (column, sign, literal), which drops the rows for which all of them hold.
     """
-    if drop_when is not None:
-        kept = None
-        if isinstance(drop_when, str):
-            kept = _never(df.sparkSession._jsparkSession.sessionState().sqlParser().parseExpression(drop_when), "true")
+    if isinstance(drop_when, (list, tuple)):
+        df = df.where(_not_all(drop_when)) if drop_when else df
+    elif drop_when is not None:
         condition = F.expr(drop_when) if isinstance(drop_when, str) else drop_when
-        df = df.where(~condition | condition.isNull() if kept is None else kept)
+        df = df.where(~condition | condition.isNull())
     if keep_when is not None:
         df = df.where(keep_when)
     return df
 
 
-_COMPARISONS = {"EqualTo", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual"}
-
-
-def _never(expression, value: str) -> str | None:
-    """SQL for "the condition is not ``value``", null included, that the scan can take.
-
-    Only for comparisons of columns and literals, joined by AND, OR and NOT; None for any other condition.
-    """
-    kind, children = expression.getClass().getSimpleName(), expression.children()
-    parts = [children.apply(i) for i in range(children.size())]
-    if kind == "Not":
-        return _never(parts[0], "false" if value == "true" else "true")
-    if kind in ("And", "Or"):
-        both = [_never(part, value) for part in parts]
-        joined = "OR" if (kind == "And") == (value == "true") else "AND"
-        return None if None in both else f"({both[0]} {joined} {both[1]})"
-    if kind not in _COMPARISONS:
-        return None
-    columns = [part.sql() for part in parts if part.getClass().getSimpleName() == "UnresolvedAttribute"]
-    others = [part for part in parts if part.getClass().getSimpleName() != "UnresolvedAttribute"]
-    if not columns or any(p.getClass().getSimpleName() != "Literal" or p.sql() == "NULL" for p in others):
-        return None
-    stated = f"NOT ({expression.sql()})" if value == "true" else f"({expression.sql()})"
-    return f"({' OR '.join([stated, *(f'{c} IS NULL' for c in columns)])})"
-
-
 def ingest_transform(df: DataFrame, transforms: Iterable[tuple[str, Column | str]]) -> DataFrame:
     """Add columns in list order; a later expression may use an earlier column."""
     for name, expression in transforms:

@@ -243,7 +243,8 @@ class TableSpec:
     bucket_period: str = "1 day"
     buffer_period: str = "2 days"
     transforms: list[tuple[str, str]] = field(default_factory=list)
-    drop_when: str | None = None
+    #: An expression, or a list of (column, sign, literal) that must all hold; the list reaches the scan.
+    drop_when: str | list | None = None
     keep_when: str | None = None
     string_default: str = "null"
     empty_as_null: bool = False
