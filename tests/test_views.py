@@ -188,7 +188,7 @@ def test_more_hot_keys_than_any_list_would_take(spark):
     df = spark.range(36_000).selectExpr("id % 12000 AS k", "id")
     reference = spark.range(12_000).selectExpr("id AS k", "id * 7 AS c")
     lookup = measure_lookup(reference, ["k"], max_rows=0)
-    assert _hot_salts(df, ["k"], 1, 10_000).count() == 12_000
+    assert _hot_salts(df, [F.col("k")], 1, 10_000).count() == 12_000
     out = enrich(df, lookup, hot_rows=1, hot_share=10_000)
     assert out.count() == 36_000 and out.where("c = k * 7").count() == 36_000
 
@@ -196,7 +196,39 @@ def test_more_hot_keys_than_any_list_would_take(spark):
 def test_the_hot_list_is_bounded_by_the_total(spark):
     df = skewed(spark)
     # 4 shuffle partitions, 3000 rows: a key needs over 187 rows to be spread.
-    assert _hot_salts(df.where("k IS NOT NULL"), ["k"], 10, 4).count() == 1
+    assert _hot_salts(df.where("k IS NOT NULL"), [F.col("k")], 10, 4).count() == 1
+
+
+def test_every_key_above_the_bound_is_in_the_sketch(spark):
+    """Keys that come late, in all tasks, among many rare ones: more distinct keys than a sketch tracks."""
+    rare = spark.range(0, 60_000, 1, 50).select((F.col("id") + 1_000).alias("k"))
+    heavy = spark.range(0, 40_000, 1, 50).select((F.col("id") % 20).alias("k"))
+    # 4 partitions with 10 keys each: the sketch tracks 210 items, and a key above 100,000 / 40 rows is hot.
+    df = rare.union(heavy).union(spark.range(0, 3_000).select(F.lit(500).cast("long").alias("k")))
+    hot = {r["__hash"]: r["__salts"] for r in _hot_salts(df, [F.col("k")], 1, 10).collect()}
+    known = {r.h: r.n for r in df.groupBy(F.xxhash64("k").alias("h")).agg(F.count("*").alias("n")).collect()}
+    least = 103_000 // 40
+    assert {h for h, n in known.items() if n > least} <= set(hot) and len(hot) < 210
+    assert all(hot[h] >= n / least for h, n in known.items() if n > least)
+    assert _hot_salts(df.where("k < 0"), [F.col("k")], 1, 10).isEmpty()
+
+
+def test_the_join_reads_the_large_side_once_after_the_sketch(spark, folder):
+    skewed(spark).write.parquet(f"{folder}/facts")
+    df = spark.read.parquet(f"{folder}/facts")
+    lookup = measure_lookup(spark.range(40).selectExpr("id AS k", "id * 3 AS c"), ["k"], max_rows=0)
+    hot = _hot_salts(df.where("k IS NOT NULL"), [F.col("k")], 10, 4)
+    assert hot.columns == ["__hash", "__salts"]
+    plan = enrich(df, lookup, hot_rows=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("- Relation [") == 1 and "Aggregate" not in plan
+
+
+def test_keys_of_other_types_meet(spark):
+    df = spark.range(300).selectExpr("cast(id % 3 AS int) AS k", "id AS v")
+    reference = spark.createDataFrame([(0, "a"), (1, "b"), (1 << 40, "far")], "k long, name string")
+    out = enrich(df, measure_lookup(reference, ["k"], max_rows=0), hot_rows=5)
+    assert out.columns == ["k", "v", "name"] and out.schema["k"].dataType == T.IntegerType()
+    assert rows(out) == rows(df.join(reference, "k", "left").select("k", "v", "name"))
 
 
 def test_a_lookup_is_measured_again_when_its_files_change(spark, folder):

@@ -87,7 +87,7 @@ def _hashable(data_type: T.DataType) -> bool:
 
 
 def spread_salt(df: DataFrame) -> Column:
-    """A number that spreads rows evenly, even rows with one key or many exact copies.
+    """A number that spreads rows evenly, even rows with one key; exact copies spread by the tasks they are read in.
 
     It depends on the row and the task's partition number only, never on row order or chance, so a
     task run again after a lost executor gives its rows the same salt.

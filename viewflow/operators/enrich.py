@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewflow.functions.partitioning import spread_salt
@@ -20,6 +20,11 @@ MAX_BROADCAST_BYTES = 64 << 20
 # task's even share. Both bound the list of such keys: it has at most HOT_SHARE keys for each shuffle partition.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 4
+# A sketch tracks so many items for each key that may be hot, at most so many (Spark's own bound) in all; sketches
+# are merged in so many groups first.
+TRACKED_PER_SHARE = 5.25
+MAX_TRACKED = 1_000_000
+SKETCH_GROUPS = 64
 
 
 @dataclass(frozen=True)
@@ -82,7 +87,7 @@ class Context:
 def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_share: int = HOT_SHARE) -> DataFrame:
     """Left join to a lookup: every row stays, once, with nulls where the key is unknown.
 
-    A lookup too large to broadcast is joined with hot keys spread. That takes a count of the rows
+    A lookup too large to broadcast is joined with hot keys spread. That takes a sketch of the keys
     first, which a stream has only batch by batch: ``run_views`` and ``write_view`` hand views such batches.
     """
     keys = list(lookup.keys)
@@ -96,20 +101,46 @@ def enrich(df: DataFrame, lookup: Lookup, hot_rows: int = HOT_ROWS, hot_share: i
     return joined.select(*columns)
 
 
-def _hot_salts(df: DataFrame, keys: list[str], hot_rows: int, hot_share: int) -> DataFrame:
-    """The keys whose rows are too many for one task, with the number of salts each gets.
+def _join_keys(df: DataFrame, lookup: Lookup) -> list[Column]:
+    """The keys in types that both sides have in common, so that equal keys have equal hashes."""
+    keys = list(lookup.keys)
+    common = df.select(*keys).unionByName(lookup.df.select(*keys)).schema
+    return [F.col(f"`{f.name}`").cast(f.dataType).alias(f"__key{i}") for i, f in enumerate(common.fields)]
+
 
-    The least number of rows follows from the total, so that a bounded number of keys can have it and none is
-    left out. Both sides of the join must see the very same list, so it is taken once.
+def _hot_salts(df: DataFrame, keys: Sequence[Column], hot_rows: int, hot_share: int) -> DataFrame:
+    """The hashes of keys whose rows are too many for one task, with the number of salts each gets.
+
+    One pass, with a frequent-items sketch for each task in place of a count of every key. With ``share`` times 5.25 items
+    a sketch of N rows is out by N / (2 share) at most, and returns each key with twice that: no key with more than
+    N / share rows is missed, and a bounded number can have so many. Keys with one hash share their salts. Both sides of
+    the join must see the very same list, so it is taken once.
     """
     spark = df.sparkSession
-    share = df.count() // (hot_share * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    least = max(hot_rows, share)
+    share = min(hot_share * int(spark.conf.get("spark.sql.shuffle.partitions")), int(MAX_TRACKED / TRACKED_PER_SHARE))
+    tracked = max(int(share * TRACKED_PER_SHARE), 64)
+    # Merged in two steps, so that no task merges the sketches of all others. Without rows there is no sketch.
+    merged = (
+        df.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group"))
+        .agg(
+            F.count(F.lit(1)).alias("__rows"),
+            F.call_function("approx_top_k_accumulate", F.xxhash64(*keys), F.lit(tracked)).alias("__sketch"),
+        )
+        .groupBy(F.lit("all"))
+        .agg(
+            F.sum("__rows").alias("__rows"),
+            F.call_function("approx_top_k_combine", F.col("__sketch"), F.lit(tracked)).alias("__sketch"),
+        )
+    )
+    least = F.greatest(F.lit(hot_rows), F.floor(F.col("__rows") / share))
+    found = F.call_function("approx_top_k_estimate", F.col("__sketch"), F.lit(tracked))
     hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > least)
-        .select(*keys, F.ceil(F.col("__rows") / least).cast("long").alias("__salts"))
+        merged.select(least.alias("__least"), F.explode(found).alias("__found"))
+        .where(F.col("__found.count") > F.col("__least"))
+        .select(
+            F.col("__found.item").alias("__hash"),
+            F.ceil(F.col("__found.count") / F.col("__least")).cast("long").alias("__salts"),
+        )
     )
     return spark.createDataFrame(hot.toArrow(), hot.schema)
 
@@ -118,21 +149,27 @@ def _salted_join(df: DataFrame, lookup: Lookup, hot_rows: int, hot_share: int) -
     """Shuffle join in which a key with many rows takes as many partitions as its rows need.
 
     The lookup's row of such a key is repeated once per salt. Rows with a null key match nothing;
-    they are spread out instead of meeting in one partition.
+    they are spread out instead of meeting in one partition. The large side is read twice, for the sketch and for
+    the join.
     """
     keys = list(lookup.keys)
+    cast = _join_keys(df, lookup)
+    names = [f"__key{i}" for i in range(len(keys))]
     no_null = " AND ".join(f"`{k}` IS NOT NULL" for k in keys)
-    hot = F.broadcast(_hot_salts(df.where(no_null), keys, hot_rows, hot_share))
+    hot = F.broadcast(_hot_salts(df.where(no_null), cast, hot_rows, hot_share))
     salts = F.coalesce(F.col("__salts"), F.lit(1).cast("long"))
     left = (
-        df.withColumn("__spread", spread_salt(df))
-        .join(hot, keys, "left")
+        df.select("*", *cast, spread_salt(df).alias("__spread"))
+        .withColumn("__hash", F.xxhash64(*names))
+        .join(hot, "__hash", "left")
         .withColumn("__salt", F.when(F.expr(no_null), F.pmod("__spread", salts)).otherwise(F.col("__spread")))
-        .drop("__spread", "__salts")
+        .drop("__spread", "__salts", "__hash")
     )
     right = (
-        lookup.df.join(hot, keys, "left")
+        lookup.df.select(*cast, *[F.col(f"`{c}`") for c in lookup.df.columns if c not in keys])
+        .withColumn("__hash", F.xxhash64(*names))
+        .join(hot, "__hash", "left")
         .withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
-        .drop("__salts")
+        .drop("__salts", "__hash")
     )
-    return left.join(right, [*keys, "__salt"], "left")
+    return left.join(right, [*names, "__salt"], "left")
