@@ -318,3 +318,55 @@ def test_ingest_may_roll_up_each_batch(spark, unique, folder):
     ingest(spark, pair, folder)
     out = spark.table(pair.realtime).select("name", "time_taken_millis", "scores__KEYS", "tenant_id")
     assert rows(out) == [("m", 7, ["x"], "t1"), ("n", 14, ["x"], "t1")]
+
+
+def stored_topic(spark, folder, *times):
+    data = [("k", ("t1", "n", t, t, t, None, ["f"], {"k": "v"}, 7, None)) for t in times]
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", PLAIN)])
+    spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{folder}/topic")
+
+
+@pytest.mark.parametrize("offset, wanted", [("largest", [3, 4, 5]), ("smallest", [1, 2, 3, 4, 5])])
+def test_a_folder_is_read_from_the_start_offset_on(spark, pair, folder, offset, wanted):
+    pair.realtime_spec.stream["stream.kafka.consumer.prop.auto.offset.reset"] = offset
+
+    def run(checkpoint):
+        name = f"{folder}/{checkpoint}"
+        ingest_realtime(spark, pair, name, trigger={"availableNow": True}, folder=f"{folder}/topic").awaitTermination()
+
+    stored_topic(spark, folder, 1, 2)
+    run("a")
+    stored_topic(spark, folder, 3)
+    run("a")
+    stored_topic(spark, folder, 4, 5)
+    run("a")
+    run("a")
+    assert times(spark.table(pair.realtime)) == wanted
+    # Another checkpoint starts at what is the end by now.
+    run("b")
+    assert times(spark.table(pair.realtime)) == (wanted if offset == "largest" else sorted(2 * wanted))
+
+
+def test_an_empty_folder_has_no_end(spark, pair, folder):
+    import os
+
+    os.mkdir(f"{folder}/topic")
+    for n in (0, 1):
+        ingest_realtime(
+            spark, pair, f"{folder}/a", trigger={"availableNow": True}, folder=f"{folder}/topic"
+        ).awaitTermination()
+        if not n:
+            stored_topic(spark, folder, 1)
+    assert times(spark.table(pair.realtime)) == [1]
+
+
+def test_a_segment_has_no_more_rows_than_the_threshold(spark, unique):
+    plan = view(unique)
+    plan.config["realtime"]["streamConfigs"]["realtime.segment.flush.threshold.size"] = 40
+    pair = create_tables(spark, plan)
+    append_batch(shaped(spark, pair, *range(150)), pair, 0, files=1)
+    sizes = spark.table(pair.realtime).groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in sizes) == 150 and max(r["count"] for r in sizes) == 40
+    # The offline table's files are as large as they like.
+    roll_over(spark, pair, "2024-01-01T00:00:00", files=1)
+    assert spark.table(pair.offline).groupBy("_metadata.file_path").count().count() == 1

@@ -26,6 +26,7 @@ from viewflow.operators.layout import (
     partition_columns,
 )
 from viewflow.operators.lifecycle import Moment, apply_retention, complete_until, in_tier, retention_start
+from viewflow.sources.topics import flush_rows, newest_file
 from viewflow.spec import SpecError, TableSpec, ViewSpec
 
 BATCH, RUN = "batch_id", "run_id"
@@ -74,11 +75,14 @@ def _ensure_table(
     columns: T.StructType,
     partitions: T.StructType,
     spec: TableSpec,
+    own: str,
 ) -> None:
     """Create the table, or add to an existing one the columns it lacks."""
     if not spark.catalog.tableExists(name):
         # An overwrite replaces all of a batch or run, whatever the session's own setting is.
         options = {"partitionOverwriteMode": "static", **parquet_options(spec, columns)}
+        if own == BATCH and flush_rows(spec):
+            options["maxRecordsPerFile"] = str(flush_rows(spec))
         settings = ", ".join(f"'{key}' = '{value}'" for key, value in options.items())
         layout = f"TBLPROPERTIES ('{_LAYOUT}' = '{_layout(spec)}')"
         spark.sql(
@@ -130,7 +134,7 @@ def create_tables(
         clash = {f.name for f in parts} & set(columns.names)
         if clash:
             raise SpecError(f"table {name}: columns used for partitioning: {sorted(clash)}")
-        _ensure_table(spark, name, columns, T.StructType(parts), spec)
+        _ensure_table(spark, name, columns, T.StructType(parts), spec, own)
     create_cubes(spark, pair.offline, pair.offline_spec.star_trees, RUN)
     return pair
 
@@ -192,8 +196,24 @@ def first_batch(spark: SparkSession, pair: TablePair, checkpoint: str) -> int:
     return int(found["first"])
 
 
+def first_file(spark: SparkSession, pair: TablePair, checkpoint: str, topic: str) -> int:
+    """After which moment a stream with this checkpoint reads the files of a topic folder it began at the end of.
+
+    The moment is that of the newest file there when it is asked for first; a restarted stream keeps it.
+    """
+    name = f"viewflow.start.{hashlib.sha256(json.dumps([checkpoint.rstrip('/'), topic]).encode()).hexdigest()}"
+    known = _properties(spark, pair.realtime)
+    if name not in known:
+        known[name] = str(newest_file(spark, topic))
+        _set_property(spark, pair.realtime, name, known[name])
+    return int(known[name])
+
+
 def append_batch(rows: DataFrame, pair: TablePair, batch_id: int, files: int | None = None) -> None:
-    """Write one batch of shaped rows to the realtime table; written again, it replaces itself."""
+    """Write one batch of shaped rows to the realtime table; written again, it replaces itself.
+
+    A file of the table is a segment: it has no more rows than the stream settings' threshold at its creation.
+    """
     _replace(rows, pair.realtime, pair.realtime_spec, BATCH, batch_id, files, by_range=False)
     # Counted only now: a roll-over at the same time must not take a batch half written for whole.
     last = max(batch_id, last_batch(rows.sparkSession, pair))

@@ -241,6 +241,9 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT CAST(user_id AS VARCHAR), event_id, event_type, -1 FROM events WHERE user_id % 2 = 1""",
     "stream_rollup": f"SELECT * FROM ({ROLLUP})",
     "ingest_realtime_table": PLACED_ROWS,
+    "ingest_from_largest": f"""
+        SELECT tenant_id, span_id, start_time_millis, time_taken_millis FROM ({TABLE_ROWS})
+        WHERE span_id::BIGINT % 2 = 1""",
     "ingest_realtime_rolled": f"""
         SELECT tenant_id, span_kind, bucket_start_time_millis, sum(time_taken_millis)::BIGINT AS time_taken_millis
         FROM ({TABLE_ROWS}) GROUP BY 1, 2, 3""",

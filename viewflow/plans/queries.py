@@ -791,6 +791,20 @@ def ingest_realtime_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.drop("batch_id").withColumn("part_tenant_id", F.col("part_tenant_id").cast("long"))
 
 
+@query
+def ingest_from_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that begins at its topic's end: the records that were there before are never read, later ones once."""
+    pair, folder, records = _ingested(spark, sf_dir)
+    pair.realtime_spec.stream["stream.kafka.consumer.prop.auto.offset.reset"] = "largest"
+    for part in (0, 1):
+        publish(records.where(F.col("odd") == part), f"{folder}/topics")
+        # The second run goes on from the first one's checkpoint.
+        ingest_realtime(
+            spark, pair, f"{folder}/checkpoint", trigger=AVAILABLE_NOW, folder=f"{folder}/topics"
+        ).awaitTermination()
+    return spark.table(pair.realtime).select("tenant_id", "span_id", "start_time_millis", "time_taken_millis")
+
+
 @query
 def ingest_realtime_rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with each batch rolled up; sums over the table are those of the rows."""

@@ -21,7 +21,8 @@ FILE_BATCH_BYTES = 1 << 40
 class Topic:
     """Where a topic lives. ``schema`` is that of the raw (key, value) files; Kafka needs none.
 
-    Pass a schema with the needed fields only: a streamed file is read no wider than its schema.
+    Pass a schema with the needed fields only: a streamed file is read no wider than its schema. With ``after``
+    (microseconds) only files changed later are read.
     """
 
     name: str
@@ -29,6 +30,7 @@ class Topic:
     path: str | None = None
     schema: T.StructType | None = None
     options: dict[str, str] = field(default_factory=dict)
+    after: int | None = None
 
 
 def stream_path(path: str) -> str:
@@ -50,6 +52,8 @@ def topic_source(spark: SparkSession, topic: Topic, stream: bool = True) -> Data
         if topic.schema is not None:
             reader = reader.schema(topic.schema)
         raw = reader.load(topic.path)
+        if topic.after is not None:
+            raw = raw.where(F.col("_metadata.file_modification_time") > F.timestamp_micros(F.lit(topic.after)))
     return raw.select(F.col("key").cast("string").alias("key"), "value", F.lit(topic.name).alias("topic"))
 
 
@@ -109,6 +113,26 @@ _FLUSH_MILLIS = "realtime.segment.flush.threshold.time"
 _OFFSET_WORDS = {"smallest": "earliest", "largest": "latest", "earliest": "earliest", "latest": "latest"}
 
 
+def newest_file(spark: SparkSession, path: str) -> int:
+    """When the newest file below a folder was changed, in microseconds; 0 without files. Reads no file."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.unix_micros(F.max("modificationTime"))).first()[0] or 0
+
+
+def start_offset(spec: TableSpec) -> str:
+    """Where a new stream of a table starts in its topic: ``earliest`` or ``latest``."""
+    reset = spec.stream.get(_RESET, "largest")
+    if reset not in _OFFSET_WORDS:
+        raise SpecError(f"unknown start offset {reset!r}")
+    return _OFFSET_WORDS[reset]
+
+
+def flush_rows(spec: TableSpec) -> int | None:
+    """The row threshold: a segment holds no more rows."""
+    rows = spec.stream.get(_FLUSH_ROWS)
+    return int(rows) if rows else None
+
+
 def ingest_topic(spec: TableSpec, path: str | None = None, fmt: str = "parquet") -> Topic:
     """The topic a realtime table reads, from its stream settings; with ``path``, the same as files."""
     stream = spec.stream
@@ -118,13 +142,10 @@ def ingest_topic(spec: TableSpec, path: str | None = None, fmt: str = "parquet")
         files = stream.get("stream.file.max.per.trigger")
         options = {"maxFilesPerTrigger": str(files)} if files else {}
         return Topic(stream[_TOPIC], fmt, path, spec_records(spec), options)
-    reset = stream.get(_RESET, "largest")
-    if reset not in _OFFSET_WORDS:
-        raise SpecError(f"unknown start offset {reset!r}")
-    options = {"kafka.bootstrap.servers": stream[_BROKERS], "startingOffsets": _OFFSET_WORDS[reset]}
+    options = {"kafka.bootstrap.servers": stream[_BROKERS], "startingOffsets": start_offset(spec)}
     # The row threshold bounds a micro-batch, as it bounds a segment.
-    if stream.get(_FLUSH_ROWS):
-        options["maxOffsetsPerTrigger"] = str(stream[_FLUSH_ROWS])
+    if flush_rows(spec):
+        options["maxOffsetsPerTrigger"] = str(flush_rows(spec))
     if stream.get("stream.kafka.min.partitions"):
         # Splits large topic partitions over several tasks.
         options["minPartitions"] = str(stream["stream.kafka.min.partitions"])

@@ -17,10 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 from viewflow.functions.text import register_sql_functions
 from viewflow.operators.enrich import Context
 from viewflow.operators.ingest import ingest_rollup, prepare
-from viewflow.operators.tables import TablePair, append_batch, first_batch
+from viewflow.operators.tables import TablePair, append_batch, first_batch, first_file
 from viewflow.operators.views import View, apply_view
 from viewflow.sources.codecs import decode_value
-from viewflow.sources.topics import SourceSet, check_topics, ingest_codec, ingest_source, ingest_trigger
+from viewflow.sources.topics import (
+    SourceSet,
+    check_topics,
+    ingest_codec,
+    ingest_source,
+    ingest_topic,
+    ingest_trigger,
+    start_offset,
+    topic_source,
+)
 from viewflow.spec import SpecError, flatten
 from viewflow.streaming.sinks import Target, write_view
 
@@ -200,16 +209,25 @@ def ingest_realtime(
     records: DataFrame | None = None,
     trigger: Mapping | None = None,
     files: int | None = None,
+    folder: str | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
     """Start the query that fills the realtime table of a created pair.
 
-    Reads the topic of the stream settings, or ``records`` (key, value) given instead. Filtering and
+    Reads the topic of the stream settings, or ``records`` (key, value) given instead, or the topic as files in
+    ``folder``. The settings' start offset holds for a folder too: from ``largest`` on, a new checkpoint reads only files
+    newer than those there at its start. Filtering and
     shaping happen before the batch is handed over, so the scan reads the needed columns only. With
     ``aggregate_metrics`` each batch is rolled up; sums over the table are the same as without.
     """
     register_sql_functions(spark)
     spec = pair.realtime_spec
     codec = "struct"
+    if folder is not None:
+        topic = ingest_topic(spec, folder, fmt)
+        if start_offset(spec) == "latest":
+            topic = replace(topic, after=first_file(spark, pair, checkpoint, folder))
+        records = topic_source(spark, topic)
     if records is None:
         codec = ingest_codec(spec)
         if codec == "struct":
