@@ -50,6 +50,24 @@ def test_pages(spark):
     assert html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").limit(0)).count() == 0
 
 
+def test_a_missing_body_is_opened():
+    """The same text with and without the tags that a page may leave out."""
+    model = html.trained()
+    long = "This text goes on for a while, with commas and an end, as the texts of articles do."
+    article = f"<article><h1>Headline</h1><p>{long}</p></article><div class='next-prev'><a href='/1'>Before</a> <a href='/2'>Next</a></div>"
+    wanted = html.main_texts([f"<html><head><title>t</title></head><body>{article}</body></html>"], model)
+    assert long in wanted[0]
+    for page in (
+        article,
+        f"<!DOCTYPE html>\n<title>t</title>\n{article}",
+        f"<html><head><title>t</title><meta charset=utf-8></head>{article}</html>",
+        f"<html><head><title>t</title><style>p {{}}</style>{article}",
+        f"<head><script>var a = '<p>';</script></head>\n{article}<body>",
+    ):
+        assert html.main_texts([page], model) == wanted, page
+    assert html.main_texts([long, f"<html>{long}", "", " \n", "<head></head>"], model) == [long, long, "", "", ""]
+
+
 def test_only_raw_text_is_cut_from_a_page():
     """Elements that close themselves, names that begin like raw ones, and elements without an end tag cut nothing."""
     model = html.trained()

@@ -30,6 +30,8 @@ _BLOCKS = (
     "table tbody td tfoot th thead tr ul"
 ).split()
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What may come before a page's body; anything else opens the body where its tag is missing.
+_BEFORE_BODY = frozenset("html head title meta link base script style template noscript".split())
 #: What is never text, by its end tag.
 _RAW = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in "script style template textarea title".split()}
 _ENDS_P = frozenset(_BLOCKS) - {"button", "label", "html", "body", "option", "optgroup", "legend", "summary"}
@@ -89,7 +91,7 @@ class Forest:
     dropped: list[bool] = field(default_factory=list)
 
     def add(self, html: str) -> None:
-        """Parses a page; what is broken is mended as browsers do in the common cases."""
+        """Parses a page; what is broken is mended as browsers do in the common cases, a missing body included."""
         root = self._element(-1, "html", "", False)
         # Open elements: tag, block element that holds their text, whether inside an article.
         stack: list[tuple[str, int, bool]] = [("html", root, False)]
@@ -98,6 +100,7 @@ class Forest:
         in_link = 0
         last = stop = 0
         unclosed: set[str] = set()  # tags of `_RAW` that have no end tag any more
+        bodied = False
 
         def flush(own: int) -> None:
             if parts:
@@ -107,10 +110,17 @@ class Forest:
                     self._text(own, joined, linked[1] / max(linked[0], 1))
             linked[:] = 0, 0
 
+        def open_body() -> None:
+            del stack[1:]
+            stack.append(("body", self._element(root, "body", "", False), False))
+
         while match := _TOKEN.search(html, stop):
             start, stop = match.span()
             if start > last:
                 raw = html[last:start]
+                if not bodied and not raw.isspace():
+                    open_body()
+                    bodied = True
                 raw = unescape(raw) if "&" in raw else raw
                 parts.append(raw)
                 linked[0] += len(raw)
@@ -133,6 +143,10 @@ class Forest:
                     if not block and stack[level][0] in _BLOCK_SET:
                         break
                 continue
+            if not bodied and tag not in _BEFORE_BODY:
+                if tag != "body":
+                    open_body()
+                bodied = True
             if tag in _RAW:
                 if not attrs.endswith("/"):
                     last = stop = self._raw_end(html, tag, stop, stack, unclosed)
@@ -157,6 +171,8 @@ class Forest:
                 in_link += tag == "a"
                 stack.append((tag, stack[-1][1], stack[-1][2]))
         if last < len(html):
+            if not bodied and not html[last:].isspace():
+                open_body()
             parts.append(unescape(html[last:]))
         flush(stack[-1][1])
         self.ends.append(len(self.text))
