@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from viewflow.functions.curve import curve_columns, cut_points, z_order
 from viewflow.functions.epoch import bucket_floor
 from viewflow.functions.partitioning import partition_id, spread_salt
 from viewflow.spec import TableSpec
@@ -51,6 +52,7 @@ def arrange(
     order_by: Iterable[str],
     files: int | None = None,
     by_range: bool = False,
+    curve: Iterable[str] = (),
 ) -> DataFrame:
     """Bring rows of a partition together and sort them within each task, for few and sorted files.
 
@@ -59,6 +61,10 @@ def arrange(
     that files hold narrow ranges of it; that takes a sample of the rows first, a second read of
     them. The last range key is a salt, by which a single heavy value is cut too. ``files`` asks for
     so many ranges; without adaptive execution the way is always by range.
+
+    Two or more columns of ``curve`` that are numbers or times are not ordered one after another by range, but along
+    a curve through all of them, whose place comes where the first of them would: files are narrow in each. That takes
+    one more pass, for the values that cut the columns.
     """
     partition_by = list(partition_by)
     order = list(dict.fromkeys([*partition_by, *order_by]))
@@ -68,10 +74,15 @@ def arrange(
     if partition_by and adaptive and not (by_range or files):
         placed = df.hint("rebalance", *partition_by)
     else:
-        ranges = [*[F.col(f"`{c}`") for c in order], F.col("__salt")]
         salted = df.withColumn("__salt", spread_salt(df))
+        curved = curve_columns(df, [c for c in curve if c in order and c not in partition_by])
+        if len(curved) > 1:
+            salted = salted.withColumn("__place", z_order(df, cut_points(df, curved)))
+            order.insert(min(order.index(c) for c in curved), "__place")
+        ranges = [*[F.col(f"`{c}`") for c in order], F.col("__salt")]
         placed = salted.repartitionByRange(files, *ranges) if files else salted.repartitionByRange(*ranges)
-        placed = placed.drop("__salt")
+        ordered = placed.sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
+        return ordered.drop("__salt", "__place")
     return placed.sortWithinPartitions(*[F.col(f"`{c}`") for c in order])
 
 
@@ -111,6 +122,6 @@ def write_layout(
     """Write shaped rows as a partitioned folder in the table's layout, replacing the partitions it holds."""
     df = add_partitions(df, spec)
     parts = partition_columns(spec)
-    arrange(df, parts, order_columns(spec), files, by_range).write.mode("overwrite").option(
+    arrange(df, parts, order_columns(spec), files, by_range, spec.range_columns).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).options(**parquet_options(spec, df.schema)).partitionBy(*parts).parquet(path)

@@ -150,7 +150,7 @@ def _replace(
     """Write shaped rows in the table's layout as one batch or run, in place of what it had written."""
     spark = rows.sparkSession
     parts = partition_columns(spec)
-    rows = arrange(add_partitions(rows, spec), parts, order_columns(spec), files, by_range)
+    rows = arrange(add_partitions(rows, spec), parts, order_columns(spec), files, by_range, spec.range_columns)
     known = set(rows.columns)
     # A column the table had before this spec is filled with nulls.
     fields = [f for f in spark.table(table).schema.fields if f.name not in {own, *parts}]

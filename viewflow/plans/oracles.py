@@ -210,6 +210,9 @@ ORACLES: dict[str, str] = {
     "layout_round_trip": PLACED_ROWS,
     "layout_pruned_read": f"""
         SELECT tenant_id, span_id, span_kind, time_taken_millis FROM ({TABLE_ROWS}) WHERE tenant_id = 'tenant-3'""",
+    "layout_second_range": """
+        SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem
+        WHERE l_extendedprice >= 20000 AND l_extendedprice < 30000""",
     "retention": f"SELECT * FROM ({TIMED}) WHERE start_time_millis >= {AS_OF} - {3 * DAY}",
     "retention_stored": f"""
         SELECT tenant_id, span_id, start_time_millis FROM ({TABLE_ROWS})

@@ -21,7 +21,7 @@ from viewflow.functions import (
 )
 from viewflow.operators.enrich import Context, enrich, measure_lookup
 from viewflow.operators.ingest import ingest_filter, ingest_rollup, ingest_transform, prepare
-from viewflow.operators.layout import part_filter, write_layout
+from viewflow.operators.layout import arrange, part_filter, write_layout
 from viewflow.operators.lifecycle import apply_retention, assign_tier, complete_rows, complete_until, hybrid_rows
 from viewflow.operators.merge import merge_streams
 from viewflow.operators.rollup import query_leaves, query_rollup, star_rollup, write_rollup
@@ -581,6 +581,17 @@ def layout_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("tenant_id", "span_id", "span_kind", "time_taken_millis")
 
 
+@query
+def layout_second_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the second of two range columns, from files cut along a curve through both."""
+    path = f"{work_dir(spark)}/layout"
+    ranges = ["l_shipdate", "l_extendedprice"]
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", *ranges)
+    arrange(items, [], ranges, by_range=True, curve=ranges).write.parquet(path)
+    found = spark.read.parquet(path).where("l_extendedprice >= 20000 AND l_extendedprice < 30000")
+    return found.select("l_orderkey", "l_quantity", "l_extendedprice")
+
+
 # Life cycle
 
 
