@@ -572,6 +572,35 @@ def test_quality_of_the_table(spark):
     assert np.mean(good) >= 0.98 and (not bad or np.mean(bad) <= 0.2)
 
 
+def test_quality_model_counts_every_label(spark):
+    # All documents are good: target and corpus are the same, however many there are.
+    docs = spark.range(41_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert set(quality.fit(docs, labels)) == {0.0}
+
+
+def brute_threshold(found):
+    good, bad = (sorted(x for x, label in found if label == kind) for kind in (1, 0))
+    if not good or not bad:
+        return float("-inf")
+    at_most = good[int(len(good) * (1 - quality.KEEP))]
+    best = max((x for x in good if x <= at_most), key=lambda x: (sum(y < x for y in bad) / len(bad) - sum(y < x for y in good) / len(good), -x))
+    below = [y for y in bad if y < best]
+    return (best + below[-1]) / 2 if below else best
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_quality_threshold(spark, seed):
+    draw = random.Random(seed)
+    found = [(round(draw.gauss(0.3 * label - 0.2, 0.1), 2 + seed), label) for label in (0, 1, 1) for _ in range(500)]
+    df = spark.createDataFrame(found, "score double, good int")
+    assert quality.threshold(df) == brute_threshold(found)
+    for label in (0, 1):
+        assert quality.threshold(df.filter(F.col("good") == label)) == float("-inf")
+    low = [(0.5, 1), (0.5, 0), (0.75, 1), (0.75, 0), (1.0, 1)]
+    assert quality.threshold(spark.createDataFrame(low, "score double, good int")) == brute_threshold(low)
+
+
 def test_scores_are_mean_ratios(spark):
     values = [((i * 37) % 101 - 50) / 10 for i in range(2 * quality.BUCKETS)]
     df = spark.createDataFrame([("a b c",), ("a",), ("",), (None,)], "text string").withColumn("words", quality.words_of(F.col("text")))
