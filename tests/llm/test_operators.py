@@ -242,6 +242,19 @@ def test_merges_of_random_texts(tiktoken_encoding):
         assert [i for piece in cut for i in coder.ids[piece]] == tiktoken_encoding.encode_ordinary(text)
 
 
+def test_common_pre_tokens_stay_known(monkeypatch):
+    coder, asked = bpe.Encoder(RANKS, PATTERN), []
+    encode = coder.merges.encode
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 4)
+    monkeypatch.setattr(coder.merges, "encode", lambda words: asked.extend(words) or encode(words))
+    for text in ("a b c", "a b d", "a b e f", "a b g"):
+        cuts = coder.pieces([text]), coder.digested([text])
+        assert cuts[0] == cuts[1] and b"".join(map(coder.back.__getitem__, cuts[1][0])).decode() == text
+        assert all(" ".join(map(str, coder.ids[word])) == coder.shown[word] for word in cuts[0][0])
+        assert len(coder.ids) <= 4 and coder.shown.keys() == coder.back.keys() == coder.ids.keys()
+    assert Counter(asked)[b"a"] == Counter(asked)[b" b"] == 2  # once for each kind of memory
+
+
 # Top-k
 
 

@@ -3,7 +3,7 @@
 A task cuts its texts into pre-tokens and encodes each distinct one once. The bytes of all new pre-tokens lie
 in one array; an index leads from a merge's rank to the positions where its pair stands. Ranks are taken in
 order; each merge rewrites its positions and only looks again at the two neighbours. No shuffle: the corpus is
-cut into blocks of bounded bytes, and remembered pre-tokens are bounded in number.
+cut into blocks of bounded bytes, and a worker's remembered pre-tokens are bounded in number.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from viewflow.llm.common import blocks, texts
 _NO_RANK = np.iinfo(np.int32).max
 #: From so many positions on, a rank's merges are done at once.
 _TOGETHER = 24
-#: Pre-tokens that a task remembers between blocks.
-CACHE_WORDS = 150_000
+#: Pre-tokens that a worker remembers between blocks; beyond that those of the block at hand.
+CACHE_WORDS = 400_000
 #: Bytes of text for a replay.
 _BLOCK = 8 << 20
 
@@ -238,19 +238,33 @@ class Encoder:
 
     def __init__(self, ranks_path: str, pattern: str):
         self.merges, self.split = Merges(read_ranks(ranks_path)), Splitter(pattern)
+        #: By pre-token: its ids; and for digests, its ids as text and the bytes they stand for.
         self.ids: dict[str, list[int]] = {}
+        self.shown: dict[str, str] = {}
+        self.back: dict[str, bytes] = {}
 
     def pieces(self, batch: list[str]) -> list[list[str]]:
         """The pre-tokens of each text, all of them known to `ids` afterwards."""
         cut = [self.split(text) for text in batch]
-        if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
         self.ids.update(self.unknown(cut, self.ids))
         return cut
 
-    def unknown(self, cut: list[list[str]], known: dict) -> Iterator[tuple[str, list[int]]]:
-        """The pre-tokens that aren't known yet, each with its ids."""
-        new = [word for word in set().union(*cut) if word not in known]
+    def digested(self, batch: list[str]) -> list[list[str]]:
+        """The pre-tokens of each text, all of them known to `shown` and `back` afterwards."""
+        cut = [self.split(text) for text in batch]
+        for word, ids in self.unknown(cut, self.shown, self.back):
+            self.shown[word], self.back[word] = " ".join(map(str, ids)), self.decode(ids)
+        return cut
+
+    def unknown(self, cut: list[list[str]], *known: dict) -> Iterator[tuple[str, list[int]]]:
+        """The pre-tokens that aren't known yet, each with its ids. What is known too much is forgotten."""
+        words = set().union(*cut)
+        new = [word for word in words if word not in known[0]]
+        if len(known[0]) + len(new) > CACHE_WORDS:
+            for memory in known:
+                kept = {word: memory[word] for word in words if word in memory}
+                memory.clear()
+                memory.update(kept)
         return zip(new, self.merges.encode([word.encode() for word in new]))
 
     def decode(self, ids: Iterable[int]) -> bytes:
@@ -297,20 +311,13 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks_path, pattern)
-        listed: dict[str, str] = {}
-        back: dict[str, bytes] = {}
         for block in blocks(batches, 1, _BLOCK):
-            cuts = [coder.split(text) for text in texts(block.column(1))]
-            if len(listed) > CACHE_WORDS:
-                listed.clear(), back.clear()
-            for word, ids in coder.unknown(cuts, listed):
-                listed[word], back[word] = " ".join(map(str, ids)), coder.decode(ids)
             counts, ids_sha, decoded_sha = [], [], []
-            for cut in cuts:
-                ids = " ".join(map(listed.__getitem__, cut))
+            for cut in coder.digested(texts(block.column(1))):
+                ids = " ".join(map(coder.shown.__getitem__, cut))
                 counts.append(ids.count(" ") + 1 if ids else 0)
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(b"".join(map(back.__getitem__, cut))).hexdigest())
+                decoded_sha.append(hashlib.sha256(b"".join(map(coder.back.__getitem__, cut))).hexdigest())
             yield pa.record_batch(
                 [block.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(decoded_sha)],
                 names=["key", "n_tokens", "ids_sha256", "decoded_sha256"],
