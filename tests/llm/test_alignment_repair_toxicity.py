@@ -258,6 +258,29 @@ def test_links_of_the_table(spark):
     assert aligned_rows(df) == brute_links([(r.doc_id, r.text) for r in df.collect()])
 
 
+def test_words_are_encoded_in_runs():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    tokenizer, asked = align.byte_level(BYTES), []
+    odd = ["a", "b\n", "", " c", "  ", "x\x1c", "don't", "'s", "\u0301e", "9", "12", "!", "<|endoftext|>", "漢字", "😀", "\u200b", "tab\t", "\n\nz", "q\0 r"]
+    rng = random.Random(5)
+
+    def encode(texts):
+        asked.append(len(texts))
+        return [found.ids for found in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    sizes = np.array([len(piece) for piece in tokenizer.pieces.to_pylist()])
+    for words in ([], [""], odd, [rng.choice(odd) for _ in range(1000)]):
+        alone = [library.encode(" " + word, add_special_tokens=False).ids for word in words]
+        for flat, lengths in (tokenizer.encode(words), align._in_runs(words, encode, sizes), align._in_runs(words, encode, sizes + 1)):
+            assert flat.tolist() == [i for ids in alone for i in ids] and lengths.tolist() == [len(ids) for ids in alone]
+    asked.clear()
+    align._in_runs([f"word{i}" for i in range(320)], encode, sizes)
+    assert asked == [10]
+
+
 def test_products_of_rows(monkeypatch):
     """Against dense products, with expansions cut into many pieces."""
     monkeypatch.setattr(align, "EXPANDED", 7)

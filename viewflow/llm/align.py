@@ -31,8 +31,11 @@ from viewflow.llm.packing import _BYTE_CHARS
 #: Bytes of text whose words are encoded together, of those whose matrices are made together, and elements that a
 #: product expands to at a time.
 BLOCK, SLICE, EXPANDED = 2 << 20, 128 << 10, 1 << 22
+#: Words that the byte-level tokenizer gets as one text, as each call for a word of its own costs more than the word.
+RUN = 32
 _SEPARATORS = (",", "|", ";", "")
 _CUT = r"([\p{L}\p{M}\p{N}\p{P}\p{S}]) "
+_END = r"[\p{L}\p{M}\p{N}\p{P}\p{S}]\z"
 
 
 @dataclass
@@ -75,15 +78,15 @@ class Csr:
             place, taken = gathered(other.starts[:-1], lengths, own)
             of = np.repeat(np.repeat(np.arange(end - row), np.diff(self.starts[row : end + 1])), taken)
             weight = np.repeat(self.values[first:last], taken) * other.values[place]
-            cell = of * other.width + other.columns[place]
+            column = other.columns[place]
+            cell = of * other.width + column
             if len(cell) and (cell[1:] < cell[:-1]).any():
                 order = np.argsort(cell, kind="stable")
-                cell, weight = cell[order], weight[order]
+                cell, weight, column, of = cell[order], weight[order], column[order], of[order]
             new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, dtype=np.int64)
-            cell = cell[new]
-            columns.append(cell % other.width)
+            columns.append(column[new])
             values.append(np.add.reduceat(weight, new) if len(new) else weight)
-            counts.append(np.bincount(cell // other.width, minlength=end - row))
+            counts.append(np.bincount(of[new], minlength=end - row))
             row = end
         parts = [np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (columns, values, counts)]
         return Csr(np.concatenate([[0], np.cumsum(parts[2])]), parts[0], parts[1], other.width)
@@ -91,7 +94,7 @@ class Csr:
 
 @dataclass
 class Tokenizer:
-    """Ids of texts, and the bytes of each id."""
+    """Ids of words, one word after another, with their number by word; and the bytes of each id."""
 
     encode: object
     pieces: pa.BinaryArray
@@ -104,9 +107,7 @@ class Tokenizer:
 
     def tokens(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, memoryview]:
         """Ids, how many each text has, lengths of the ids' bytes, and all of those bytes."""
-        found = self.encode(words.distinct)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum()))
+        flat, lengths = self.encode(words.distinct)
         place, taken = gathered(np.cumsum(lengths) - lengths, lengths, words.numbers)
         flat = flat[place]
         return flat, sums(taken, words.lengths), *_joined(self.pieces, flat)
@@ -133,6 +134,32 @@ class Words:
         self.numbers = coded.indices.to_numpy(zero_copy_only=False)
 
 
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and how many each list has."""
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())), lengths
+
+
+def _in_runs(words: list[str], encode, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of words with a space before each, as `_flat` has them, from texts of up to `RUN` words.
+
+    A word is followed by others only where texts are cut too; the ids' `sizes` in bytes tell where it ends. If they
+    don't, the words are encoded one by one.
+    """
+    column = pa.array(words, pa.string())
+    last = ~pc.match_substring_regex(column, _END).to_numpy(zero_copy_only=False).astype(bool)
+    last[RUN - 1 :: RUN] = True
+    last[-1:] = True
+    ends = (np.flatnonzero(last) + 1).tolist()
+    flat, _ = _flat(encode([" " + " ".join(words[s:e]) for s, e in zip([0, *ends], ends)]))
+    token_ends = np.cumsum(sizes[flat])
+    word_ends = np.cumsum(pc.binary_length(column).to_numpy().astype(np.int64) + 1)
+    at = np.searchsorted(token_ends, word_ends, "right")
+    if np.array_equal(np.concatenate([[0], token_ends])[at], word_ends) and (at[-1:] == len(flat)).all():
+        return flat, np.diff(at, prepend=0)
+    return _flat(encode([" " + word for word in words]))
+
+
 def _joined(table: pa.LargeBinaryArray, chosen: np.ndarray) -> tuple[np.ndarray, memoryview]:
     """The lengths of the chosen entries, and all their bytes."""
     taken = table.take(pa.array(chosen))
@@ -154,10 +181,12 @@ def byte_level(path: str) -> Tokenizer:
     names = [library.id_to_token(i) or "" for i in range(size)]
     pieces = [bytes(byte[c] for c in name) if all(c in byte for c in name) else name.encode() for name in names]
 
+    sizes = np.fromiter(map(len, pieces), np.int64, size)
+
     def encode(texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in library.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
+        return [found.ids for found in library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Tokenizer.of(encode, pieces)
+    return Tokenizer.of(lambda words: _in_runs(words, encode, sizes), pieces)
 
 
 @lru_cache(maxsize=2)
@@ -170,7 +199,7 @@ def piece_level(path: str) -> Tokenizer:
     pieces = [bytes([int(name[1:-1], 16)]) if model.is_byte(i) else name.replace("▁", " ").encode() for i, name in enumerate(names)]
     space = [model.piece_to_id("▁")]
     # What is left of a text behind its last space is empty: the space alone.
-    return Tokenizer.of(lambda texts: [ids or space for ids in model.encode(texts, num_threads=1)], pieces)
+    return Tokenizer.of(lambda words: _flat([ids or space for ids in model.encode(words, num_threads=1)]), pieces)
 
 
 def _cut(column: pa.StringArray) -> pa.ListArray:
@@ -271,9 +300,10 @@ def _linked(a: Csr, b: Csr, text_of: np.ndarray, n_texts: int, vocabulary: int)
     n = np.diff(links.starts)
     text = np.repeat(text_of[group], n)
     pair = np.repeat(a.columns, n) * vocabulary + links.columns
-    order = np.lexsort((pair, text))
-    text, pair, times = text[order], pair[order], links.values[order]
-    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])])) if len(pair) else np.zeros(0, dtype=np.int64)
+    cell = text * (a.width * vocabulary) + pair
+    order = np.argsort(cell, kind="stable")
+    cell, text, pair, times = cell[order], text[order], pair[order], links.values[order]
+    new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(pair) else np.zeros(0, dtype=np.int64)
     return pair[new], np.add.reduceat(times, new) if len(new) else times, np.bincount(text[new], minlength=n_texts)
 
 
